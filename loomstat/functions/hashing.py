@@ -27,6 +27,14 @@ def uniform(seed: int, *keys: Column | str) -> Column:
     return F.conv(digits, 16, 10).cast("bigint") / F.lit(float(2 ** (4 * _HEX_DIGITS)))
 
 
+def uniform_below(seed: int, share: float, *keys: Column | str) -> Column:
+    """``uniform(...) < share``, by comparing hex digits instead of parsing them."""
+    if share >= 1.0:
+        return F.lit(True)
+    bound = f"{math.ceil(max(share, 0.0) * 2 ** (4 * _HEX_DIGITS)):0{_HEX_DIGITS}x}"
+    return F.substring(seeded_hash(seed, *keys), 1, _HEX_DIGITS) < F.lit(bound)
+
+
 def gaussian(seed: int, *keys: Column | str) -> Column:
     """A standard normal for each key (Box-Muller on two uniforms)."""
     radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - uniform(seed, *keys)))

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstat.functions.hashing import uniform
+from loomstat.functions.hashing import uniform, uniform_below
 from loomstat.functions.maths import linear_score
 
 MAX_GROUPS = 100_000  # folds x sizes x batches; groups are set by parameters, not by the data
@@ -211,7 +211,7 @@ def ransac_trials(df: DataFrame, key: str, x: str, y: str, max_trials: int, min_
     one row per trial and task is moved.
     """
     spread = df.select(key, x, y, F.explode(F.sequence(F.lit(0), F.lit(max_trials - 1))).alias("trial"))
-    drawn = spread.where(uniform(seed, "trial", key) < F.lit(min_samples))
+    drawn = spread.where(uniform_below(seed, min_samples, "trial", key))
     return drawn.groupBy("trial").agg(F.regr_intercept(y, x).alias("b"), F.regr_slope(y, x).alias("w"))
 
 
