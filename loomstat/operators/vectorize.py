@@ -95,8 +95,6 @@ def count_vectorizer(vocab: DataFrame, tokens_col: str, out: str, limit: int = 1
     rows = vocab.orderBy("idx").select("term").limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} terms: prune the vocabulary or use the long form")
-    session = vocab.sparkSession  # the model is made in the active session
-    assert session is not None
     return CountVectorizerModel.from_vocabulary([row["term"] for row in rows], inputCol=tokens_col, outputCol=out)
 
 
