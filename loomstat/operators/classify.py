@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
@@ -18,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions.hashing import seeded_hash
+from loomstat.operators.batches import matrix, summed
 from loomstat.operators.ordering import running_totals
 from loomstat.session import cut_lineage
 
@@ -57,9 +57,10 @@ def perceptron(df: DataFrame, key: str, features: list[str], label: str, classes
         start = fit.weights
 
         def epoch(batches, start=start):
+            """Weights times rows seen, the rows, the errors: what the mean needs."""
             w, seen, errors = start.copy(), 0, 0
-            for pdf in batches:
-                x_all, y_all = np.vstack(pdf["x"].to_numpy()), pdf["y"].to_numpy()
+            for part in batches:
+                x_all, y_all = matrix(part.column(1)), part.column(0).to_numpy()
                 for at in range(0, len(y_all), batch):
                     x, y = x_all[at : at + batch], y_all[at : at + batch]
                     guess = (x @ w.T).argmax(axis=1)
@@ -68,17 +69,11 @@ def perceptron(df: DataFrame, key: str, features: list[str], label: str, classes
                     np.add.at(w, y[wrong], eta * x[wrong])
                     np.add.at(w, guess[wrong], -eta * x[wrong])
                 seen += len(y_all)
-            if seen:
-                yield pd.DataFrame({"w": [w.ravel()], "n": [seen], "errors": [errors]})
-
-        learned = rows.mapInPandas(epoch, "w array<double>, n bigint, errors bigint")
-        cells = learned.select("n", "errors", F.posexplode("w").alias("pos", "v")).groupBy("pos")
-        mixed = cells.agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("v"), F.sum("errors").alias("errors")).collect()
-        weights = np.zeros(start.size)
-        for row in mixed:
-            weights[row["pos"]] = row["v"]
-        fit.weights = weights.reshape(start.shape)
-        fit.losses.append(mixed[0]["errors"])
+            return np.concatenate([w.ravel() * seen, [seen, errors]])
+
+        total = summed(rows, epoch, start.size + 2)
+        fit.weights = (total[:-2] / max(total[-2], 1)).reshape(start.shape)
+        fit.losses.append(int(total[-1]))
     return fit
 
 

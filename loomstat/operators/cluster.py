@@ -10,21 +10,108 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomstat.functions.hashing import seeded_hash
 from loomstat.functions.maths import dot
+from loomstat.operators.batches import evened, matrix, summed
 from loomstat.operators.neighbors import distance_sums
 
 
-def best_kmeans(df: DataFrame, k: int, init: str = "k-means||", n_init: int = 10, max_iter: int = 300, tol: float = 1e-4, seed: int = 0, features: str = "features") -> KMeansModel:
-    """The fit of lowest cost out of ``n_init`` starts (``init`` "random" or "k-means||")."""
-    kept = df.select(features).persist()
+@dataclass
+class ClusterFit:
+    centres: np.ndarray
+    sizes: np.ndarray
+    inertia: float
+    iterations: int
+
+
+SAMPLE = 1000  # rows (at least) among which starts are chosen; the fit itself sees all rows
+
+
+def start_pool(df: DataFrame, key: str, vec: str, largest_k: int, seed: int) -> np.ndarray:
+    """A bounded hash sample of the rows, the same on any cluster."""
+    rows = df.select(vec, key).orderBy(seeded_hash(seed, key), key).limit(max(SAMPLE, 50 * largest_k)).collect()
+    return np.array([row[vec] for row in rows], dtype="float64")
+
+
+def starting_points(pool: np.ndarray, settings: list[tuple[int, str]], seed: int) -> list[np.ndarray]:
+    """Start centres for each (k, init)."""
+    rng = np.random.default_rng(seed)
+    return [_spread_out(pool, k, rng) if init == "k-means++" else pool[rng.choice(len(pool), k, replace=len(pool) < k)] for k, init in settings]
+
+
+def _spread_out(pool: np.ndarray, k: int, rng) -> np.ndarray:
+    """Choose points with odds by squared distance to those chosen before."""
+    chosen = [pool[rng.integers(len(pool))]]
+    for _ in range(k - 1):
+        d2 = np.min([((pool - c) ** 2).sum(axis=1) for c in chosen], axis=0)
+        odds = d2 / d2.sum() if d2.sum() > 0 else None
+        chosen.append(pool[rng.choice(len(pool), p=odds)])
+    return np.array(chosen)
+
+
+def stacked_lloyd(df: DataFrame, vec: str, starts: list[np.ndarray], max_iter: int, settle: float) -> list[ClusterFit]:
+    """Lloyd's rounds for many starts at once: one pass over the rows moves them all.
+
+    A task returns one row of sums for all starts and clusters.  A start is done
+    when its centres move by less than ``settle`` (sum of squares) in a round.
+    """
+    width = starts[0].shape[1]
+    fits = [ClusterFit(np.array(s, dtype="float64"), np.zeros(len(s)), float("inf"), 0) for s in starts]
+    active = list(range(len(fits)))
+    rows = evened(df.select(vec)).persist()
     try:
-        fits = [
-            KMeans(k=k, initMode=init, maxIter=max_iter, tol=tol, seed=seed + i, featuresCol=features, predictionCol="cluster").fit(kept)
-            for i in range(n_init)
-        ]
+        while active:
+            parts = _one_pass(rows, [fits[i].centres for i in active], width)
+            moving = []
+            for i, part in zip(active, parts):
+                fit, held = fits[i], part[:, :1] > 0
+                moved = np.where(held, part[:, 2:] / np.maximum(part[:, :1], 1), fit.centres)
+                fit.sizes, fit.inertia, fit.iterations = part[:, 0], float(part[:, 1].sum()), fit.iterations + 1
+                if ((moved - fit.centres) ** 2).sum() > settle and fit.iterations <= max_iter:
+                    fit.centres = moved
+                    moving.append(i)
+            active = moving
     finally:
-        kept.unpersist()
-    return min(fits, key=lambda m: m.summary.trainingCost)
+        rows.unpersist()
+    return fits
+
+
+def _one_pass(rows: DataFrame, centres: list[np.ndarray], width: int) -> list[np.ndarray]:
+    """Per start a matrix with one row (n, cost, sums...) per cluster."""
+    cuts = np.cumsum([0, *(len(c) * (width + 2) for c in centres)])
+
+    def sums(batches):
+        acc = np.zeros(cuts[-1])
+        for batch in batches:
+            x = matrix(batch.column(0))
+            for start, stop, c in zip(cuts[:-1], cuts[1:], centres):
+                d2 = np.stack([((x - m) ** 2).sum(axis=1) for m in c], axis=1)
+                near = d2.argmin(axis=1)
+                part = acc[start:stop].reshape(len(c), width + 2)
+                part[:, 0] += np.bincount(near, minlength=len(c))
+                part[:, 1] += np.bincount(near, weights=d2[np.arange(len(x)), near], minlength=len(c))
+                for j in range(width):
+                    part[:, 2 + j] += np.bincount(near, weights=x[:, j], minlength=len(c))
+        return acc
+
+    total = summed(rows, sums, int(cuts[-1]))
+    return [total[a:b].reshape(-1, width + 2) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def _fits(df: DataFrame, key: str, vec: str, settings, max_iter: int, tol: float, seed: int) -> list[ClusterFit]:
+    """``tol`` is relative to the mean variance of the columns."""
+    pool = start_pool(df, key, vec, max(k for k, _ in settings), seed)
+    return stacked_lloyd(df, vec, starting_points(pool, settings, seed), max_iter, tol * float(pool.var(axis=0).mean()))
+
+
+def kmeans(df: DataFrame, key: str, vec: str, k: int, init: str = "k-means++", n_init: int = 10, max_iter: int = 300, tol: float = 1e-4, seed: int = 0) -> ClusterFit:
+    """The fit of lowest inertia out of ``n_init`` starts (``init`` "random" or "k-means++")."""
+    return min(_fits(df, key, vec, [(k, init)] * n_init, max_iter, tol, seed), key=lambda f: f.inertia)
+
+
+def ml_kmeans(df: DataFrame, k: int, max_iter: int = 50, seed: int = 0, features: str = "features") -> KMeansModel:
+    """Spark ML's k-means, for many clusters or wide vectors."""
+    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, predictionCol="cluster").fit(df)
 
 
 def squared_distance(xs: list[Column], centre) -> Column:
@@ -49,18 +136,14 @@ def lloyd_steps(df: DataFrame, xs: list[str], centres: np.ndarray, steps: int) -
     return centres
 
 
-def elbow(df: DataFrame, ks, n_init: int = 3, max_iter: int = 100, seed: int = 123, features: str = "features") -> DataFrame:
-    """(k, inertia) per number of clusters; one cluster is the plain spread."""
-    rows = []
-    for k in ks:
-        if k == 1:
-            from pyspark.ml.stat import Summarizer
-
-            s = df.select(Summarizer.metrics("variance", "count").summary(F.col(features)).alias("s")).first()["s"]
-            rows.append((1, float(sum(s["variance"]) * (s["count"] - 1))))
-        else:
-            rows.append((int(k), float(best_kmeans(df, k, n_init=n_init, max_iter=max_iter, seed=seed, features=features).summary.trainingCost)))
-    return df.sparkSession.createDataFrame(rows, "k bigint, inertia double")
+def elbow(df: DataFrame, key: str, vec: str, ks, n_init: int = 10, max_iter: int = 300, tol: float = 1e-4, seed: int = 123) -> DataFrame:
+    """(k, inertia) for several numbers of clusters; all fits share their passes."""
+    settings = [(k, "k-means++") for k in ks for _ in range(n_init)]
+    fits = _fits(df, key, vec, settings, max_iter, tol, seed)
+    best: dict[int, float] = {}
+    for (k, _), fit in zip(settings, fits):
+        best[k] = min(best.get(k, fit.inertia), fit.inertia)
+    return df.sparkSession.createDataFrame([(int(k), float(v)) for k, v in best.items()], "k bigint, inertia double")
 
 
 def _from_means(sums: DataFrame, key: str, cluster: str) -> DataFrame:
@@ -150,7 +233,7 @@ def agglomerate(df: DataFrame, n_clusters: int, micro: int, seed: int = 0, featu
     K-means first makes ``micro`` small clusters on the cluster; their centres are
     merged by complete linkage and each row takes the label of its own.
     """
-    model = best_kmeans(df, micro, n_init=1, max_iter=50, seed=seed, features=features)
+    model = ml_kmeans(df, micro, max_iter=50, seed=seed, features=features)
     centres = np.array(model.clusterCenters())
     tree = complete_linkage(centres)
     names = F.array(*[F.lit(x).cast("bigint") for x in tree.labels(min(n_clusters, len(centres)))])

@@ -118,9 +118,9 @@ def nearest(train: DataFrame, queries: DataFrame, key: str, vec: str, label: str
 
 
 def neighbour_shares(neighbours: DataFrame, classes: list) -> DataFrame:
-    """(query, p_<class>..., prediction): share of each class among the neighbours."""
-    shares = neighbours.groupBy("query").agg(*[F.avg((F.col("label") == c).cast("double")).alias(f"p_{c}") for c in classes])
-    values = F.array(*[F.col(f"p_{c}") for c in classes])
+    """(query, p_0, p_1, ..., prediction): share of each class, in the given order, among the neighbours."""
+    shares = neighbours.groupBy("query").agg(*[F.avg((F.col("label") == c).cast("double")).alias(f"p_{i}") for i, c in enumerate(classes)])
+    values = F.array(*[F.col(f"p_{i}") for i in range(len(classes))])
     at = F.array_position(values, F.array_max(values)).cast("int")
     return shares.withColumn("prediction", F.element_at(F.array(*[F.lit(c) for c in classes]), at))
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomstat.operators.batches import matrix
+from loomstat.operators.ordering import ordered_rank
+
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
@@ -52,23 +57,20 @@ def vector_covariance(df: DataFrame, array_col: str, width: int) -> DataFrame:
     Every task adds up its own products and hands on ``width`` rows; those
     partial sums are all that is shuffled.
     """
-    import numpy as np
-    import pandas as pd
-
     centre_row = df.select(*[F.avg(F.col(array_col)[k].cast("double")).alias(f"m{k}") for k in range(width)]).first()
-    centre = np.array([centre_row[k] for k in range(width)])
+    centre = np.array(list(centre_row))
 
     def partial(batches):
         total, n = np.zeros((width, width)), 0
-        for pdf in batches:
-            if len(pdf):
-                x = np.vstack(pdf[array_col].to_numpy()).astype("float64") - centre
-                total += x.T @ x
-                n += len(x)
+        for batch in batches:
+            x = matrix(batch.column(0)) - centre
+            total += x.T @ x
+            n += len(x)
         if n:
-            yield pd.DataFrame({"i": np.arange(width), "n": n, "row": list(total)})
+            rows = [pa.array(range(width), pa.int64()), pa.array([n] * width, pa.int64()), pa.array(total.tolist(), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(rows, ["i", "n", "row"])
 
-    sums = df.select(array_col).mapInPandas(partial, "i bigint, n bigint, row array<double>")
+    sums = df.select(F.col(array_col).cast("array<double>")).mapInArrow(partial, "i bigint, n bigint, row array<double>")
     cells = sums.select("i", "n", F.posexplode("row").alias("j", "v"))
     return cells.groupBy("i", F.col("j").cast("bigint").alias("j")).agg((F.sum("v") / (F.sum("n") - 1)).alias("value"))
 
@@ -111,6 +113,4 @@ def top_k(df: DataFrame, by: list[str], order_by: list[Column], k: int) -> DataF
 
 def sorted_within(df: DataFrame, group: str, order_by: list[str], out: str = "pos") -> DataFrame:
     """Position of every row inside its group; hot groups are cut into ranges."""
-    from loomstat.operators.ordering import ordered_rank
-
     return ordered_rank(df, order_by, out, by=[group])
