@@ -54,9 +54,13 @@ def poisson_thresholds(mean: float = 1.0) -> list[float]:
 
 def poisson_weight(seed: int, *keys: Column | str) -> Column:
     """How often a bootstrap sample of full size draws this key (Poisson(1))."""
-    u = uniform(seed, *keys)
     bounds = F.array(*[F.lit(t) for t in poisson_thresholds()])
-    return F.aggregate(bounds, F.lit(0).cast("bigint"), lambda n, t: n + (u >= t).cast("bigint"))
+    # The one-element array binds the uniform to a variable, so that it is hashed once per row.
+    counts = F.transform(
+        F.array(uniform(seed, *keys)),
+        lambda u: F.aggregate(bounds, F.lit(0).cast("bigint"), lambda n, t: n + (u >= t).cast("bigint")),
+    )
+    return counts[0]
 
 
 def _col(key: Column | str) -> Column:

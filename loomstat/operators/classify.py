@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions.hashing import seeded_hash
-from loomstat.operators.batches import matrix, summed
+from loomstat.operators.batches import evened, matrix, summed
 from loomstat.operators.ordering import running_totals
 from loomstat.session import cut_lineage
 
@@ -91,7 +91,7 @@ def regularisation_path(df: DataFrame, l2s: list[float], names: list[str], max_i
     """(l2, feature, weight) of one logistic regression per penalty."""
     base = logistic(max_iter=max_iter)
     settings = [{base.regParam: float(v)} for v in l2s]
-    kept = df.persist()
+    kept = evened(df).persist()
     try:
         rows = [
             (float(l2s[i]), name, float(w)) for i, model in base.fitMultiple(kept, settings) for name, w in zip(names, model.coefficients.toArray())

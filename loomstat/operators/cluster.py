@@ -111,7 +111,7 @@ def kmeans(df: DataFrame, key: str, vec: str, k: int, init: str = "k-means++", n
 
 def ml_kmeans(df: DataFrame, k: int, max_iter: int = 50, seed: int = 0, features: str = "features") -> KMeansModel:
     """Spark ML's k-means, for many clusters or wide vectors."""
-    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, predictionCol="cluster").fit(df)
+    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, predictionCol="cluster").fit(evened(df.select(features)))
 
 
 def squared_distance(xs: list[Column], centre) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions.hashing import poisson_weight
+from loomstat.operators.batches import evened
 from loomstat.session import cut_lineage
 
 GROWN_OUT = 30  # the deepest tree Spark builds; stands for "no depth limit"
@@ -124,7 +125,7 @@ def adaboost(df: DataFrame, base: Estimator, n_estimators: int, learning_rate: f
     The plan of the weights grows by one model per round; it is cut by writing
     the rows every few rounds.
     """
-    rows = cut_lineage(df.select(features, F.col(label).cast("double").alias(label), F.lit(1.0).alias("_w")))
+    rows = cut_lineage(evened(df).select(features, F.col(label).cast("double").alias(label), F.lit(1.0).alias("_w")))
     fitted = BoostedModel([], [], [])
     for turn in range(n_estimators):
         model = base.copy({base.weightCol: "_w", base.labelCol: label, base.featuresCol: features}).fit(rows)

@@ -1,8 +1,7 @@
 """Texts to term weights, as long tables (doc, term, value).
 
-The matrix documents x terms is never made dense.  A document's tokens live in
-one row, so counting them needs no shuffle; only the vocabulary (term totals,
-summed per task first) and the weights cross the network.
+The matrix documents x terms is never made dense.  Term totals are summed per
+task before they are shuffled, and frequent terms are salted in joins.
 """
 
 from __future__ import annotations
@@ -23,14 +22,14 @@ EPSILON = 2.220446049250313e-16  # machine epsilon: the floor of a row's norm
 
 
 def term_counts(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """(key, term, tf) by sorting each document's tokens and measuring the runs."""
-    at = df.select(key, F.sort_array(tokens).alias("_t")).where(F.size("_t") > 0)
-    t, n = F.col("_t"), F.size("_t")
-    fresh = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.element_at(t, i) != F.element_at(t, F.greatest(i - 1, F.lit(1)))))
-    runs = at.select(key, "_t", fresh.alias("_s"))
-    ends = F.concat(F.slice("_s", 2, F.size("_s")), F.array(F.size("_t") + 1))
-    pairs = F.zip_with("_s", ends, lambda a, b: F.struct(F.element_at("_t", a).alias("term"), (b - a).cast("bigint").alias("tf")))
-    return runs.select(key, F.inline(pairs))
+    """(key, term, tf): how often each document holds each term.
+
+    Documents are placed by key before they are split, because a text is smaller
+    than its (key, term, tf) rows.  Counting, and any later work per document,
+    then stays where the document is.
+    """
+    placed = df.repartition(key)
+    return placed.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(counts: DataFrame) -> DataFrame:

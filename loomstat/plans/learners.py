@@ -17,7 +17,7 @@ from loomstat.operators import classify, cluster, columns, decompose, encode, en
 from loomstat.plans.registry import SQL_LINES, big, lines, query, r, sql_hash, sql_round, sql_uniform
 from loomstat.plans.text import documents, pruned
 from loomstat.session import cut_lineage
-from loomstat.sources.tables import table
+from loomstat.sources.tables import spread, table
 
 FEATURES = ["qty", "price", "disc", "tax"]
 _SQL_NOISY = f"""(SELECT *, CAST((price * (1 - disc) > 45000) <> ({sql_uniform(17, 'id')} < 0.1) AS BIGINT) AS label FROM {SQL_LINES})"""
@@ -26,7 +26,7 @@ _SQL_NOISY = f"""(SELECT *, CAST((price * (1 - disc) > 45000) <> ({sql_uniform(1
 def noisy_lines(spark, d):
     """Lines with a label that a rule sets and a tenth of which is flipped."""
     rule = F.col("price") * (1 - F.col("disc")) > 45000
-    return lines(spark, d).withColumn("label", (rule != uniform_below(17, 0.1, "id")).cast("double"))
+    return spread(lines(spark, d)).withColumn("label", (rule != uniform_below(17, 0.1, "id")).cast("double"))
 
 
 def feature_rows(spark, d, features=FEATURES):
@@ -114,7 +114,7 @@ _FLAGS = ["A", "N", "R"]
 
 def flag_rows(spark, d):
     code = columns.recode(F.col("flag"), {f: F.lit(float(i)) for i, f in enumerate(_FLAGS)}, F.lit(None))
-    return columns.to_features(lines(spark, d).withColumn("label", code), FEATURES)
+    return columns.to_features(spread(lines(spark, d)).withColumn("label", code), FEATURES)
 
 
 def _one_vs_rest(spark, d):

@@ -226,4 +226,4 @@ def by_position(spark, d):
     """The longest fifth of the documents, as positions in a sorted table."""
     ranked = ordered_rank(table(spark, d, "documents").select("doc_id", "n_chars"), [F.desc("n_chars"), "doc_id"], "rn", with_total=True)
     head = ranked.where(F.col("rn") <= F.floor(F.lit(0.2) * F.col("rn_total"))).select("doc_id")
-    return documents(spark, d).join(head, "doc_id").select("doc_id", F.md5("text").alias("text_md5"))
+    return table(spark, d, "documents").join(head, "doc_id").select("doc_id", F.md5("text").alias("text_md5"))
