@@ -108,7 +108,7 @@ class BoostedModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``score`` (in [-1, 1]) and ``prediction`` (0 or 1)."""
-        kept, scored = df.columns, df
+        kept, scored = [c for c in df.columns if c not in ("score", "prediction")], df
         votes = []
         for i, (model, alpha) in enumerate(zip(self.members, self.alphas)):
             renamed = model.copy()
