@@ -37,11 +37,10 @@ def big(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("bigint")
 
 
-LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")  # unique in lineitem
-
-
 def line_key() -> Column:
-    return F.concat_ws("-", *LINE_KEY)
+    """Unique in lineitem: order, line, part, supplier and the price in cents."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents)
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,7 +72,7 @@ def holed_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- the SQL side ---------------------------------------------------------
 
-SQL_LINES = """(SELECT l_orderkey||'-'||l_linenumber||'-'||l_partkey||'-'||l_suppkey AS id,
+SQL_LINES = """(SELECT l_orderkey||'-'||l_linenumber||'-'||l_partkey||'-'||l_suppkey||'-'||CAST(round(l_extendedprice * 100) AS BIGINT) AS id,
  l_quantity AS qty, l_extendedprice AS price, l_discount AS disc, l_tax AS tax,
  CAST(l_linenumber AS BIGINT) AS num, l_returnflag AS flag, l_linestatus AS status FROM lineitem)"""
 
