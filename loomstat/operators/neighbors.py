@@ -45,15 +45,18 @@ def _slices(rows: DataFrame, key: str, own: Column, other: Column, own_name: str
     return dealt.withColumn(other_name, F.explode(F.sequence(F.lit(0), other - 1)))
 
 
-def nearest(train: DataFrame, queries: DataFrame, key: str, vec: str, label: str, k: int, pivots: int = 64, block: int = 4096, seed: int = 0) -> DataFrame:
+def nearest(train: DataFrame, queries: DataFrame, key: str, vec: str, label: str, k: int, pivots: int | None = None, block: int = 4096, seed: int = 0) -> DataFrame:
     """(query, neighbour, label, d2, rank): the ``k`` nearest training rows of each query.
 
-    A few training rows serve as pivots and cut the space into cells.  The k-th
+    Some training rows (about the root of their number, 64 to 4096) serve as
+    pivots and cut the space into cells.  The k-th
     nearest pivot bounds a query's search; a cell farther away than that bound
     cannot hold a neighbour and is not visited.  Cells with many rows or many
     visits are sliced, so no task gets more than ``block`` rows of either side on
     average.  Ties go to the smaller neighbour key.
     """
+    if pivots is None:
+        pivots = min(4096, max(64, math.isqrt(train.count())))
     chosen = train.select(vec, key).orderBy(seeded_hash(seed, key), key).limit(max(pivots, k)).collect()
     centres = np.array([row[vec] for row in chosen], dtype="float64")
 

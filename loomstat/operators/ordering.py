@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from loomstat.session import cut_lineage
 
 _PART = "_part"
+_KEY = "_key"  # (by..., range) as one struct: NULL groups join like any other
 
 
 def _ranges(df: DataFrame, order_by, by) -> DataFrame:
@@ -21,7 +22,8 @@ def _ranges(df: DataFrame, order_by, by) -> DataFrame:
     Range bounds come from a sample, so a second run could cut elsewhere.
     Writing the rows fixes the cut for everything that follows.
     """
-    return cut_lineage(df.repartitionByRange(*by, *order_by).withColumn(_PART, F.spark_partition_id()))
+    cut = df.repartitionByRange(*by, *order_by).withColumn(_PART, F.spark_partition_id())
+    return cut_lineage(cut.withColumn(_KEY, F.struct(*by, _PART)))
 
 
 def running_totals(df: DataFrame, order_by, totals: dict[str, Column], by=(), with_total: bool = False) -> DataFrame:
@@ -34,20 +36,19 @@ def running_totals(df: DataFrame, order_by, totals: dict[str, Column], by=(), wi
     held = {name: f"_x_{name}" for name in totals}
     rows = _ranges(df.select("*", *[expr.alias(held[n]) for n, expr in totals.items()]), order_by, by)
 
-    per_range = rows.groupBy(*by, _PART).agg(*[F.sum(h).alias(h) for h in held.values()])
-    earlier = Window.partitionBy(*by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    group = Window.partitionBy(*by)
+    per_range = rows.groupBy(_KEY).agg(*[F.sum(h).alias(h) for h in held.values()])
+    group = Window.partitionBy(*[F.col(_KEY)[b] for b in by])
+    earlier = group.orderBy(F.col(_KEY)[_PART]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(
-        *by,
-        _PART,
+        _KEY,
         *[F.coalesce(F.sum(h).over(earlier), F.lit(0)).alias(f"_o_{n}") for n, h in held.items()],
         *([F.sum(h).over(group).alias(f"{n}_total") for n, h in held.items()] if with_total else []),
     )
 
-    within = Window.partitionBy(*by, _PART).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy(_KEY).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.select("*", *[F.sum(h).over(within).alias(n) for n, h in held.items()])
-    joined = local.join(offsets, [*by, _PART])
-    out = [c for c in df.columns] + [(F.col(n) + F.col(f"_o_{n}")).alias(n) for n in totals]
+    joined = local.join(offsets, _KEY)
+    out = [*df.columns, *[(F.col(n) + F.col(f"_o_{n}")).alias(n) for n in totals]]
     return joined.select(*out, *([f"{n}_total" for n in totals] if with_total else []))
 
 
@@ -60,12 +61,12 @@ def previous_values(df: DataFrame, order_by, cols: list[str], by=()) -> DataFram
     """Add ``prev_<col>``: the value in the row before, across range borders too."""
     order_by, by = list(order_by), list(by)
     rows = _ranges(df, order_by, by)
-    within = Window.partitionBy(*by, _PART).orderBy(*order_by)
+    within = Window.partitionBy(_KEY).orderBy(*order_by)
     seen = rows.withColumn("_pos", F.row_number().over(within))
     seen = seen.select("*", *[F.lag(c).over(within).alias(f"_l_{c}") for c in cols])
-    last = seen.groupBy(*by, _PART).agg(F.max_by(F.struct(*cols), "_pos").alias("_last"))
-    carry = last.select(*by, _PART, F.lag("_last").over(Window.partitionBy(*by).orderBy(_PART)).alias("_carry"))
-    joined = seen.join(carry, [*by, _PART])
+    last = seen.groupBy(_KEY).agg(F.max_by(F.struct(*cols), "_pos").alias("_last"))
+    group = Window.partitionBy(*[F.col(_KEY)[b] for b in by]).orderBy(F.col(_KEY)[_PART])
+    joined = seen.join(last.select(_KEY, F.lag("_last").over(group).alias("_carry")), _KEY)
     first = F.col("_pos") == 1
     prev = [F.when(first, F.col("_carry")[c]).otherwise(F.col(f"_l_{c}")).alias(f"prev_{c}") for c in cols]
     return joined.select(*df.columns, *prev)
@@ -79,15 +80,15 @@ def hashed_rank(df: DataFrame, hash_col: str, by=(), ties=(), out: str = "rn", t
     of the row alone: nothing needs to be written.
     """
     by, ties = list(by), list(ties)
-    keyed = df.withColumn("_bucket", F.substring(hash_col, 1, digits))
-    sizes = keyed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    keyed = df.withColumn(_KEY, F.struct(*by, F.substring(hash_col, 1, digits).alias(_PART)))
+    sizes = keyed.groupBy(_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*[F.col(_KEY)[b] for b in by])
+    earlier = group.orderBy(F.col(_KEY)[_PART]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *by,
-        "_bucket",
+        _KEY,
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        *([F.sum("_n").over(Window.partitionBy(*by)).alias(total)] if total else []),
+        *([F.sum("_n").over(group).alias(total)] if total else []),
     )
-    within = Window.partitionBy(*by, "_bucket").orderBy(hash_col, *ties)
-    ranked = keyed.withColumn("_local", F.row_number().over(within)).join(offsets, [*by, "_bucket"])
+    within = Window.partitionBy(_KEY).orderBy(hash_col, *ties)
+    ranked = keyed.withColumn("_local", F.row_number().over(within)).join(offsets, _KEY)
     return ranked.select(*df.columns, (F.col("_before") + F.col("_local")).alias(out), *([total] if total else []))

@@ -56,6 +56,15 @@ def test_order_over_many_ranges(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_null_groups_are_kept(spark):
+    rows = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(20)], "id int, g string")
+    ranked = ordering.ordered_rank(rows, ["id"], "rn", by=["g"]).orderBy("id").toPandas()
+    assert ranked["rn"].tolist() == [i // 2 + 1 for i in range(20)]
+    assert ordering.previous_values(rows, ["id"], ["id"], by=["g"]).where("prev_id = id - 2").count() == 18
+    split = sampling.stratified_split(rows, "id", "g", 0.5, seed=1)
+    assert split.count() == 20 and split.where("is_test").count() == 10
+
+
 def test_hashes(spark):
     u = spark.range(4000).select(uniform(3, "id").alias("u"), uniform_below(3, 0.3, "id").alias("b"))
     assert u.where((F.col("u") < 0.3) != F.col("b")).count() == 0
