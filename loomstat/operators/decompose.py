@@ -90,12 +90,9 @@ def fit_topics(counts: DataFrame, topics: int, max_iter: int = 10, seed: int = 1
         kept.unpersist()
 
 
-def top_words(model: LDAModel, terms: list[str], n: int = 5) -> DataFrame:
-    """(topic, rank, term, weight) from the fitted topics and the indexed terms."""
-    described = model.describeTopics(n)
-    names = F.array(*[F.lit(t) for t in terms]) if len(terms) <= 10_000 else None
-    if names is None:
-        raise ValueError("join describeTopics with the vocabulary table for more than 10000 terms")
+def top_words(model: LDAModel, vocab: DataFrame, n: int = 5) -> DataFrame:
+    """(topic, rank, term, weight) from the fitted topics and the vocabulary (term, idx)."""
     pairs = F.arrays_zip("termIndices", "termWeights")
-    rows = described.select(F.col("topic").cast("bigint").alias("topic"), F.posexplode(pairs).alias("rank", "p"))
-    return rows.select("topic", F.col("rank").cast("bigint").alias("rank"), F.element_at(names, F.col("p.termIndices") + 1).alias("term"), F.col("p.termWeights").alias("weight"))
+    rows = model.describeTopics(n).select(F.col("topic").cast("bigint").alias("topic"), F.posexplode(pairs).alias("rank", "p"))
+    indexed = rows.select("topic", F.col("rank").cast("bigint").alias("rank"), F.col("p.termIndices").cast("bigint").alias("idx"), F.col("p.termWeights").alias("weight"))
+    return indexed.join(vocab.select("idx", "term"), "idx").select("topic", "rank", "term", "weight")

@@ -217,6 +217,43 @@ def c8_stump(spark, d):
     return scores.select("feature", "threshold", r("gini", 9).alias("gini"))
 
 
+def _sql_tree(source: str, cost: str, leaf: str) -> str:
+    """Leaves of the best split ``size <= t`` by ``cost`` over both sides (n, s, q = rows, sum, sum of squares)."""
+    return f"""WITH t AS {source}, g AS (SELECT size, count(*) AS n, sum(y) AS s, sum(y * y) AS q FROM t GROUP BY 1),
+    c AS (SELECT size, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(q) OVER w AS lq, sum(n) OVER () AS n, sum(s) OVER () AS s, sum(q) OVER () AS q FROM g WINDOW w AS (ORDER BY size)),
+    b AS (SELECT size FROM c WHERE ln < n ORDER BY {cost.format(n='ln', s='ls', q='lq')} + {cost.format(n='(n - ln)', s='(s - ls)', q='(q - lq)')}, size LIMIT 1)
+    SELECT {leaf} AS value, count(*) AS n FROM t GROUP BY t.size <= (SELECT size FROM b)"""
+
+
+_TREE_ROWS = f"""(SELECT CAST(p_size AS DOUBLE) AS size, CAST((p_size > 20) <> ({sql_uniform(9, 'p_partkey')} < 0.1) AS DOUBLE) AS y FROM part)"""
+
+
+def _tree_rows(spark, d):
+    label = ((F.col("p_size") > 20) != uniform_below(9, 0.1, "p_partkey")).cast("double")
+    return columns.to_features(table(spark, d, "part").withColumn("label", label), ["p_size"])
+
+
+@query("c8_tree_leaves", _sql_tree(_TREE_ROWS, "({s} - {s} * {s} / {n})", sql_round("avg(y)")))
+def c8_leaves(spark, d):
+    """Share of positives and rows in both leaves of a fitted tree of depth one."""
+    rows = _tree_rows(spark, d)
+    scored = ensemble.decision_tree(max_depth=1, maxBins=64).fit(rows).transform(rows)
+    leaves = scored.withColumn("value", columns.class_probability(1)).groupBy("value")
+    return leaves.agg(F.count(F.lit(1)).alias("n")).select(r("value").alias("value"), "n")
+
+
+@query(
+    "r8_tree_leaves",
+    _sql_tree("(SELECT CAST(p_size AS DOUBLE) AS size, abs(p_size - 17) * 1.0 + p_retailprice / 100 AS y FROM part)", "({q} - {s} * {s} / {n})", sql_round("avg(y)")),
+)
+def r8_leaves(spark, d):
+    """Mean and rows in both leaves of a fitted regression tree of depth one."""
+    label = F.abs(F.col("p_size") - 17) * 1.0 + F.col("p_retailprice") / 100
+    rows = columns.to_features(table(spark, d, "part").withColumn("label", label), ["p_size"])
+    scored = ensemble.regression_tree(max_depth=1, maxBins=64).fit(rows).transform(rows)
+    return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).select(r("prediction").alias("value"), "n")
+
+
 @query("c9_forest_importances")
 def c9(spark, d):
     train, _ = split_rows(spark, d)
@@ -666,7 +703,7 @@ def _topic_model(spark, d):
     docs = documents(spark, d).select("doc_id", tx.word_tokens(F.col("text")).alias("tokens"))
     counted = vectorize.count_vectorizer(vocab, "tokens", "features").transform(docs).select("doc_id", "features")
     model = decompose.fit_topics(counted, topics=10, max_iter=5)
-    return model, counted, [row["term"] for row in vocab.orderBy("idx").select("term").collect()]
+    return model, counted, vocab
 
 
 @query("d6_topics")
@@ -679,8 +716,8 @@ def d6(spark, d):
 
 @query("d7_top_words")
 def d7(spark, d):
-    model, _, terms = _topic_model(spark, d)
-    return decompose.top_words(model, terms, 5).select("topic", "rank", "term", r("weight").alias("weight"))
+    model, _, vocab = _topic_model(spark, d)
+    return decompose.top_words(model, vocab, 5).select("topic", "rank", "term", r("weight").alias("weight"))
 
 
 # ---- workflow --------------------------------------------------------------------------------------

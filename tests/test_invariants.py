@@ -330,4 +330,4 @@ def test_topics_are_shares(spark):
     model = decompose.fit_topics(counted, 2, max_iter=20)
     shares = model.transform(counted).select(vector_to_array("topicDistribution").alias("t")).toPandas()["t"]
     assert all(abs(sum(t) - 1) < 1e-6 for t in shares) and np.isfinite(model.logLikelihood(counted))
-    assert decompose.top_words(model, ["law", "sea", "sun", "tax"], 2).count() == 4
+    assert decompose.top_words(model, vocab, 2).count() == 4
