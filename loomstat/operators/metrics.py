@@ -77,21 +77,28 @@ def _score_totals(df: DataFrame, label: str, score: str, by) -> DataFrame:
 def roc_curve(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
     """(fpr, tpr, threshold) for every distinct score, after the origin (threshold NULL)."""
     by = list(by)
-    points = _score_totals(df, label, score, by).select(
+    return _points(_score_totals(df, label, score, by), by)
+
+
+def _points(totals: DataFrame, by: list[str]) -> DataFrame:
+    points = totals.select(
         *by,
         (F.col("fp") / F.col("fp_total")).alias("fpr"),
         (F.col("tp") / F.col("tp_total")).alias("tpr"),
         F.col("score").alias("threshold"),
     )
     zero = F.lit(0.0)
-    groups = points.select(*by).distinct() if by else df.sparkSession.range(1)
+    groups = points.select(*by).distinct() if by else totals.sparkSession.range(1)
     return points.unionByName(groups.select(*by, zero.alias("fpr"), zero.alias("tpr"), F.lit(None).cast("double").alias("threshold")))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
     """Share of (positive, negative) pairs in the right order, ties counting half."""
     by = list(by)
-    totals = _score_totals(df, label, score, by)
+    return _areas(_score_totals(df, label, score, by), by)
+
+
+def _areas(totals: DataFrame, by: list[str]) -> DataFrame:
     won = F.col("_neg") * (F.col("tp") - F.col("_pos") / 2)
     pairs = F.max("tp_total") * F.max("fp_total")
     return totals.groupBy(*by).agg((F.sum(won) / pairs).alias("auc"))
@@ -168,12 +175,26 @@ def interpolated(curve: DataFrame, x: str, y: str, grid: list[float], by: list[s
 
 def mean_roc(df: DataFrame, label: str, score: str, fold: str, points: int = 100) -> DataFrame:
     """Average of the folds' ROC curves on an even grid that starts at 0."""
+    return _mean_curve(roc_curve(df, label, score, [fold]), fold, points)
+
+
+def _mean_curve(curves: DataFrame, fold: str, points: int) -> DataFrame:
     grid = [g / (points - 1) for g in range(points)]
-    curves = interpolated(roc_curve(df, label, score, [fold]), "fpr", "tpr", grid, [fold])
+    curves = interpolated(curves, "fpr", "tpr", grid, [fold])
     tpr = F.when(F.col("grid_id") == 0, F.lit(0.0)).otherwise(F.col("tpr"))
     return curves.withColumn("tpr", tpr).groupBy("grid_id", "fpr").agg(F.avg("tpr").alias("tpr"))
 
 
+def mean_roc_area(df: DataFrame, label: str, score: str, fold: str, points: int = 100) -> DataFrame:
+    """(mean_auc, std_auc): area under the mean curve, and the spread of the folds' own areas."""
+    totals = _score_totals(df, label, score, [fold])
+    spread = _areas(totals, [fold]).agg(F.stddev_samp("auc")).scalar()
+    mean = _mean_curve(_points(totals, [fold]), fold, points)
+    step = Window.orderBy("grid_id")  # ``points`` rows
+    trapezoid = (F.col("fpr") - F.lag("fpr").over(step)) * (F.col("tpr") + F.lag("tpr").over(step)) / 2
+    return mean.select(trapezoid.alias("a")).agg(F.sum("a").alias("mean_auc")).withColumn("std_auc", spread)
+
+
 def regression_scores(df: DataFrame, label: str, prediction: str, by=(), n_features: int | None = None) -> DataFrame:
     """n, mse, mae, r2 (and adj_r2) in one pass."""
     residual = F.col(label) - F.col(prediction)

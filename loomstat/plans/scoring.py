@@ -176,10 +176,8 @@ def a11(spark, d):
 )
 def v13(spark, d):
     """Area under the mean curve, and the spread of the folds' own areas."""
-    rows = folded(spark, d)
-    std = metrics.roc_auc(rows, "label", "score", ["fold"]).agg(F.stddev_samp("auc")).scalar()
-    area = metrics.curve_area(metrics.mean_roc(rows, "label", "score", "fold"), "fpr", "tpr")
-    return area.select(r("auc", 9).alias("mean_auc"), r(std, 9).alias("std_auc"))
+    area = metrics.mean_roc_area(folded(spark, d), "label", "score", "fold")
+    return area.select(r("mean_auc", 9).alias("mean_auc"), r("std_auc", 9).alias("std_auc"))
 
 
 _PREDICTED = f"(SELECT id, flag, price AS label, 1000 * qty + 2000 * num AS prediction FROM {SQL_LINES})"
