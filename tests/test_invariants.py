@@ -297,7 +297,7 @@ def test_constant_column_scaling(spark):
 def test_support_vectors_learn_a_circle(spark):
     pts = RNG.normal(size=(600, 2)) * 1.5
     rows = spark.createDataFrame([(float(x), float(y), float(x * x + y * y > 3)) for x, y in pts], "x double, y double, label double")
-    data = columns.to_features(rows, ["x", "y"]).persist()
+    data = columns.to_features(rows.coalesce(1), ["x", "y"]).persist()
     score = lambda kernel: classify.SupportVectorClassifier(kernel=kernel, C=10.0, size=100, maxIter=20).fit(data).transform(data).agg(metrics.accuracy("label", "prediction")).first()[0]
     assert score("rbf") > 0.9 > score("linear")
 
