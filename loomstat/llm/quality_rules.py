@@ -138,6 +138,8 @@ def cleaned(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars")
     verdict = "_verdict"
     while verdict in docs.columns:
         verdict += "_"
-    kept = docs.withColumn(verdict, judgement(text_of(docs, text_col))).where(F.col(verdict)["kept"])
+    # explode() keeps the verdict from being worked out once for the filter and once for the text
+    passing = F.filter(F.array(judgement(text_of(docs, text_col))), lambda v: v["kept"])
+    kept = docs.select("*", F.explode(passing).alias(verdict))
     out = kept.withColumn(text_col, F.col(verdict)["clean_text"]).drop(verdict)
     return out.withColumn(size_col, F.length(text_col).cast("bigint")) if size_col in docs.columns else out
