@@ -1,11 +1,18 @@
-"""The corpus pipeline: documents in, cleaned and encoded documents out."""
+"""The corpus pipeline: documents in; cleaned, deduplicated, decontaminated, masked and encoded documents out.
+
+Every stage takes (spark, docs, sf_dir), works on all that the stage before it kept, and
+returns the columns of documents; the last one returns the encoding.  Rows with a NULL
+id can be told apart by no stage that joins on ids: those stages keep them.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import quality_rules
+from loomstat.llm import bpe, decontaminate, quality_rules, simhash
+from loomstat.llm.queries_bpe import RANK_FILE
 from loomstat.llm.queries_native import mask_documents
 
 
@@ -14,16 +21,44 @@ def rule_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.cleaned(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more), the document of smallest id."""
+    copies = simhash.near_duplicates(docs).where("component_id <> doc_id").select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage or re-parameterised question of the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    found = decontaminate.find(docs, benchmark).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind in brackets."""
     return mask_documents(docs)
 
 
-STAGES = [("quality rules", rule_filter), ("pii", mask_pii)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, text): the token ids and the text decoded from them."""
+    ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
+    out = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text"))
+
+
+STAGES = [
+    ("quality rules", rule_filter),
+    ("near dedup", near_dedup),
+    ("decontamination", drop_contaminated),
+    ("pii", mask_pii),
+    ("bpe", encode),
+]
+#: SQL cannot state the near-copy search and the tokenizer; tests compare with brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
