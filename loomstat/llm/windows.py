@@ -28,8 +28,12 @@ def words_at_every_byte(buf: np.ndarray) -> np.ndarray:
     n = len(buf) - 7
     if n <= 0:
         return np.zeros(0, np.uint64)
-    data = np.ascontiguousarray(buf)
-    return mixed(np.ndarray((n,), "<u8", data, 0, (1,)).astype(np.uint64))
+    return mixed(_words(buf).astype(np.uint64))
+
+
+def _words(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each byte, as a view."""
+    return np.ndarray((len(buf) - 7,), "<u8", np.ascontiguousarray(buf), 0, (1,))
 
 
 def offsets(width: int) -> list[int]:
@@ -48,12 +52,16 @@ def window_hashes(words: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     return mixed(total)
 
 
-def hashes_at(words: np.ndarray, places: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
-    """``window_hashes(words, width, seed)[places]`` without the rest."""
-    total = np.zeros(len(places), np.uint64)
-    for k, at in enumerate(offsets(width)):
-        total += words[places + at] * odd(97 * seed + k + 1)
-    return mixed(total)
+def hashes_at(buf: np.ndarray, places: np.ndarray, width: int, seeds: tuple[int, ...]) -> list[np.ndarray]:
+    """One hash for each seed of the windows of ``buf`` that begin at ``places``; the rest is not worked out."""
+    totals = [np.zeros(len(places), np.uint64) for _ in seeds]
+    if len(places):
+        view = _words(buf)
+        for k, at in enumerate(offsets(width)):
+            word = mixed(view[places + at].astype(np.uint64))
+            for total, seed in zip(totals, seeds, strict=True):
+                total += word * odd(97 * seed + k + 1)
+    return [mixed(t) for t in totals]
 
 
 def sliding(best, values: np.ndarray, width: int) -> np.ndarray:
