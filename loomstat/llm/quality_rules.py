@@ -78,7 +78,7 @@ def line_passes(has_symbols: Column) -> Callable[[Column], Column]:
         symbolic = has_symbols & (symbols * 100 > bare * MAX_SYMBOL_PERCENT)
         shouting = line.rlike(r"^[^\p{Ll}]*$") & line.rlike(r"(\p{Lu}[^\p{Lu}]*){10}")
         closed = F.substring(F.rtrim(line, F.lit(" \t\n\f\r")), -1, 1).isin(*CLOSING)
-        fragment = ~closed & ~line.rlike(rf"({SPACE}*[^ \t\n\x0B\f\r]+){{{FRAGMENT_WORDS}}}")
+        fragment = ~closed & ~line.rlike(rf"([^ \t\n\x0B\f\r]+{SPACE}+){{{FRAGMENT_WORDS - 1}}}[^ \t\n\x0B\f\r]")
         return ~(navigation | boilerplate | symbolic | shouting | fragment)
 
     return passes
