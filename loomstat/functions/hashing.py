@@ -52,9 +52,9 @@ def poisson_thresholds(mean: float = 1.0) -> list[float]:
     return [c for c in out if c < 1.0]
 
 
-def poisson_weight(seed: int, *keys: Column | str) -> Column:
-    """How often a bootstrap sample of full size draws this key (Poisson(1))."""
-    bounds = F.array(*[F.lit(t) for t in poisson_thresholds()])
+def poisson_weight(seed: int, *keys: Column | str, mean: float = 1.0) -> Column:
+    """How often a bootstrap sample of ``mean`` times the size draws this key (a Poisson variable)."""
+    bounds = F.array(*[F.lit(t) for t in poisson_thresholds(mean)])
     # The one-element array binds the uniform to a variable, so that it is hashed once per row.
     counts = F.transform(
         F.array(uniform(seed, *keys)),

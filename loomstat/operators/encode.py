@@ -11,13 +11,10 @@ from pyspark.sql import functions as F
 
 from loomstat.operators.ordering import ordered_rank
 
-BROADCAST_ENTRIES = 100_000  # a mapping given as a Python dict up to this size is broadcast
-
 
 def mapping_frame(spark, mapping: dict, key_type: str, value_type: str) -> DataFrame:
-    """A dictionary as a two-column table (key, value)."""
-    frame = spark.createDataFrame(list(mapping.items()), f"key {key_type}, value {value_type}")
-    return F.broadcast(frame) if len(mapping) <= BROADCAST_ENTRIES else frame
+    """A dictionary as a two-column table (key, value); how to join it is left to run time."""
+    return spark.createDataFrame(list(mapping.items()), f"key {key_type}, value {value_type}")
 
 
 def lookup(df: DataFrame, col: str, mapping: DataFrame, out: str) -> DataFrame:
@@ -99,12 +96,12 @@ def fit_min_max_scaler(df: DataFrame, cols: list[str]) -> ColumnScaler:
 
 
 def standardised(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Standardise by the table's own statistics in one lazy plan (a scalar subquery)."""
+    """Standardise by the table's own statistics in one lazy plan (a scalar subquery); a constant column becomes 0."""
     names = {c: (f"m_{i}", f"s_{i}") for i, c in enumerate(cols)}
     aggs = [a for c, (m, s) in names.items() for a in (F.avg(c).alias(m), F.stddev_samp(c).alias(s))]
     stats = df.agg(*aggs)
     row = stats.select(F.struct(*stats.columns)).scalar()
-    return df.withColumns({c: (F.col(c) - row[m]) / row[s] for c, (m, s) in names.items()})
+    return df.withColumns({c: F.when(row[s] > 0, (F.col(c) - row[m]) / F.nullif(row[s], F.lit(0.0))).otherwise(F.col(c) - row[m]) for c, (m, s) in names.items()})
 
 
 def polynomial_terms(cols: list[str], degree: int) -> dict[str, Column]:
@@ -115,10 +112,17 @@ def polynomial_terms(cols: list[str], degree: int) -> dict[str, Column]:
             product = F.col(combo[0]).cast("double")
             for c in combo[1:]:
                 product = product * F.col(c).cast("double")
-            terms["_".join(combo)] = product
+            name = "_".join(combo)
+            if name in terms:
+                raise ValueError(f"two products would be called {name}; rename a column")
+            terms[name] = product
     return terms
 
 
 def with_polynomial(df: DataFrame, cols: list[str], degree: int) -> DataFrame:
-    fresh = {n: e for n, e in polynomial_terms(cols, degree).items() if n not in df.columns}
+    """All products of the columns up to ``degree`` beside the columns themselves."""
+    fresh = {n: e for n, e in polynomial_terms(cols, degree).items() if n not in cols}
+    taken = sorted(set(fresh) & set(df.columns))
+    if taken:
+        raise ValueError(f"the table already has columns called {', '.join(taken)}")
     return df.withColumns(fresh) if fresh else df

@@ -9,16 +9,17 @@ union of groups follow from them without reading the rows again.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomstat.functions.hashing import uniform, uniform_below
 from loomstat.functions.maths import linear_score
-
-MAX_GROUPS = 100_000  # folds x sizes x batches; groups are set by parameters, not by the data
-
+from loomstat.operators.batches import matrix, summed
 
 @dataclass
 class LinearFit:
@@ -39,16 +40,17 @@ class LinearFit:
 
 @dataclass
 class Gram:
-    """Sums of products of ``[1, x - shift, y - shift]`` over some rows."""
+    """Sums of products of ``[1, x - shift, y - shift]`` over the complete rows of a group."""
 
     sums: np.ndarray
     shift: np.ndarray  # one value per x, then y
+    dropped: int = 0  # rows left out because a value was NULL
 
     def __add__(self, other: "Gram") -> "Gram":
-        return Gram(self.sums + other.sums, self.shift)
+        return Gram(self.sums + other.sums, self.shift, self.dropped + other.dropped)
 
     def __sub__(self, other: "Gram") -> "Gram":
-        return Gram(self.sums - other.sums, self.shift)
+        return Gram(self.sums - other.sums, self.shift, self.dropped - other.dropped)
 
     @property
     def n(self) -> float:
@@ -56,23 +58,31 @@ class Gram:
 
     def centred(self) -> tuple[np.ndarray, np.ndarray, float]:
         """Sums of squares and products about these rows' own means."""
-        m = self.sums[0, 1:] / self.n
+        m = self.sums[0, 1:] / max(self.n, 1.0)
         c = self.sums[1:, 1:] - self.n * np.outer(m, m)
         return c[:-1, :-1], c[:-1, -1], float(c[-1, -1])
 
     def _with_intercept(self, w: np.ndarray, losses=None) -> LinearFit:
-        means = self.sums[0, 1:] / self.n + self.shift
+        means = self.sums[0, 1:] / max(self.n, 1.0) + self.shift
         return LinearFit(float(means[-1] - means[:-1] @ w), w, losses)
 
     def least_squares(self, l2: float = 0.0) -> LinearFit:
-        """Minimise ``|r|^2 + l2 |w|^2``; the intercept is not penalised."""
+        """Minimise ``|r|^2 + l2 |w|^2``; the intercept is not penalised.
+
+        Columns are solved on one scale.  Constant and collinear columns share the
+        least-norm weights; no complete row gives zeros.
+        """
         xx, xy, _ = self.centred()
-        return self._with_intercept(np.linalg.solve(xx + l2 * np.eye(len(xx)), xy))
+        a = xx + l2 * np.eye(len(xx))
+        scale = np.sqrt(np.maximum(np.diag(a), 0.0))
+        scale[scale <= 1e-10 * max(1.0, scale.max(initial=0.0))] = np.inf  # a constant column gets weight 0
+        w = np.linalg.lstsq(a / np.outer(scale, scale), xy / scale, rcond=1e-11)[0] / scale
+        return self._with_intercept(w)
 
     def coordinate_descent(self, l1: float, l2: float = 0.0, rounds: int = 1000, tol: float = 1e-12) -> LinearFit:
         """Minimise ``|r|^2 / 2n + l1 |w|_1 + l2/2 |w|^2``."""
         xx, xy, _ = self.centred()
-        a, c = xx / self.n, xy / self.n
+        a, c = xx / max(self.n, 1.0), xy / max(self.n, 1.0)
         w = np.zeros(len(c))
         for _ in range(rounds):
             before = w.copy()
@@ -95,34 +105,66 @@ class Gram:
         return float(v @ self.sums @ v)
 
     def scores(self, fit: LinearFit) -> dict[str, float]:
-        """mse and r2 of a fit on these rows."""
+        """mse and r2 of a fit on these rows; for a constant label r2 is 1 without errors, else 0."""
         sse, (_, _, sst) = self.sse(fit), self.centred()
-        return {"mse": sse / self.n, "r2": 1.0 - sse / sst}
+        n = max(self.n, 1.0)
+        if sst <= 1e-12 * max(1.0, abs(self.sums[-1, -1])):
+            return {"mse": sse / n, "r2": 1.0 if sse <= 1e-12 * n else 0.0}
+        return {"mse": sse / n, "r2": 1.0 - sse / sst}
 
 
 def grams(df: DataFrame, xs: list[str], y: str, by: list[str]) -> dict[tuple, Gram]:
     """One Gram matrix per group, in one pass after the means are known.
 
-    Groups come from parameters (folds, sizes, batches), so their number is
-    small; rows are shifted by the overall means to keep the sums exact.
+    Groups come from parameters (folds, sizes, batches); for groups that come from
+    the data use ``group_fits``, which leaves them in a table.  Rows are shifted by
+    the overall means to keep the sums exact.  A row with a NULL among its values
+    takes no part; ``dropped`` counts them.
     """
+    table, shift, cells = _gram_table(df, xs, y, by)
+    return {tuple(row[b] for b in by): _gram_of(row, shift, cells) for row in table.collect()}
+
+
+def _gram_table(df: DataFrame, xs: list[str], y: str, by: list[str]):
+    """(by..., dropped, g_i_j...): sums of products per group, with the shift and the cells."""
     cols = [*xs, y]
-    means = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    shift = np.array([float(means[i]) for i in range(len(cols))])
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    means = df.where(whole).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    shift = np.array([float(means[i] or 0.0) for i in range(len(cols))])
     z = [F.lit(1.0)] + [F.col(c).cast("double") - F.lit(float(s)) for c, s in zip(cols, shift)]
-    size = len(z)
-    cells = [(i, j) for i in range(size) for j in range(i, size)]
-    agg = df.groupBy(*by).agg(*[F.sum(z[i] * z[j]).alias(f"g_{i}_{j}") for i, j in cells])
-    rows = agg.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups: group by parameters, not by data")
-    out = {}
-    for row in rows:
-        g = np.zeros((size, size))
-        for i, j in cells:
-            g[i, j] = g[j, i] = row[f"g_{i}_{j}"]
-        out[tuple(row[b] for b in by)] = Gram(g, shift)
-    return out
+    cells = [(i, j) for i in range(len(z)) for j in range(i, len(z))]
+    sums = [F.coalesce(F.sum(F.when(whole, z[i] * z[j])), F.lit(0.0)).alias(f"g_{i}_{j}") for i, j in cells]
+    return df.groupBy(*by).agg(F.count_if(~whole).alias("dropped"), *sums), shift, cells
+
+
+def _gram_of(row, shift: np.ndarray, cells) -> Gram:
+    size = len(shift) + 1
+    g = np.zeros((size, size))
+    for i, j in cells:
+        g[i, j] = g[j, i] = row[f"g_{i}_{j}"]
+    return Gram(g, shift, row["dropped"])
+
+
+def group_fits(df: DataFrame, xs: list[str], y: str, by: list[str], l2: float = 0.0) -> DataFrame:
+    """(by..., n, dropped, b, w): least squares per group, for any number of groups, solved where the sums are."""
+    table, shift, cells = _gram_table(df, xs, y, by)
+
+    def solved(batches):
+        for batch in batches:
+            rows = batch.to_pylist()
+            fits = [(g, g.least_squares(l2)) for g in (_gram_of(r, shift, cells) for r in rows)]
+            made = [
+                *[batch.column(i) for i in range(len(by))],
+                pa.array([int(g.n) for g, _ in fits], pa.int64()),
+                pa.array([g.dropped for g, _ in fits], pa.int64()),
+                pa.array([float(f.b) for _, f in fits]),
+                pa.array([f.w.tolist() for _, f in fits], pa.list_(pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays(made, [*by, "n", "dropped", "b", "w"])
+
+    found = [("n", T.LongType()), ("dropped", T.LongType()), ("b", T.DoubleType()), ("w", T.ArrayType(T.DoubleType()))]
+    schema = T.StructType([*(table.schema[b] for b in by), *(T.StructField(n, t) for n, t in found)])
+    return table.mapInArrow(solved, schema)
 
 
 def gram(df: DataFrame, xs: list[str], y: str) -> Gram:
@@ -235,22 +277,30 @@ def ransac(df: DataFrame, key: str, x: str, y: str, max_trials: int, min_samples
 def logistic_descent(df: DataFrame, xs: list[str], y: str, eta: float, num_iter: int) -> LinearFit:
     """Full-batch descent on the mean log-loss from zero weights.
 
-    Rows with equal features and label count as one row with a weight, which
-    shrinks tables of few distinct values; each epoch is one aggregation.
+    The rows are kept once; an epoch adds up loss and slope inside each task and
+    moves one row per task.  Rows with a NULL take no part.
     """
-    rows = df.groupBy(*xs, F.col(y).cast("double").alias("_y")).agg(F.count(F.lit(1)).alias("_c")).persist()
+    vec = F.array(F.lit(1.0), *[F.col(x).cast("double") for x in xs], F.col(y).cast("double"))
+    rows = df.dropna(subset=[*xs, y]).select(vec.alias("v")).persist()
     try:
-        n = rows.agg(F.sum("_c")).first()[0]
-        b, w, losses = 0.0, np.zeros(len(xs)), []
+        v, losses = np.zeros(len(xs) + 1), []
         for _ in range(num_iter):
-            z = linear_score([F.col(x) for x in xs], list(w), b)
-            p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-            off = (p - F.col("_y")) * F.col("_c")
-            loss = -F.col("_c") * F.when(F.col("_y") == 1, F.ln(p)).otherwise(F.ln(F.lit(1.0) - p))
-            row = rows.agg(F.sum(loss), F.sum(off), *[F.sum(off * F.col(x)) for x in xs]).first()
-            losses.append(row[0] / n)
-            b -= eta * row[1] / n
-            w = w - eta * np.array(row[2:]) / n
-        return LinearFit(b, w, losses)
+
+            def epoch(batches, v=v):
+                total = np.zeros(len(v) + 2)
+                for batch in batches:
+                    m = matrix(batch.column(0))
+                    x, label = m[:, :-1], m[:, -1]
+                    z = x @ v
+                    total[0] += len(m)
+                    total[1] += (np.logaddexp(0.0, z) - label * z).sum()
+                    total[2:] += (1.0 / (1.0 + np.exp(-z)) - label) @ x
+                return total
+
+            total = summed(rows, epoch, len(v) + 2)
+            n = max(total[0], 1.0)
+            losses.append(total[1] / n)
+            v = v - eta * total[2:] / n
+        return LinearFit(float(v[0]), v[1:], losses)
     finally:
         rows.unpersist()

@@ -75,7 +75,10 @@ def _score_totals(df: DataFrame, label: str, score: str, by) -> DataFrame:
 
 
 def roc_curve(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
-    """(fpr, tpr, threshold) for every distinct score, after the origin (threshold NULL)."""
+    """(fpr, tpr, threshold) for every distinct score, after the origin (threshold NULL).
+
+    A rate is NULL in a group without rows of its class.
+    """
     by = list(by)
     return _points(_score_totals(df, label, score, by), by)
 
@@ -83,8 +86,8 @@ def roc_curve(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
 def _points(totals: DataFrame, by: list[str]) -> DataFrame:
     points = totals.select(
         *by,
-        (F.col("fp") / F.col("fp_total")).alias("fpr"),
-        (F.col("tp") / F.col("tp_total")).alias("tpr"),
+        (F.col("fp") / F.nullif("fp_total", F.lit(0))).alias("fpr"),
+        (F.col("tp") / F.nullif("tp_total", F.lit(0))).alias("tpr"),
         F.col("score").alias("threshold"),
     )
     zero = F.lit(0.0)
@@ -93,14 +96,14 @@ def _points(totals: DataFrame, by: list[str]) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
-    """Share of (positive, negative) pairs in the right order, ties counting half."""
+    """Share of (positive, negative) pairs in the right order, ties counting half; NULL for one class only."""
     by = list(by)
     return _areas(_score_totals(df, label, score, by), by)
 
 
 def _areas(totals: DataFrame, by: list[str]) -> DataFrame:
     won = F.col("_neg") * (F.col("tp") - F.col("_pos") / 2)
-    pairs = F.max("tp_total") * F.max("fp_total")
+    pairs = F.nullif(F.max("tp_total") * F.max("fp_total"), F.lit(0))
     return totals.groupBy(*by).agg((F.sum(won) / pairs).alias("auc"))
 
 
@@ -174,13 +177,14 @@ def interpolated(curve: DataFrame, x: str, y: str, grid: list[float], by: list[s
 
 
 def mean_roc(df: DataFrame, label: str, score: str, fold: str, points: int = 100) -> DataFrame:
-    """Average of the folds' ROC curves on an even grid that starts at 0."""
+    """Average of the folds' ROC curves on an even grid that starts at 0; folds of one class take no part."""
     return _mean_curve(roc_curve(df, label, score, [fold]), fold, points)
 
 
 def _mean_curve(curves: DataFrame, fold: str, points: int) -> DataFrame:
     grid = [g / (points - 1) for g in range(points)]
-    curves = interpolated(curves, "fpr", "tpr", grid, [fold])
+    both = curves.groupBy(fold).agg(F.count_if(F.col("fpr").isNull() | F.col("tpr").isNull()).alias("_gaps")).where("_gaps = 0").select(fold)
+    curves = interpolated(curves.join(both, fold), "fpr", "tpr", grid, [fold])
     tpr = F.when(F.col("grid_id") == 0, F.lit(0.0)).otherwise(F.col("tpr"))
     return curves.withColumn("tpr", tpr).groupBy("grid_id", "fpr").agg(F.avg("tpr").alias("tpr"))
 
@@ -196,19 +200,23 @@ def mean_roc_area(df: DataFrame, label: str, score: str, fold: str, points: int
 
 
 def regression_scores(df: DataFrame, label: str, prediction: str, by=(), n_features: int | None = None) -> DataFrame:
-    """n, mse, mae, r2 (and adj_r2) in one pass."""
+    """n, mse, mae, r2 (and adj_r2) in one pass over the rows without a NULL.
+
+    For a constant label r2 is 1 without errors, else 0.
+    """
     residual = F.col(label) - F.col(prediction)
-    sums = df.groupBy(*by).agg(
+    sums = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull()).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(residual * residual).alias("mse"),
         F.avg(F.abs(residual)).alias("mae"),
         F.var_pop(label).alias("_spread"),
     )
-    scored = sums.withColumn("r2", 1 - F.col("mse") / F.col("_spread")).drop("_spread")
+    constant = F.when(F.col("mse") == 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    scored = sums.withColumn("r2", F.when(F.col("_spread") == 0, constant).otherwise(1 - F.col("mse") / F.col("_spread"))).drop("_spread")
     if n_features is None:
         return scored
     n = F.col("n")
-    return scored.withColumn("adj_r2", 1 - (1 - F.col("r2")) * (n - 1) / (n - n_features - 1))
+    return scored.withColumn("adj_r2", 1 - (1 - F.col("r2")) * (n - 1) / F.nullif(n - n_features - 1, F.lit(0)))
 
 
 def residual(label: str, prediction: str) -> Column:

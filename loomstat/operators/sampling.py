@@ -50,13 +50,14 @@ def rebalanced(df: DataFrame, key: str, label: str, majority, minority, seed: in
     return major.unionByName(upsampled)
 
 
-def bootstrap_weights(df: DataFrame, key: str | Column, members: int, seed: int) -> DataFrame:
+def bootstrap_weights(df: DataFrame, key: str | Column, members: int, seed: int, share: float = 1.0) -> DataFrame:
     """One row per (member, row): how often that member's bootstrap draws the row.
 
-    Poisson weights need no counting and no shuffle; rows of weight 0 are left out.
+    A member draws about ``share`` times as many rows as there are.  Poisson weights
+    need no counting and no shuffle; rows of weight 0 are left out.
     """
     spread = df.withColumn("member", F.explode(F.sequence(F.lit(0), F.lit(members - 1))))
-    return spread.withColumn("weight", poisson_weight(seed, "member", key)).where("weight > 0")
+    return spread.withColumn("weight", poisson_weight(seed, "member", key, mean=share)).where("weight > 0")
 
 
 def shuffled(df: DataFrame, key: str | Column, seed: int) -> DataFrame:

@@ -18,9 +18,8 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def weighted_vote(df: DataFrame, key: str, vote: str, weight: str) -> DataFrame:
     """The vote with the largest weight sum per key; ties go to the smallest vote."""
     sums = df.groupBy(key, vote).agg(F.sum(weight).alias("_w"))
-    return sums.groupBy(key).agg(
-        F.max_by(vote, F.struct(F.col("_w"), -F.col(vote))).alias(vote), F.max("_w").alias("weight")
-    )
+    first = sums.groupBy(key).agg(F.min(F.struct((-F.col("_w")).alias("w"), F.col(vote).alias("v"))).alias("_best"))
+    return first.select(key, F.col("_best.v").alias(vote), (-F.col("_best.w")).alias("weight"))
 
 
 def weighted_mean_vote(df: DataFrame, key: str, probs: list[str], weight: str) -> DataFrame:
@@ -93,8 +92,8 @@ def impurity(df: DataFrame, group: str, label: str) -> DataFrame:
 
 
 def normalised(df: DataFrame, col: str, out: str) -> DataFrame:
-    """The column divided by its sum over all rows."""
-    total = df.agg(F.sum(col)).scalar()
+    """The column divided by its sum over all rows; NULL where the sum is 0."""
+    total = df.agg(F.nullif(F.sum(col), F.lit(0))).scalar()
     return df.withColumn(out, F.col(col) / total)
 
 
