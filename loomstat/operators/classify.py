@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions.hashing import seeded_hash
-from loomstat.operators.batches import evened, matrix, summed
+from loomstat.operators.batches import matrix, summed
 from loomstat.operators.ordering import running_totals
 from loomstat.session import cut_lineage
 
@@ -41,14 +41,13 @@ class PerceptronFit:
         return (F.array_position(values, F.array_max(values)) - 1).cast("bigint")
 
 
-def perceptron(df: DataFrame, key: str, features: list[str], label: str, classes: int = 2, eta: float = 0.1, num_iter: int = 10, seed: int = 1, shards: int | None = None, batch: int = 32) -> PerceptronFit:
+def perceptron(df: DataFrame, key: str, features: list[str], label: str, classes: int = 2, eta: float = 0.1, num_iter: int = 10, seed: int = 1, shards: int = 16, batch: int = 32) -> PerceptronFit:
     """Perceptron by parameter mixing: every shard learns for an epoch, weights are averaged.
 
-    Rows are shuffled into shards by a seeded hash and written once.  Inside a
-    shard small batches update the weights in turn; one row per shard returns.
+    Rows are shuffled into ``shards`` shards by a seeded hash and written once; the
+    number is a parameter, so the answer is the same on any cluster.  Inside a shard
+    small batches update the weights in turn; one row per shard returns.
     """
-    spark = df.sparkSession
-    shards = shards or spark.sparkContext.defaultParallelism
     vec = F.array(F.lit(1.0), *[F.col(c).cast("double") for c in features])
     rows = df.select(F.col(label).cast("int").alias("y"), vec.alias("x"), seeded_hash(seed, key).alias("_h"))
     rows = cut_lineage(rows.repartition(shards, "_h").sortWithinPartitions("_h").select("y", "x"))
@@ -91,7 +90,7 @@ def regularisation_path(df: DataFrame, l2s: list[float], names: list[str], max_i
     """(l2, feature, weight) of one logistic regression per penalty."""
     base = logistic(max_iter=max_iter)
     settings = [{base.regParam: float(v)} for v in l2s]
-    kept = evened(df).persist()
+    kept = df.persist()
     try:
         rows = [
             (float(l2s[i]), name, float(w)) for i, model in base.fitMultiple(kept, settings) for name, w in zip(names, model.coefficients.toArray())
@@ -150,7 +149,7 @@ class FourierFeatures(Estimator, HasInputCol, HasOutputCol, HasSeed, DefaultPara
             variance = spread[1] / cells - (spread[0] / cells) ** 2
             gamma = 1.0 / (width * variance) if variance > 0 else 1.0
         waves, phases = fourier_waves(width, self.getOrDefault(self.size), gamma, self.getSeed())
-        return FourierFeaturesModel(self.getInputCol(), self.getOutputCol(), waves, phases)
+        return FourierFeaturesModel(inputCol=self.getInputCol(), outputCol=self.getOutputCol(), waves=waves.ravel().tolist(), phases=phases.tolist())
 
 
 def fourier_waves(width: int, size: int, gamma: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,15 +169,24 @@ def fourier_columns(xs: list[Column], waves: np.ndarray, phases: np.ndarray) ->
     return out
 
 
-class FourierFeaturesModel(Model):
-    def __init__(self, input_col: str, output_col: str, waves: np.ndarray, phases: np.ndarray):
+class FourierFeaturesModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Fitted cosine features; directions (row by row) and phases are parameters, so it can be saved."""
+
+    waves = Param(Params._dummy(), "waves", "directions, one after another", typeConverter=TypeConverters.toListFloat)
+    phases = Param(Params._dummy(), "phases", "one per direction", typeConverter=TypeConverters.toListFloat)
+
+    @keyword_only
+    def __init__(self, *, inputCol="features", outputCol="fourier", waves=None, phases=None):
         super().__init__()
-        self.input_col, self.output_col, self.waves, self.phases = input_col, output_col, waves, phases
+        self._setDefault(inputCol="features", outputCol="fourier")
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        wide = df.withColumn("_x", vector_to_array(F.col(self.input_col)))
-        xs = [F.col("_x")[i] for i in range(self.waves.shape[1])]
-        return wide.withColumn(self.output_col, array_to_vector(F.array(*fourier_columns(xs, self.waves, self.phases)))).drop("_x")
+        phases = np.array(self.getOrDefault(self.phases))
+        waves = np.array(self.getOrDefault(self.waves)).reshape(len(phases), -1)
+        wide = df.withColumn("_x", vector_to_array(F.col(self.getInputCol())))
+        xs = [F.col("_x")[i] for i in range(waves.shape[1])]
+        return wide.withColumn(self.getOutputCol(), array_to_vector(F.array(*fourier_columns(xs, waves, phases)))).drop("_x")
 
 
 class SupportVectorClassifier(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
@@ -206,6 +214,35 @@ class SupportVectorClassifier(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, D
         return Pipeline(stages=[*stages, svc]).fit(df)
 
 
+@dataclass
+class MarginOneVsRest:
+    """Binary classifiers with a raw score, one per class; the class of the largest score wins (the first on ties)."""
+
+    classes: list
+    models: list
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``scores`` (array by class) and ``prediction``."""
+        scored, raw = df, []
+        for k, model in enumerate(self.models):
+            scored = model.transform(scored).withColumn(f"_margin{k}", vector_to_array("rawPrediction")[1])
+            scored = scored.select(*df.columns, *raw, f"_margin{k}")
+            raw.append(f"_margin{k}")
+        out = scored.withColumn("scores", F.array(*raw)).drop(*raw)
+        best = F.array_position("scores", F.array_max("scores")).cast("int")
+        return out.withColumn("prediction", F.element_at(F.array(*[F.lit(c) for c in self.classes]), best))
+
+
+def margin_one_vs_rest(df: DataFrame, classifier: Estimator, label: str = "label") -> MarginOneVsRest:
+    """Fit a binary classifier without probabilities (support vectors) against the rest of each class."""
+    classes = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().collect())
+    models = []
+    for c in classes:
+        own = df.withColumn("_own", (F.col(label) == F.lit(c)).cast("double"))
+        models.append(classifier.copy({classifier.labelCol: "_own"}).fit(own))
+    return MarginOneVsRest(classes, models)
+
+
 # ---- stumps ---------------------------------------------------------------------------
 
 

@@ -6,13 +6,13 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow as pa
+from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstat.functions.hashing import seeded_hash
 from loomstat.functions.maths import dot
-from loomstat.operators.batches import evened, matrix, summed
+from loomstat.operators.batches import matrix, summed
 from loomstat.operators.neighbors import distance_sums
 
 
@@ -24,29 +24,60 @@ class ClusterFit:
     iterations: int
 
 
-SAMPLE = 1000  # rows (at least) among which starts are chosen; the fit itself sees all rows
+def _draws(base: np.ndarray, seed: int, turn: int, fit: int) -> np.ndarray:
+    """Uniform numbers in (0, 1] from row hashes, other ones for each seed, turn and fit."""
+    salt = np.uint64((seed * 1_000_003 + turn * 10_007 + fit) * 0x9E3779B97F4A7C15 % 2**64)
+    x = base ^ salt
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype("float64") / 2**53 + 2**-54
 
 
-def start_pool(df: DataFrame, key: str, vec: str, largest_k: int, seed: int) -> np.ndarray:
-    """A bounded hash sample of the rows, the same on any cluster."""
-    rows = df.select(vec, key).orderBy(seeded_hash(seed, key), key).limit(max(SAMPLE, 50 * largest_k)).collect()
-    return np.array([row[vec] for row in rows], dtype="float64")
-
-
-def starting_points(pool: np.ndarray, settings: list[tuple[int, str]], seed: int) -> list[np.ndarray]:
-    """Start centres for each (k, init)."""
-    rng = np.random.default_rng(seed)
-    return [_spread_out(pool, k, rng) if init == "k-means++" else pool[rng.choice(len(pool), k, replace=len(pool) < k)] for k, init in settings]
+def _drawn(rows: DataFrame, chosen: list[list[np.ndarray]], spread_out: list[bool], seed: int, turn: int) -> list[np.ndarray | None]:
+    """One more centre for each fit, out of all rows in one pass.
 
+    A row's odds are even, or its squared distance to the fit's nearest centre: the
+    smallest of ``-log(u) / odds`` is such a draw, and minima combine task by task.
+    A row that is already a centre has no odds.
+    """
 
-def _spread_out(pool: np.ndarray, k: int, rng) -> np.ndarray:
-    """Choose points with odds by squared distance to those chosen before."""
-    chosen = [pool[rng.integers(len(pool))]]
-    for _ in range(k - 1):
-        d2 = np.min([((pool - c) ** 2).sum(axis=1) for c in chosen], axis=0)
-        odds = d2 / d2.sum() if d2.sum() > 0 else None
-        chosen.append(pool[rng.choice(len(pool), p=odds)])
-    return np.array(chosen)
+    def task(batches):
+        best = [(np.inf, None)] * len(chosen)
+        for batch in batches:
+            x, base = matrix(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            for i, centres in enumerate(chosen):
+                odds = np.ones(len(x))
+                if centres:
+                    d2 = np.min([((x - c) ** 2).sum(axis=1) for c in centres], axis=0)
+                    odds = d2 if spread_out[i] else (d2 > 0).astype("float64")
+                with np.errstate(divide="ignore"):
+                    score = np.where(odds > 0, -np.log(_draws(base, seed, turn, i)) / odds, np.inf)
+                at = int(score.argmin()) if len(score) else 0
+                if len(score) and score[at] < best[i][0]:
+                    best[i] = (float(score[at]), x[at].tolist())
+        kept = [(i, s, v) for i, (s, v) in enumerate(best) if v is not None]
+        if kept:
+            columns = list(zip(*kept))
+            arrays = [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.float64()), pa.array(columns[2], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["fit", "score", "v"])
+
+    found = rows.mapInArrow(task, "fit int, score double, v array<double>").groupBy("fit").agg(F.min_by("v", "score").alias("v")).collect()
+    out: list[np.ndarray | None] = [None] * len(chosen)
+    for row in found:
+        out[row["fit"]] = np.array(row["v"])
+    return out
+
+
+def starting_points(rows: DataFrame, settings: list[tuple[int, str]], seed: int) -> list[np.ndarray]:
+    """Start centres for each (k, init), drawn from all ``rows`` (vec, hash): one pass per centre, for all fits."""
+    chosen: list[list[np.ndarray]] = [[] for _ in settings]
+    for turn in range(max(k for k, _ in settings)):
+        more = _drawn(rows, chosen, [init == "k-means++" for _, init in settings], seed, turn)
+        for (k, _), held, v in zip(settings, chosen, more):
+            if len(held) < k and v is not None:
+                held.append(v)
+    # with fewer different rows than centres some centres stand twice
+    return [np.array([held[i % len(held)] for i in range(k)]) for (k, _), held in zip(settings, chosen) if held]
 
 
 def stacked_lloyd(df: DataFrame, vec: str, starts: list[np.ndarray], max_iter: int, settle: float) -> list[ClusterFit]:
@@ -58,7 +89,7 @@ def stacked_lloyd(df: DataFrame, vec: str, starts: list[np.ndarray], max_iter: i
     width = starts[0].shape[1]
     fits = [ClusterFit(np.array(s, dtype="float64"), np.zeros(len(s)), float("inf"), 0) for s in starts]
     active = list(range(len(fits)))
-    rows = evened(df.select(vec)).persist()
+    rows = df.select(vec).persist()
     try:
         while active:
             parts = _one_pass(rows, [fits[i].centres for i in active], width)
@@ -99,19 +130,28 @@ def _one_pass(rows: DataFrame, centres: list[np.ndarray], width: int) -> list[np
 
 
 def _fits(df: DataFrame, key: str, vec: str, settings, max_iter: int, tol: float, seed: int) -> list[ClusterFit]:
-    """``tol`` is relative to the mean variance of the columns."""
-    pool = start_pool(df, key, vec, max(k for k, _ in settings), seed)
-    return stacked_lloyd(df, vec, starting_points(pool, settings, seed), max_iter, tol * float(pool.var(axis=0).mean()))
+    """``tol`` is relative to the mean variance of the columns; no rows give no fits."""
+    hashed = df.select(F.col(vec).cast("array<double>").alias(vec), F.xxhash64(key).alias("_h")).persist()
+    try:
+        starts = starting_points(hashed, settings, seed)
+        if not starts:
+            return []
+        width = starts[0].shape[1]
+        spread = hashed.agg(*[F.var_pop(F.col(vec)[i]).alias(f"v{i}") for i in range(width)]).first()
+        return stacked_lloyd(hashed, vec, starts, max_iter, tol * float(np.mean(list(spread))))
+    finally:
+        hashed.unpersist()
 
 
 def kmeans(df: DataFrame, key: str, vec: str, k: int, init: str = "k-means++", n_init: int = 10, max_iter: int = 300, tol: float = 1e-4, seed: int = 0) -> ClusterFit:
-    """The fit of lowest inertia out of ``n_init`` starts (``init`` "random" or "k-means++")."""
-    return min(_fits(df, key, vec, [(k, init)] * n_init, max_iter, tol, seed), key=lambda f: f.inertia)
+    """The fit of lowest inertia out of ``n_init`` starts (``init`` "random" or "k-means++"); no centres without rows."""
+    fits = _fits(df, key, vec, [(k, init)] * n_init, max_iter, tol, seed)
+    return min(fits, key=lambda f: f.inertia, default=ClusterFit(np.zeros((0, 0)), np.zeros(0), 0.0, 0))
 
 
 def ml_kmeans(df: DataFrame, k: int, max_iter: int = 50, seed: int = 0, features: str = "features") -> KMeansModel:
     """Spark ML's k-means, for many clusters or wide vectors."""
-    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, predictionCol="cluster").fit(evened(df.select(features)))
+    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features, predictionCol="cluster").fit(df.select(features))
 
 
 def squared_distance(xs: list[Column], centre) -> Column:
@@ -153,7 +193,8 @@ def _from_means(sums: DataFrame, key: str, cluster: str) -> DataFrame:
     alone = F.max(F.when(own, F.col("n"))) <= 1
     b = F.min(F.when(~own, F.col("total") / F.col("n")))
     ab = sums.groupBy(key, cluster).agg(a.alias("a"), b.alias("b"), alone.alias("_alone"))
-    value = F.when(F.col("_alone") | F.col("b").isNull(), F.lit(0.0)).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    spread = F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)), F.lit(0.0))  # equal points: 0
+    value = F.when(F.col("_alone") | F.col("b").isNull(), F.lit(0.0)).otherwise(spread)
     return ab.select(key, cluster, value.alias("silhouette"))
 
 
@@ -205,14 +246,13 @@ class MergeTree:
         return out
 
 
-MAX_ITEMS = 2000  # merging holds a matrix of this size on the driver
-
-
 def complete_linkage(centres: np.ndarray) -> MergeTree:
-    """Merge the two groups whose farthest members are closest, until one is left."""
+    """Merge the two groups whose farthest members are closest, until one is left.
+
+    The matrix of distances has the square of the items' number, which is a parameter
+    (``micro`` of ``agglomerate``); ``bisect`` has no such matrix.
+    """
     m = len(centres)
-    if m > MAX_ITEMS:
-        raise ValueError(f"at most {MAX_ITEMS} items can be merged; make micro-clusters first")
     d = np.sqrt(((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2))
     np.fill_diagonal(d, np.inf)
     ids, children, distances = list(range(m)), [], []
@@ -239,3 +279,12 @@ def agglomerate(df: DataFrame, n_clusters: int, micro: int, seed: int = 0, featu
     names = F.array(*[F.lit(x).cast("bigint") for x in tree.labels(min(n_clusters, len(centres)))])
     placed = model.transform(df).withColumn("cluster", F.element_at(names, F.col("cluster") + 1))
     return placed, tree
+
+
+def bisect(df: DataFrame, n_clusters: int, seed: int = 0, features: str = "features") -> DataFrame:
+    """Rows with a ``cluster`` label from the top down: the widest cluster is cut in two until there are enough.
+
+    Every cut is a distributed fit, so neither rows nor clusters have a limit.
+    """
+    model = BisectingKMeans(k=n_clusters, seed=seed, featuresCol=features, predictionCol="cluster").fit(df.select(features))
+    return model.transform(df).withColumn("cluster", F.col("cluster").cast("bigint"))

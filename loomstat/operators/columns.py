@@ -50,3 +50,8 @@ def to_features(df: DataFrame, cols: list[str], out: str = "features") -> DataFr
 def rows_between(df: DataFrame, order_by: list[str], start: int, stop: int) -> DataFrame:
     """Rows ``start`` to ``stop`` (1-based, both included) along a unique order."""
     return ordered_rank(df, order_by, "_rn").where(F.col("_rn").between(start, stop)).drop("_rn")
+
+
+def head_rows(df: DataFrame, order_by: list, start: int, stop: int) -> DataFrame:
+    """As ``rows_between`` for rows near the front: tasks keep their first ``stop`` rows, nothing else is sorted."""
+    return df.orderBy(*order_by).offset(start - 1).limit(stop - start + 1)

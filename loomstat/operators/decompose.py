@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions.maths import linear_score
-from loomstat.operators.batches import evened
 from loomstat.operators.stats import covariance_matrix
 
 
@@ -83,7 +82,7 @@ def scaled_pca(k: int, features: str = "features", out: str = "pca") -> Pipeline
 def fit_topics(counts: DataFrame, topics: int, max_iter: int = 10, seed: int = 123, features: str = "features") -> LDAModel:
     """Batch variational topic model on sparse count vectors."""
     lda = LDA(k=topics, maxIter=max_iter, seed=seed, optimizer="online", subsamplingRate=1.0, featuresCol=features)
-    kept = evened(counts.select(features)).persist()  # every round reads all documents
+    kept = counts.select(features).persist()  # every round reads all documents
     try:
         return lda.fit(kept)
     finally:

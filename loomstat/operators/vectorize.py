@@ -9,8 +9,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,20 +32,30 @@ def term_counts(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     return placed.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(counts: DataFrame) -> DataFrame:
-    """(term, df, cf, idx): document and total frequency, 0-based alphabetical index."""
-    terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    ranked = ordered_rank(terms, ["term"], "_rn")
+def term_totals(df: DataFrame, tokens: Column) -> DataFrame:
+    """(term, df, cf): documents that hold a term, and how often it stands in all of them.
+
+    Tokens are counted where their text is read, and again after one shuffle of
+    (term, counts); the texts do not move.
+    """
+    each = F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(0).alias("d")))
+    once = F.transform(F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d")))
+    marked = df.select(F.inline(F.concat(each, once)))
+    return marked.groupBy("term").agg(F.count_if(F.col("d") == 1).alias("df"), F.count_if(F.col("d") == 0).alias("cf"))
+
+
+def vocabulary(totals: DataFrame) -> DataFrame:
+    """(term, df, cf, idx): document and total frequency (``term_totals``), 0-based alphabetical index."""
+    ranked = ordered_rank(totals, ["term"], "_rn")
     return ranked.select("term", "df", "cf", (F.col("_rn") - 1).alias("idx"))
 
 
-def pruned_vocabulary(counts: DataFrame, documents: Column, max_df: float = 1.0, max_features: int | None = None) -> DataFrame:
+def pruned_vocabulary(totals: DataFrame, documents: Column, max_df: float = 1.0, max_features: int | None = None) -> DataFrame:
     """As ``vocabulary`` without the terms found in more than ``max_df`` of all documents.
 
     ``max_features`` keeps the most frequent terms, ties in alphabetical order.
     """
-    terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    terms = terms.where(F.col("df") <= F.lit(max_df) * documents)
+    terms = totals.where(F.col("df") <= F.lit(max_df) * documents)
     if max_features is not None:
         terms = terms.orderBy(F.desc("cf"), "term").limit(max_features)
     ranked = ordered_rank(terms, ["term"], "_rn")
@@ -75,46 +85,53 @@ class TfidfFit:
         return l2_normalised(weighted, key, "weight")
 
 
-def fit_tfidf(docs: DataFrame, counts: DataFrame) -> TfidfFit:
+def fit_tfidf(docs: DataFrame, tokens: Column) -> TfidfFit:
     """Vocabulary and smoothed inverse document frequencies of a corpus.
 
     The table is written once and serves every later transform.
     """
     documents = docs.agg(F.count(F.lit(1))).scalar()
-    terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    terms = term_totals(docs, tokens).select("term", "df")
     return TfidfFit(cut_lineage(terms.withColumn("idf", smooth_idf(documents, F.col("df")))))
 
 
-def count_vectorizer(vocab: DataFrame, tokens_col: str, out: str, limit: int = 1 << 20) -> CountVectorizerModel:
+def count_vectorizer(vocab: DataFrame, tokens_col: str, out: str) -> CountVectorizerModel:
     """Model that turns token arrays into sparse count vectors over ``vocab``.
 
-    The vector positions need the terms on every task, so this way is for
-    vocabularies with a bound (``max_features``).
+    The terms go to every task with the model, so this way is for vocabularies that
+    were bounded on purpose (``max_features``); ``sparse_vectors`` has no bound.
     """
-    rows = vocab.orderBy("idx").select("term").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} terms: prune the vocabulary or use the long form")
+    rows = vocab.orderBy("idx").select("term").collect()
     return CountVectorizerModel.from_vocabulary([row["term"] for row in rows], inputCol=tokens_col, outputCol=out)
 
 
-def tfidf_vectors(df: DataFrame, vocab: DataFrame, documents: int, tokens_col: str, out: str) -> DataFrame:
-    """Sparse TF-IDF vectors of length 1 over a bounded vocabulary; no Python involved."""
-    import math
+def _sparse(size: int, entries) -> SparseVector:
+    return Vectors.sparse(size, [(e["idx"], e["weight"]) for e in entries])
+
 
-    counted = count_vectorizer(vocab, tokens_col, "_counts").transform(df)
-    idfs = [math.log((1 + documents) / (1 + row["df"])) + 1 for row in vocab.orderBy("idx").select("df").collect()]
-    scaled = ElementwiseProduct(scalingVec=Vectors.dense(idfs), inputCol="_counts", outputCol="_scaled").transform(counted)
-    return Normalizer(inputCol="_scaled", outputCol=out, p=2.0).transform(scaled).drop("_counts", "_scaled")
+def sparse_vectors(docs: DataFrame, weights: DataFrame, vocab: DataFrame, key: str, out: str = "features") -> DataFrame:
+    """``docs`` with the weights (key, term, weight) as one sparse vector per document.
+
+    Terms get their positions from a join with ``vocab`` (term, idx, df), so any number of
+    terms will do; a document without known terms gets the zero vector.
+    """
+    size = vocab.agg(F.coalesce(F.max("idx") + 1, F.lit(0)).cast("int")).scalar()
+    placed = salted_join(weights, vocab.select("term", "idx", "df"), "term", key, "df")
+    entry = F.struct(F.col("idx").cast("int").alias("idx"), F.col("weight"))
+    vectors = placed.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+    none = F.array().cast("array<struct<idx:int,weight:double>>")
+    made = F.udf(_sparse, VectorUDT(), useArrow=False)  # once per document; Spark has no expression that makes sparse vectors
+    return docs.join(vectors, key, "left").withColumn(out, made(size, F.coalesce("_entries", none))).drop("_entries")
 
 
-def stem_counts(df: DataFrame, key: str, tokens: Column) -> DataFrame:
+def stem_counts(df: DataFrame, tokens: Column) -> DataFrame:
     """(stem, n, terms): word forms of one stem taken together.
 
     The stemmer sees each distinct term once, whatever the corpus repeats.
     """
     from loomstat.functions.stemming import english_stem
 
-    totals = term_counts(df, key, tokens).groupBy("term").agg(F.sum("tf").alias("cf"))
+    totals = term_totals(df, tokens).select("term", "cf")
 
     @F.pandas_udf("string")
     def stem(terms: pd.Series) -> pd.Series:

@@ -8,7 +8,7 @@ from loomstat.operators import encode, linear, metrics, sampling, select
 from loomstat.plans.registry import SQL_LINES, big, lines, query, r, sql_hash, sql_round, sql_uniform
 from loomstat.plans.tabular import _SQL_SPLIT, split_lines
 from loomstat.session import cut_lineage
-from loomstat.sources.tables import spread
+from loomstat.sources.tables import table
 
 
 @query(
@@ -146,7 +146,7 @@ def r6(spark, d):
     return _fit_row(spark, linear.elastic_net(linear.gram(two_features(spark, d), ["x1", "x2"], "y"), alpha=0.1, l1_ratio=0.5))
 
 
-_TRIALS = 20
+_TRIALS = 100
 _RANSAC = f"""(WITH l AS {SQL_LINES}, t AS (SELECT unnest(range({_TRIALS})) AS trial),
  f AS (SELECT trial, regr_intercept(price, qty) AS b, regr_slope(price, qty) AS w FROM l, t WHERE {sql_uniform(123, "trial||':'||id")} < 0.95 GROUP BY 1),
  i AS (SELECT trial, count_if(abs(price - (b + w * qty)) <= 25000) AS inliers, any_value(b) AS b, any_value(w) AS w FROM l, f GROUP BY 1)
@@ -160,8 +160,8 @@ _RANSAC = f"""(WITH l AS {SQL_LINES}, t AS (SELECT unnest(range({_TRIALS})) AS t
     FROM (SELECT best.trial, best.inliers, price, qty FROM {SQL_LINES}, best WHERE abs(price - (best.b + best.w * qty)) <= 25000) GROUP BY 1, 2""",
 )
 def r3(spark, d):
-    """The line with most inliers out of 20 trials, fitted again on its inliers."""
-    found = linear.ransac(spread(lines(spark, d)), "id", "qty", "price", _TRIALS, 0.95, 25000, seed=123)
+    """The line with most inliers out of 100 trials, fitted again on its inliers."""
+    found = linear.ransac(lines(spark, d), "id", "qty", "price", _TRIALS, 0.95, 25000, seed=123)
     rows = [(found.best_trial, found.inliers, float(found.fit.b), float(found.fit.w[0]))]
     frame = spark.createDataFrame(rows, "trial bigint, inliers bigint, b double, w double")
     return frame.select("trial", "inliers", r("b", 4).alias("b"), r("w").alias("w"))
@@ -170,7 +170,7 @@ def r3(spark, d):
 @query("j7_rows_by_candidates", f"SELECT trial, CAST(inliers AS BIGINT) AS inliers FROM {_RANSAC}")
 def j7(spark, d):
     """Every row against every candidate line."""
-    rows = spread(lines(spark, d))
+    rows = lines(spark, d)
     models = [(m["trial"], m["b"], m["w"]) for m in linear.ransac_trials(rows, "id", "qty", "price", _TRIALS, 0.95, seed=123).collect()]
     return linear.trial_inliers(rows, "qty", "price", models, 25000).select(big("trial").alias("trial"), "inliers")
 

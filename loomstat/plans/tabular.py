@@ -21,7 +21,7 @@ from loomstat.plans.registry import (
     sql_round,
     sql_uniform,
 )
-from loomstat.session import new_path
+from loomstat.session import cut_lineage, new_path
 from loomstat.sources import delimited, generators, tables, texttree
 from loomstat.sources.tables import table
 
@@ -72,7 +72,7 @@ def s4(spark, d):
 def s5(spark, d):
     """One file per labelled document below <split>/<label>/, read whole."""
     root = new_path(spark, "text-tree")
-    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    docs = cut_lineage(table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select("doc_id", "text", "quality"))
     for split, rest in (("train", 0), ("test", 1)):
         for name, quality in (("pos", 1), ("neg", 0)):
             part = docs.where((F.col("doc_id") % 2 == rest) & (F.col("quality") == quality))
@@ -187,7 +187,7 @@ def p4(spark, d):
 def p5(spark, d):
     """Rows 51 to 1050 by price."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return columns.rows_between(orders, [F.desc("o_totalprice"), "o_orderkey"], 51, 1050)
+    return columns.head_rows(orders, [F.desc("o_totalprice"), "o_orderkey"], 51, 1050)
 
 
 @query("p6_transform_by_row", "SELECT o_orderkey, CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS BIGINT) AS done FROM orders")

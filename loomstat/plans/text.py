@@ -114,15 +114,14 @@ def t8(spark, d):
 )
 def j6(spark, d):
     """Document terms that no benchmark passage uses (anti-join on term totals)."""
-    counts = vectorize.term_counts(documents(spark, d), "doc_id", tx.word_tokens(F.col("text")))
-    totals = counts.groupBy("term").agg(F.sum("tf").alias("n"))
+    totals = vectorize.term_totals(documents(spark, d), tx.word_tokens(F.col("text"))).select("term", F.col("cf").alias("n"))
     known = table(spark, d, "benchmark").select(F.explode(tx.word_tokens(F.col("text"))).alias("term")).distinct()
     return totals.join(known, "term", "left_anti")
 
 
 @query("t9_stem_counts")
 def t9(spark, d):
-    return vectorize.stem_counts(documents(spark, d), "doc_id", tx.word_tokens(F.col("text")))
+    return vectorize.stem_counts(documents(spark, d), tx.word_tokens(F.col("text")))
 
 
 def word_counts(spark, d):
@@ -135,7 +134,7 @@ _VOCAB = f"(SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM {_CO
 
 @query("t10_vocabulary", f"SELECT term, df, cf, row_number() OVER (ORDER BY term) - 1 AS idx FROM {_VOCAB}")
 def t10(spark, d):
-    return vectorize.vocabulary(word_counts(spark, d))
+    return vectorize.vocabulary(vectorize.term_totals(documents(spark, d), tx.word_tokens(F.col("text"))))
 
 
 @query("t11_term_counts", f"SELECT doc_id, term, tf FROM {_COUNTS}")
@@ -165,8 +164,8 @@ def t13(spark, d):
 
 def pruned(spark, d, max_features: int = 5000):
     docs = documents(spark, d)
-    kept = vectorize.term_counts(docs, "doc_id", tx.without_stop_words(tx.word_tokens(F.col("text"))))
-    return vectorize.pruned_vocabulary(kept, docs.agg(F.count(F.lit(1))).scalar(), max_df=0.1, max_features=max_features)
+    totals = vectorize.term_totals(docs, tx.without_stop_words(tx.word_tokens(F.col("text"))))
+    return vectorize.pruned_vocabulary(totals, docs.agg(F.count(F.lit(1))).scalar(), max_df=0.1, max_features=max_features)
 
 
 _IDF = "ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + df)) + 1.0"
@@ -174,7 +173,7 @@ _IDF = "ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + df)) + 1.0"
 
 @query("t14_smooth_idf", f"SELECT term, df, {sql_round(_IDF, 9)} AS idf FROM {_VOCAB}")
 def t14(spark, d):
-    fit = vectorize.fit_tfidf(documents(spark, d), word_counts(spark, d))
+    fit = vectorize.fit_tfidf(documents(spark, d), tx.word_tokens(F.col("text")))
     return fit.terms.select("term", "df", r("idf", 9).alias("idf"))
 
 
@@ -197,8 +196,9 @@ def _sql_tfidf(counts: str, fit_counts: str, documents_sql: str) -> str:
 def t16(spark, d):
     """TF-IDF of all documents, stop words left out."""
     docs = documents(spark, d)
-    counts = vectorize.term_counts(docs, "doc_id", tx.without_stop_words(tx.word_tokens(F.col("text"))))
-    return vectorize.fit_tfidf(docs, counts).transform(counts, "doc_id").select("doc_id", "term", r("weight", 9).alias("weight"))
+    words = tx.without_stop_words(tx.word_tokens(F.col("text")))
+    counts = vectorize.term_counts(docs, "doc_id", words)
+    return vectorize.fit_tfidf(docs, words).transform(counts, "doc_id").select("doc_id", "term", r("weight", 9).alias("weight"))
 
 
 _SPLIT_DOCS = f"(SELECT doc_id, text, row_number() OVER (ORDER BY {sql_hash(3, 'doc_id')}) <= floor(0.2 * count(*) OVER ()) AS is_test FROM documents)"
@@ -214,7 +214,7 @@ def t17(spark, d):
     docs = sampling.random_split(documents(spark, d), "doc_id", 0.2, seed=3)
     train, test = docs.where(~F.col("is_test")), docs.where("is_test")
     words = tx.word_tokens(F.col("text"))
-    fit = vectorize.fit_tfidf(train, vectorize.term_counts(train, "doc_id", words))
+    fit = vectorize.fit_tfidf(train, words)
     return fit.transform(vectorize.term_counts(test, "doc_id", words), "doc_id").select("doc_id", "term", r("weight", 9).alias("weight"))
 
 

@@ -10,15 +10,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for heavy work on a table that comes in fewer splits than that.
-
-    A large table comes in more splits than there are cores and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def labelled(df: DataFrame, key, features: list[str], label) -> DataFrame:
     """(id, features..., label): features as doubles, the label in the same row."""
     key = F.col(key) if isinstance(key, str) else key

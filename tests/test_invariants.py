@@ -325,7 +325,7 @@ def test_topics_are_shares(spark):
     from loomstat.operators import vectorize
 
     docs = spark.createDataFrame([(i, ["sun", "sea"] * 5 if i % 2 else ["tax", "law"] * 5) for i in range(40)], "id bigint, tokens array<string>")
-    vocab = vectorize.vocabulary(vectorize.term_counts(docs, "id", F.col("tokens")))
+    vocab = vectorize.vocabulary(vectorize.term_totals(docs, F.col("tokens")))
     counted = vectorize.count_vectorizer(vocab, "tokens", "features").transform(docs)
     model = decompose.fit_topics(counted, 2, max_iter=20)
     shares = model.transform(counted).select(vector_to_array("topicDistribution").alias("t")).toPandas()["t"]
