@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from loomstat.functions import text as tx
 from loomstat.functions.hashing import seeded_hash, uniform_below
-from loomstat.operators import classify, cluster, columns, decompose, encode, ensemble, metrics, neighbors, sampling, select, stats, vectorize
+from loomstat.operators import classify, cluster, columns, decompose, encode, ensemble, estimators, metrics, neighbors, sampling, select, stats, vectorize
+from loomstat.operators.batches import evened
+from loomstat.operators.ordering import ordered_rank
 from loomstat.plans.registry import SQL_LINES, big, lines, query, r, sql_hash, sql_round, sql_uniform
 from loomstat.plans.text import documents, pruned
 from loomstat.session import cut_lineage
-from loomstat.sources.tables import spread, table
+from loomstat.sources.tables import table
 
 FEATURES = ["qty", "price", "disc", "tax"]
 _SQL_NOISY = f"""(SELECT *, CAST((price * (1 - disc) > 45000) <> ({sql_uniform(17, 'id')} < 0.1) AS BIGINT) AS label FROM {SQL_LINES})"""
@@ -26,7 +28,7 @@ _SQL_NOISY = f"""(SELECT *, CAST((price * (1 - disc) > 45000) <> ({sql_uniform(1
 def noisy_lines(spark, d):
     """Lines with a label that a rule sets and a tenth of which is flipped."""
     rule = F.col("price") * (1 - F.col("disc")) > 45000
-    return spread(lines(spark, d)).withColumn("label", (rule != uniform_below(17, 0.1, "id")).cast("double"))
+    return evened(lines(spark, d)).withColumn("label", (rule != uniform_below(17, 0.1, "id")).cast("double"))
 
 
 def feature_rows(spark, d, features=FEATURES):
@@ -114,7 +116,7 @@ _FLAGS = ["A", "N", "R"]
 
 def flag_rows(spark, d):
     code = columns.recode(F.col("flag"), {f: F.lit(float(i)) for i, f in enumerate(_FLAGS)}, F.lit(None))
-    return columns.to_features(spread(lines(spark, d)).withColumn("label", code), FEATURES)
+    return columns.to_features(evened(lines(spark, d)).withColumn("label", code), FEATURES)
 
 
 def _one_vs_rest(spark, d):
@@ -156,6 +158,22 @@ def c7(spark, d):
     return path.select("l2", "feature", r("weight", 4).alias("weight"))
 
 
+@query(
+    "c11_multiclass_svm",
+    f"""SELECT CAST(CASE WHEN p_size <= 15 THEN 0 WHEN p_size <= 35 THEN 1 ELSE 2 END AS DOUBLE) AS prediction, count(*) AS n FROM part
+    WHERE p_size NOT BETWEEN 11 AND 19 AND p_size NOT BETWEEN 31 AND 39 GROUP BY 1""",
+)
+def c11_multiclass(spark, d):
+    """Three separated size classes through one-against-the-rest support vectors come back as they are."""
+    size = F.col("p_size")
+    parts = table(spark, d, "part").where(~size.between(11, 19) & ~size.between(31, 39))
+    band = F.when(size <= 15, 0.0).when(size <= 35, 1.0).otherwise(2.0)
+    place = lambda at: F.exp(-((size - at) * (size - at)) / F.lit(200.0))
+    rows = columns.to_features(parts.select(band.alias("label"), place(5).alias("a"), place(25).alias("b"), place(45).alias("c")), ["a", "b", "c"])
+    model = classify.margin_one_vs_rest(rows, classify.SupportVectorClassifier(kernel="linear", C=10.0, maxIter=30))
+    return model.transform(rows.select("features")).groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("c11_linear_svm")
 def c11(spark, d):
     train, test = split_rows(spark, d)
@@ -322,30 +340,38 @@ def j4(spark, d):
     return out.select("vec_id", r("nearest").alias("nearest"), r("mean").alias("mean"), r("farthest").alias("farthest"))
 
 
+_VOTE_ROWS = f"""(SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS x, CAST((p_size > 20) <> ({sql_uniform(9, 'p_partkey')} < 0.1) AS DOUBLE) AS y, p_partkey % 3 = 0 AS is_test FROM part)"""
+
+
+@query(
+    "c12_vote_of_two",
+    f"""WITH t AS MATERIALIZED {_VOTE_ROWS}, g AS (SELECT x AS size, count(*) AS n, sum(y) AS s FROM t WHERE NOT is_test GROUP BY 1),
+    c AS (SELECT size, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(n) OVER () AS n, sum(s) OVER () AS s FROM g WINDOW w AS (ORDER BY size)),
+    b AS (SELECT size FROM c WHERE ln < n ORDER BY ls - ls * ls / ln + (s - ls) - (s - ls) * (s - ls) / (n - ln), size LIMIT 1),
+    leaf AS (SELECT x <= (SELECT size FROM b) AS side, avg(y) AS p FROM t WHERE NOT is_test GROUP BY 1),
+    near AS (SELECT q.id, t.y, row_number() OVER (PARTITION BY q.id ORDER BY abs(q.x - t.x), CAST(t.id AS VARCHAR)) AS rn FROM t q JOIN t ON q.is_test AND NOT t.is_test)
+    SELECT q.id, {sql_round('0.25 * leaf.p + 0.75 * avg(near.y)')} AS p1 FROM t q JOIN leaf ON leaf.side = (q.x <= (SELECT size FROM b)) JOIN near ON near.id = q.id AND near.rn <= 5
+    GROUP BY q.id, leaf.p""",
+)
+def c12_pair(spark, d):
+    """A stump (weight 1) and five nearest neighbours (weight 3) vote on every third part."""
+    label = ((F.col("p_size") > 20) != uniform_below(9, 0.1, "p_partkey")).cast("double")
+    parts = columns.to_features(table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").cast("double").alias("x"), label.alias("label")), ["x"])
+    members = [("tree", ensemble.decision_tree(max_depth=1, maxBins=64)), ("neighbours", estimators.NearestNeighbours(k=5))]
+    model = estimators.SoftVote(members, [1.0, 3.0]).fit(parts.where("id % 3 <> 0"))
+    return model.transform(parts.where("id % 3 = 0")).select("id", r(columns.class_probability(1)).alias("p1"))
+
+
 @query("c12_soft_vote")
 def c12(spark, d):
     """A scaled logistic regression, a stump and nearest neighbours vote with their probabilities."""
     parts = table(spark, d, "part").select(
-        "p_partkey", F.col("p_size").cast("double").alias("x0"), F.col("p_retailprice").alias("x1"),
+        F.col("p_partkey").alias("id"), F.col("p_size").cast("double").alias("x0"), F.col("p_retailprice").alias("x1"),
         ((F.col("p_size") > 20) != uniform_below(9, 0.1, "p_partkey")).cast("double").alias("label"),
     )
-    rows = cut_lineage(columns.to_features(sampling.stratified_split(parts, "p_partkey", "label", 0.5, seed=1), ["x0", "x1"]))
-    train, test = rows.where(~F.col("is_test")), rows.where("is_test")
-    logistic = Pipeline(stages=[scaler(), classify.logistic(features="scaled")]).fit(train)
-    stump = ensemble.decision_tree(max_depth=1).fit(train)
-    scaled = logistic.stages[0]
-    near = neighbors.nearest(
-        scaled.transform(train).withColumn("vec", vector_to_array("scaled")), scaled.transform(test).withColumn("vec", vector_to_array("scaled")),
-        "p_partkey", "vec", "label", k=1,
-    )
-    shares = neighbors.neighbour_shares(near, [0.0, 1.0])
-    members = [
-        ensemble.class_probabilities(logistic, test, "p_partkey"),
-        ensemble.class_probabilities(stump, test, "p_partkey"),
-        shares.select(F.col("query").alias("p_partkey"), F.array("p_0", "p_1").alias("p")),
-    ]
-    voted = ensemble.soft_vote(members, "p_partkey", 2).join(test.select("p_partkey", "label"), "p_partkey")
-    auc = metrics.roc_auc(voted.withColumn("s", F.col("p")[1]), "label", "s").scalar()
+    rows = cut_lineage(columns.to_features(sampling.stratified_split(parts, "id", "label", 0.5, seed=1), ["x0", "x1"]))
+    voted = vote_members()["vote"].fit(rows.where(~F.col("is_test"))).transform(rows.where("is_test"))
+    auc = metrics.roc_auc(voted.withColumn("s", columns.class_probability(1)), "label", "s").scalar()
     return voted.agg(F.count(F.lit(1)).alias("n"), r(metrics.accuracy("label", "prediction")).alias("accuracy"), r(auc).alias("auc"))
 
 
@@ -377,9 +403,8 @@ def c14(spark, d):
 @query("c14_adaboost_scores")
 def c14_scores(spark, d):
     train, test = split_rows(spark, d)
-    model = ensemble.adaboost(train, ensemble.decision_tree(max_depth=1), n_estimators=10)
-    scored = model.transform(test)
-    auc = metrics.roc_auc(scored, "label", "score").scalar()
+    scored = estimators.AdaBoost(ensemble.decision_tree(max_depth=1), n_estimators=10).fit(train).transform(test)
+    auc = metrics.roc_auc(scored.withColumn("score", columns.class_probability(1)), "label", "score").scalar()
     return scored.agg(F.count(F.lit(1)).alias("n"), r(metrics.accuracy("label", "prediction")).alias("accuracy"), r(auc).alias("auc"))
 
 
@@ -484,7 +509,7 @@ def _cluster_rows(spark, fit, names=("x1", "x2")):
 
 
 def point_arrays(spark, d):
-    return points(spark, d).select("id", F.array("x1", "x2").alias("vec"))
+    return evened(points(spark, d).select("id", F.array("x1", "x2").alias("vec")))
 
 
 @query("k1_kmeans_random")
@@ -511,8 +536,8 @@ def k2_parallel(spark, d):
 
 @query("k4_elbow")
 def k4(spark, d):
-    """Inertia for one to ten clusters, best of three starts each."""
-    return cluster.elbow(point_arrays(spark, d), "id", "vec", range(1, 11), n_init=3, max_iter=100)
+    """Inertia for one to ten clusters, best of ten starts each."""
+    return cluster.elbow(point_arrays(spark, d), "id", "vec", range(1, 11), n_init=10, max_iter=300)
 
 
 @query("k4_single_cluster", f"SELECT CAST(1 AS BIGINT) AS k, {sql_round('(var_pop(x1) + var_pop(x2)) * count(*)', 4)} AS inertia FROM {_POINTS}")
@@ -567,6 +592,19 @@ def k6_order(spark, d):
     return stats.sorted_within(values, "cluster", ["s", "vec_id"]).select("vec_id", "cluster", "pos")
 
 
+@query(
+    "k7_bisecting",
+    """SELECT cluster, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY x) - 1 AS cluster, x FROM (SELECT DISTINCT o_custkey % 3 AS x FROM orders)) c
+    JOIN (SELECT o_custkey % 3 AS x FROM orders) o USING (x) GROUP BY 1""",
+)
+def k7_bisecting(spark, d):
+    """Three far groups of orders, cut from the top down; groups are numbered by their place."""
+    placed = (F.col("o_custkey") % 3 * 100 + F.col("o_orderkey") % 7).cast("double")
+    rows = columns.to_features(table(spark, d, "orders").select(placed.alias("x")), ["x"])
+    found = cluster.bisect(rows, 3).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x"))
+    return ordered_rank(found, ["x"], "rn").select((F.col("rn") - 1).alias("cluster"), "n")
+
+
 @query("k7_agglomerative")
 def k7(spark, d):
     """Three clusters from merging twenty micro-clusters."""
@@ -691,18 +729,18 @@ def d5(spark, d):
 
 @query("d4_embedding_pca")
 def d4_embeddings(spark, d):
-    """Variance along ten components of the 64-wide vectors."""
+    """Variance along all components of the 64-wide vectors."""
     cov = stats.vector_covariance(table(spark, d, "embeddings"), "embedding", 64)
     found = decompose.eigen(decompose.matrix_of(cov, 64))
-    rows = [(i, float(v), float(s)) for i, (v, s) in enumerate(zip(found.values[:10], found.explained()[:10]))]
+    rows = [(i, float(v), float(s)) for i, (v, s) in enumerate(zip(found.values, found.explained()))]
     return spark.createDataFrame(rows, "component bigint, variance double, ratio double").select("component", r("variance").alias("variance"), r("ratio").alias("ratio"))
 
 
 def _topic_model(spark, d):
     vocab = cut_lineage(pruned(spark, d))
-    docs = documents(spark, d).select("doc_id", tx.word_tokens(F.col("text")).alias("tokens"))
-    counted = vectorize.count_vectorizer(vocab, "tokens", "features").transform(docs).select("doc_id", "features")
-    model = decompose.fit_topics(counted, topics=10, max_iter=5)
+    docs = evened(documents(spark, d).select("doc_id", tx.word_tokens(F.col("text")).alias("tokens")))
+    counted = cut_lineage(vectorize.count_vectorizer(vocab, "tokens", "features").transform(docs).select("doc_id", "features"))
+    model = decompose.fit_topics(counted, topics=10)
     return model, counted, vocab
 
 
@@ -760,18 +798,33 @@ def _auc(scored) -> float:
     return BinaryClassificationEvaluator(numBins=0).evaluate(scored)
 
 
+def folded_parts(spark, d, k):
+    """All parts with a noisy label on their size, dealt to folds."""
+    label = ((F.col("p_size") > 20) != uniform_below(9, 0.1, "p_partkey")).cast("double")
+    parts = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").cast("double").alias("x0"), F.col("p_retailprice").alias("x1"), label.alias("label"))
+    return columns.to_features(sampling.stratified_folds(parts, "id", "label", k, seed=2), ["x0", "x1"]).select("id", "label", "features", "fold")
+
+
+def vote_members() -> dict:
+    """A scaled logistic regression, a stump, scaled nearest neighbours, and their vote."""
+    chain = Pipeline(stages=[scaler(), classify.logistic(features="scaled")])
+    stump = ensemble.decision_tree(max_depth=1, maxBins=64)
+    near = Pipeline(stages=[scaler(), estimators.NearestNeighbours(k=1, key="id", features="scaled")])
+    members = [("logistic", chain), ("tree", stump), ("neighbours", near)]
+    return dict(members) | {"vote": estimators.SoftVote(members)}
+
+
 @query("w4_cross_val_scores")
 def w4(spark, d):
-    """ROC area per fold of two learners."""
-    members = {"logistic": _chain(3), "tree": ensemble.decision_tree(max_depth=3)}
-    scores = select.fold_scores(cut_lineage(folded_rows(spark, d, 5)), members, "fold", 5, _auc, train_score=False)
+    """ROC area in ten folds of three learners and their vote."""
+    scores = select.fold_scores(cut_lineage(folded_parts(spark, d, 10)), vote_members(), "fold", 10, _auc, train_score=False)
     return scores.select("setting", "fold", r("valid").alias("auc"))
 
 
 @query("w5_learning_curve_classifier")
 def w5_classifier(spark, d):
-    rows = cut_lineage(folded_rows(spark, d, 3))
-    curve = select.learning_curve(rows, "id", classify.logistic(), "fold", 3, [0.1, 0.5, 1.0], _accuracy, seed=4)
+    sizes = [k / 10 for k in range(1, 11)]
+    curve = select.learning_curve(cut_lineage(folded_parts(spark, d, 10)), "id", classify.logistic(), "fold", 10, sizes, _accuracy, seed=4)
     return curve.select("size", "fold", r("train").alias("train"), r("valid").alias("valid"))
 
 
@@ -779,7 +832,7 @@ def w5_classifier(spark, d):
 def w6_classifier(spark, d):
     """Mean and spread of the accuracy for six penalties."""
     chains = {float(p): Pipeline(stages=[scaler(), classify.logistic(l2=p, features="scaled")]) for p in (0.001, 0.01, 0.1, 1.0, 10.0, 100.0)}
-    scores = select.fold_scores(cut_lineage(folded_rows(spark, d, 3)), chains, "fold", 3, _accuracy)
+    scores = select.fold_scores(cut_lineage(folded_parts(spark, d, 10)), chains, "fold", 10, _accuracy)
     return scores.groupBy(F.col("setting").alias("l2")).agg(
         *[r(f(c)).alias(f"{c}_{n}") for c in ("train", "valid") for n, f in (("mean", F.avg), ("std", F.stddev_samp))]
     )
@@ -814,8 +867,12 @@ def w9(spark, d):
     words = tx.without_stop_words(tx.tokens(tx.clean(F.col("text"))))
     rows = cut_lineage(sampling.stratified_split(docs.select("doc_id", "label", words.alias("tokens")), "doc_id", "label", 0.3, seed=1))
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
-    n = train.count()
-    counts = vectorize.term_counts(train, "doc_id", F.col("tokens"))
-    vocab = cut_lineage(vectorize.pruned_vocabulary(counts, F.lit(n), max_features=20_000))
-    model = classify.logistic(l2=1e-4, max_iter=50).fit(vectorize.tfidf_vectors(train, vocab, n, "tokens", "features"))
-    return test_scores(model, vectorize.tfidf_vectors(test, vocab, n, "tokens", "features"))
+    fit = vectorize.fit_tfidf(train, F.col("tokens"))
+    vocab = cut_lineage(ordered_rank(fit.terms, ["term"], "_rn").select("term", "df", (F.col("_rn") - 1).alias("idx")))
+
+    def vectors(side):
+        weights = fit.transform(vectorize.term_counts(side, "doc_id", F.col("tokens")), "doc_id")
+        return cut_lineage(vectorize.sparse_vectors(side.select("doc_id", "label"), weights, vocab, "doc_id"))
+
+    model = classify.logistic(l2=1e-4, max_iter=50).fit(vectors(train))
+    return test_scores(model, vectors(test))
