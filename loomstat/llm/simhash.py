@@ -36,13 +36,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomstat.llm.blocks import give_back, rows_of
 from loomstat.llm.bpe import gather
 from loomstat.llm.graph import components
 from loomstat.llm.windows import mixed, odd
 from loomstat.operators.joins import salted_join
 from loomstat.session import cut_lineage
 
-WORD, SEED, NODE_ROWS, STEP = 64, 42, 5000, 4
+WORD, SEED, NODE_ROWS, STEP, PAIRS = 64, 42, 5000, 4, 200_000
 TABLES, TABLE_BITS, TABLE_BUDGET, TABLE_WORDS = 10, 32, 2, 3
 
 
@@ -79,8 +80,9 @@ def fingerprints(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_c
 
     def run(batches):
         for batch in batches:
-            fps = [majority(hashes((t or "").encode(), words)).view("<i8")[0] for t in batch.column(1).to_pylist()]
+            fps = [majority(hashes((t or "").encode(), words)).view("<i8")[0] for _, t in rows_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+        give_back()
 
     return _named(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
@@ -121,16 +123,17 @@ def _split(rows: DataFrame, bits: int, budget: int, node_rows: int, rest: list[s
         large = cut_lineage(rows.groupBy(*pair).count().where((F.col("count") > node_rows) & (F.col("depth") < WORD)).drop("count"))
         if large.isEmpty():
             return rows
-        deep = F.least(F.col("depth") + STEP, F.lit(WORD))
-        down = (deep - F.col("depth")).cast("int")
-        parent = F.call_function("shiftrightunsigned", F.col("x"), (F.lit(WORD) - F.col("depth")).cast("int"))
-        mine = F.call_function("shiftrightunsigned", F.col("x"), (F.lit(WORD) - deep).cast("int"))
-        first = F.call_function("shiftleft", F.when(parent == F.col("a"), F.col("b")).otherwise(F.col("a")), down)
+        deeper = rows.join(large, pair, "left_semi").withColumn("deep", F.least(F.col("depth") + STEP, F.lit(WORD)))
+        deeper = deeper.withColumn("parent", F.call_function("shiftrightunsigned", F.col("x"), (F.lit(WORD) - F.col("depth")).cast("int")))
+        deeper = deeper.withColumn("mine", F.call_function("shiftrightunsigned", F.col("x"), (F.lit(WORD) - F.col("deep")).cast("int")))
+        down = (F.col("deep") - F.col("depth")).cast("int")
+        first = F.call_function("shiftleft", F.when(F.col("parent") == F.col("a"), F.col("b")).otherwise(F.col("a")), down)
         partners = F.transform(F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), down) - 1), lambda i: first + i)
-        below = F.greatest(deep - bits, F.lit(0)).cast("int")
-        near = F.filter(partners, lambda q: F.bit_count(F.call_function("shiftrightunsigned", q.bitwiseXOR(mine), below)) <= budget)
-        inside = rows.join(large, pair, "left_semi").select("turn", deep.alias("depth"), mine.alias("m"), F.explode(near).alias("q"), "x", *rest)
-        inside = inside.select("turn", "depth", F.least("m", "q").alias("a"), F.greatest("m", "q").alias("b"), "x", *rest)
+        below = F.greatest(F.col("deep") - bits, F.lit(0)).cast("int")
+        near = F.filter(partners, lambda q: F.bit_count(F.call_function("shiftrightunsigned", q.bitwiseXOR(F.col("mine")), below)) <= budget)
+        split = deeper.withColumn("partner", F.explode(near))
+        low, high = F.least("mine", "partner").alias("a"), F.greatest("mine", "partner").alias("b")
+        inside = split.select("turn", F.col("deep").alias("depth"), low, high, "x", *rest)
         rows = cut_lineage(rows.join(large, pair, "left_anti").unionByName(inside))
 
 
@@ -141,9 +144,13 @@ def _leaves(x: np.ndarray, bits: int, budget: int, begin: int, end: int, depth:
     def visit(p, q, r, s, bit, used):
         if used > budget or p == q or r == s:
             return
-        if (q - p) * (s - r) <= 4096 or bit >= bits:
+        if (q - p) * (s - r) <= 4096:
             found.append((p, q, r, s))
             return
+        if bit >= bits:  # values that cannot be told apart: some rows at a time against all
+            step = max(1, PAIRS // (s - r))
+            found.extend((x1, min(x1 + step, q), x1 if (p, q) == (r, s) else r, s) for x1 in range(p, q, step))
+            return
         one = 1 << (WORD - 1 - bit)
 
         def cut(lo, hi):  # where the bit is set from on; all above it is equal within lo:hi
@@ -181,7 +188,7 @@ def _near_pairs(turn, depth, a, b, x, bits: int, budget: int):
 
     held, size = [], 0
     for leaf in leaves():
-        if held and (leaf is None or size > 500_000):
+        if held and (leaf is None or size > PAIRS):
             lo, hi, lo2, hi2 = (np.array(v, np.int64) for v in zip(*held, strict=True))
             each = np.repeat(hi2 - lo2, hi - lo)
             u, v = np.repeat(gather(lo, hi - lo), each), gather(np.repeat(lo2, hi - lo), each)
@@ -212,6 +219,7 @@ def _join_nodes(links: Callable):
                 held, rest = [h[cut:] for h in held], None if rest is None else rest.slice(cut)
         if held is not None:
             yield from links(*_unsigned(held), rest)
+        give_back()
 
     return run
 
@@ -340,9 +348,13 @@ def near_duplicates(
 
     def run(batches):
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            keys = [xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array([sketch(t) for t in texts], pa.binary())], ["doc_id", "key", "sketch"])
+            keys, sketches = [], []
+            for _, t in rows_of(batch):
+                raw = (t or "").encode()
+                keys.append(xxhash.xxh3_128_digest(b" ".join(raw.lower().split())))
+                sketches.append(sketch(raw))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())], ["doc_id", "key", "sketch"])
+        give_back()
 
     named = _named(docs, id_col, text_col).where("doc_id is not null")
     sketched = cut_lineage(named.mapInArrow(run, "doc_id long, key binary, sketch binary"))
@@ -367,9 +379,10 @@ def near_duplicates(
 
     def alike(batches):
         for batch in batches:
-            one, two = (batch.column(i).to_pylist() for i in (2, 3))
-            ok = [similarity((s or "").encode(), (t or "").encode(), words) >= least_similarity for s, t in zip(one, two, strict=True)]
+            pairs = rows_of(batch.select(["one", "two"]))
+            ok = [similarity((s or "").encode(), (t or "").encode(), words) >= least_similarity for s, t in pairs]
             yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
+        give_back()
 
     linked = both.select("u", "v", "one", "two").mapInArrow(alike, "u long, v long")
     found = components(linked)
