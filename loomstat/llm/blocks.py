@@ -6,6 +6,8 @@ Cells are pickled numpy arrays, written and read by these jobs only.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import pickle
 
 import numpy as np
@@ -44,11 +46,25 @@ def smallest(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
 
 
+def rows_of(batch: pa.RecordBatch):
+    """(first, second column) row by row, as Python values for a few hundred rows at a time."""
+    for at in range(0, batch.num_rows, 256):
+        part = batch.slice(at, 256)
+        yield from zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
+
+
+def give_back() -> None:
+    """Return what a task has freed to the system, as the next task may run in another worker."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_packs(batches, size: int):
     """(ids, texts as bytes) for about ``size`` bytes of documents at a time; NULL texts are empty."""
     ids, texts, held = [], [], 0
     for batch in batches:
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for i, t in rows_of(batch):
             ids.append(i)
             texts.append((t or "").encode())
             held += len(texts[-1])
@@ -57,6 +73,7 @@ def text_packs(batches, size: int):
                 ids, texts, held = [], [], 0
     if ids:
         yield ids, texts
+    give_back()
 
 
 def cells(names: str, rows: list[tuple]) -> pa.RecordBatch:

@@ -31,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from loomstat.llm.blocks import buckets_for, cells, dealt, key_of, pack, smallest, unpack
+from loomstat.llm.blocks import buckets_for, cells, dealt, give_back, key_of, pack, rows_of, smallest, unpack
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS, DECODE_TOKENS = 4_000_000, 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -94,7 +94,7 @@ def _cut(pattern: str, buckets: int, block_chars: int):
         find = regex.compile(pattern).findall
         index, seq, ids, sizes, held = defaultdict(itertools.count().__next__), array("I"), [], [], 0
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, text in rows_of(batch):
                 words = find(text or "")
                 seq.extend(map(index.__getitem__, words))
                 ids.append(i)
@@ -105,6 +105,7 @@ def _cut(pattern: str, buckets: int, block_chars: int):
                     index, seq, ids, sizes, held = defaultdict(itertools.count().__next__), array("I"), [], [], 0
         if ids:
             yield block(ids, sizes, index, seq)
+        give_back()
 
     return run
 
@@ -196,11 +197,18 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", ou
     def run(batches):
         for batch in batches:
             lists = batch.column(ids_col)
-            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-            raw = blob[gather(starts[ids], sizes[ids])].tobytes()
-            at = np.concatenate([[0], np.cumsum(sizes[ids])])[ends]
-            texts = pa.array([raw[a:b] for a, b in itertools.pairwise(at.tolist())], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, out_col])
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+            made, row = [], 0
+            while row < len(lists):  # some rows at a time, by their number of tokens
+                last = max(row + 1, int(np.searchsorted(ends, ends[row] + DECODE_TOKENS, side="right")) - 1)
+                mine = ids[ends[row] : ends[last]]
+                parts = [mine[at : at + DECODE_TOKENS] for at in range(0, len(mine), DECODE_TOKENS)]
+                raw = b"".join(blob[gather(starts[p], sizes[p])].tobytes() for p in parts)
+                at = np.concatenate([[0], np.cumsum(sizes[mine])])[ends[row : last + 1] - ends[row]]
+                made += [raw[a:b] for a, b in itertools.pairwise(at.tolist())]
+                row = last
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], [*batch.schema.names, out_col])
+        give_back()
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out_col, T.BinaryType())]))
