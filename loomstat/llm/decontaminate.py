@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.llm import tokens
+from loomstat.llm.blocks import give_back, rows_of
 from loomstat.llm.bpe import gather
 from loomstat.llm.windows import mixed, odd
 
@@ -38,7 +39,7 @@ UNITS = (
     "cent cents dollar dollars euro euros yen percent degree degrees celsius fahrenheit watt watts volt volts"
 ).split()
 _NUMBER, _NAME, _UNIT = (odd(k) for k in (41, 43, 47))
-CHUNK = 2_000_000
+CHUNK = 500_000
 _SCHEMA = "id long, pos int, n int, hash long, slots array<long>"
 
 
@@ -104,7 +105,7 @@ def _chunks(batches):
     """(ids, texts as bytes) of some megabytes."""
     for batch in batches:
         at, size, texts = 0, 0, []
-        for i, t in enumerate(batch.column(1).to_pylist()):
+        for i, (_, t) in enumerate(rows_of(batch)):
             texts.append((t or "").encode())
             size += len(texts[-1])
             if size >= CHUNK:
@@ -112,6 +113,7 @@ def _chunks(batches):
                 at, size, texts = i + 1, 0, []
         if texts:
             yield batch.column(0).slice(at, len(texts)), texts
+    give_back()
 
 
 def _item_windows(window: int, literals: int):

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from loomstat.llm.blocks import give_back, rows_of
+
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
 PER_CLASS, PER_DOC, EPOCHS, BATCH, RATE = 300, 4, 8, 64, 0.01
 _LETTER = re.compile(r"[^\W\d_]")
@@ -153,29 +155,35 @@ def fit(docs: DataFrame, labelled: Column, id_col="doc_id", text_col="text", lab
     return languages, train(x, y, len(languages))
 
 
+def _then_none(rows):
+    """(number, second value) of each row, and a last (None, None)."""
+    for i, (_, value) in enumerate(rows):
+        yield i, value
+    yield None, None
+
+
 def predict(docs: DataFrame, model: tuple[list, dict | None], id_col="doc_id", text_col="text") -> DataFrame:
     """Per row: ``doc_id``, ``lang_pred`` and ``score`` (mean probability of the language)."""
     languages, params = model
 
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            letters = np.array([params is not None and _LETTER.search(t) is not None for t in texts], bool)
-            names, scores = ["und"] * len(texts), np.zeros(len(texts))
-            held, size = [], 0
-            for i in [*np.flatnonzero(letters).tolist(), None]:
+            names, scores = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
+            held, parts, size = [], [], 0
+            for i, text in _then_none(rows_of(batch)):
                 if held and (i is None or size >= 1_000_000):
-                    parts = [to_windows(texts[j].encode()) for j in held]
                     p = probabilities(params, np.concatenate(parts))
                     starts = np.cumsum([0, *map(len, parts)])[:-1]
                     mean = np.add.reduceat(p.astype(np.float64), starts, axis=0) / np.array(list(map(len, parts)))[:, None]
                     for j, m in zip(held, mean, strict=True):
                         names[j], scores[j] = languages[int(m.argmax())], min(1.0, float(m.max()))
-                    held, size = [], 0
-                if i is not None:
+                    held, parts, size = [], [], 0
+                if i is not None and text and params is not None and _LETTER.search(text):
                     held.append(i)
-                    size += len(texts[i])
+                    parts.append(to_windows(text.encode()))
+                    size += len(text)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names), pa.array(scores)], ["doc_id", "lang_pred", "score"])
+        give_back()
 
     named = docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     return named.mapInArrow(run, "doc_id long, lang_pred string, score double")

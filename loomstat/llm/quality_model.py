@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.llm import tokens
+from loomstat.llm.blocks import give_back, rows_of
 from loomstat.llm.windows import mixed, odd
 
 BITS, PER_CLASS, PASSES = 18, 2000, 5
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 0.01, 0.01
-CHUNK = 2_000_000
+CHUNK = 500_000
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +73,7 @@ def _sigmoid(v):
 def _texts(batches):
     for batch in batches:
         at, size, held = 0, 0, []
-        for i, t in enumerate(batch.column(1).to_pylist()):
+        for i, (_, t) in enumerate(rows_of(batch)):
             held.append((t or "").encode())
             size += len(held[-1])
             if size >= CHUNK:
@@ -80,6 +81,7 @@ def _texts(batches):
                 at, size, held = i + 1, 0, []
         if held:
             yield batch.slice(at, len(held)), held
+    give_back()
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col="doc_id", text_col="text", label_col="quality", per_class=PER_CLASS) -> np.ndarray | None:

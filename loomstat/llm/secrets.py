@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomstat.llm.blocks import rows_of
 from loomstat.session import cut_lineage
 
 BASE = ("assign", "access", "hex")
@@ -127,7 +128,7 @@ def _candidates(text: str) -> list[dict]:
 def _scan(batches):
     for batch in batches:
         base, more = [], []
-        for text in batch.column(1).to_pylist():
+        for _, text in rows_of(batch):
             base.append([{"kind": BASE[k], "start": a, "end": b} for a, k, b in base_spans(text or "")])
             more.append(_candidates(text or ""))
         span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
