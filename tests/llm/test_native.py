@@ -147,7 +147,7 @@ def test_added_kinds(spark):
     texts = [(i, t) for i, t in enumerate(TEXTS)]
     got = {r.doc_id: [(s.kind, s.hit) for s in r.spans] for r in pii.find(documents(spark, texts)).collect()}
     assert [h for k, h in got[6] if k == "iban"] == ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"]
-    assert [h for k, h in got[4] if k == "shortcard"] == ["378282246310005", "378282246310005", "3782 822463 10005"]
+    assert [h for k, h in got[4] if k == "shortcard"] == ["378282246310005", "3782 822463 10005"]
 
 
 def test_masking(spark):
