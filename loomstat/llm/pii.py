@@ -2,7 +2,7 @@
 
 Base kinds (``email ip card phone``) follow their stated patterns.  Added kinds:
 ``iban`` (mod-97) and ``shortcard`` (13 to 15 digits passing Luhn, only when a word such
-as "card" stands within 40 characters before it).  Positions are code points, end
+as "card" stands in the 40 characters before it, back to the match before).  Positions are code points, end
 exclusive.  The patterns are written so that Java's matcher takes linear time and no
 recursion on very long runs; they match what the plain ones match.
 
