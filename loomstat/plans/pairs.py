@@ -210,11 +210,11 @@ _PRUNED = f"""(SELECT term FROM (SELECT term, count(*) AS df, sum(tf) AS cf FROM
 
 @query(
     "d6_share_sums",
-    f"""SELECT d.doc_id, CAST(1 AS DOUBLE) AS share, CAST(count(p.term) AS BIGINT) AS tokens FROM documents d
+    f"""SELECT d.doc_id, CAST(least(count(p.term), 1) AS DOUBLE) AS share, CAST(count(p.term) AS BIGINT) AS tokens FROM documents d
     LEFT JOIN (SELECT doc_id, unnest({_WORD_TOKENS}) AS term FROM documents) t ON t.doc_id = d.doc_id LEFT JOIN {_PRUNED} p ON p.term = t.term GROUP BY 1""",
 )
 def d6_sums(spark, d):
-    """A document's topic shares sum to one; its vector counts its tokens that are in the vocabulary."""
+    """Topic shares sum to one (to zero without known tokens); a vector counts a document's tokens that are in the vocabulary."""
     model, counted, _ = _topic_model(spark, d)
     total = lambda c: F.aggregate(vector_to_array(c), F.lit(0.0), lambda a, b: a + b)
     return model.transform(counted).select("doc_id", r(total("topicDistribution"), 5).alias("share"), big(total("features")).alias("tokens"))
