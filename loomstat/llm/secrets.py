@@ -2,14 +2,16 @@
 
 Base kinds (``assign access hex``) follow their patterns.  Added kind ``random``: a run
 of 20 or more symbols whose encoding is inferred (hex, base32, base64, or plain letters
-and digits) and which
+and digits, of one case or both), which no base kind ``hex`` holds, and which
 
 * the battery cannot tell from uniform draws of that alphabet: chi-squared counts, runs
   above and below the middle, lag-one serial correlation (Bonferroni over the three);
 * ordinary text would hardly make: changes between character classes are counted
-  against a binomial for text, whose tail takes the length into account.  These tails
-  are the p-values of a Benjamini-Hochberg control over the whole corpus, held in bands
-  of length, from a histogram of fixed size.
+  against a binomial for text, whose tail takes the length into account.  Strings of one
+  case change class less, so for them the tail of the rare letters joins it by Fisher's
+  rule.  The p-values (1 for strings that fail the battery) are under a
+  Benjamini-Hochberg control over the whole corpus, held in bands of length, from a
+  histogram of fixed size.
 
 Positions are code points, end exclusive.  NULL texts are empty; rows are judged one by
 one but for the corpus-wide control, where repeated rows count repeatedly; NULL ids and
@@ -42,9 +44,16 @@ ALPHABETS = (
     ("alnum", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("letters", "abcdefghijklmnopqrstuvwxyz"),
+    ("letters", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("base32", "abcdefghijklmnopqrstuvwxyz234567"),
+    ("alnum", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    ("alnum", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
 )
 #: The battery's level, the share of class changes in ordinary text, the false-discovery rate.
 LEVEL, TEXT_CHANGES, FDR = 1e-3, 0.12, 0.01
+#: Letters that make up no more than this share of English, German, French and Spanish text.
+RARE_LETTERS, TEXT_RARE = frozenset("bfgjkpqvwxyz"), 0.16
 #: Bands of length begin here; p-values are held in bins of a quarter decade.
 BANDS, BINS_PER_DECADE, BINS = (20, 24, 32, 48, 64, 128), 4, 120
 _FOUND = "doc_id long, base array<struct<kind:string,start:int,end:int>>, candidates array<struct<start:int,end:int,band:int,bin:int,passes:boolean>>"
@@ -69,7 +78,7 @@ def _two_sided(z: float) -> float:
 def inferred(symbols: str) -> tuple[str, str] | None:
     """The smallest alphabet that holds all symbols."""
     used = set(symbols)
-    return next((a for a in ALPHABETS if used <= set(a[1])), None)
+    return min((a for a in ALPHABETS if used <= set(a[1])), key=lambda a: len(a[1]), default=None)
 
 
 def battery(symbols: str, alphabet: str) -> float:
@@ -95,20 +104,28 @@ def battery(symbols: str, alphabet: str) -> float:
     return min(1.0, 3 * min(uniform, runs, serial))
 
 
-def text_tail(symbols: str) -> float:
-    """How likely ordinary text of this length has so many changes of character class."""
-    kind = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in symbols]
-    n, changes = len(kind) - 1, sum(a != b for a, b in zip(kind, kind[1:], strict=False))
-    tail = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(TEXT_CHANGES) + (n - k) * math.log(1 - TEXT_CHANGES) for k in range(changes, n + 1)]
+def _tail(n: int, hits: int, share: float) -> float:
+    """How likely ``hits`` or more of ``n`` are, at this share each."""
+    tail = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log(1 - share) for k in range(hits, n + 1)]
     top = max(tail)
     return min(1.0, math.exp(top) * sum(math.exp(t - top) for t in tail)) if top > -690 else 0.0
 
 
+def text_tail(symbols: str) -> float:
+    """How likely ordinary text of this length has so many changes of character class (and, in one case, rare letters)."""
+    kind = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in symbols]
+    changes = _tail(len(kind) - 1, sum(a != b for a, b in zip(kind, kind[1:], strict=False)), TEXT_CHANGES)
+    if not (symbols.islower() or symbols.isupper()):
+        return changes
+    both = changes * _tail(sum(k < 2 for k in kind), sum(c in RARE_LETTERS for c in symbols.lower()), TEXT_RARE)
+    return both * (1 - math.log(both)) if both > 0 else 0.0
+
+
 def _candidates(text: str) -> list[dict]:
     out = []
     for m in CANDIDATE.finditer(text):
         symbols = m[0].rstrip("=")
-        if symbols.islower() or symbols.isupper():  # letters of one case only
+        if HEX.fullmatch(symbols):  # the base kind holds it
             continue
         alphabet = inferred(symbols)
         tail = text_tail(symbols)
@@ -138,14 +155,15 @@ def _scan(batches):
 
 def _limits(candidates: DataFrame, rate: float) -> dict[int, int]:
     """band -> the first bin whose p-values the Benjamini-Hochberg rule accepts."""
-    counts: dict[int, dict[int, int]] = {}
-    for r in candidates.groupBy("c.band", "c.bin").count().collect():  # bands x bins rows at most
-        counts.setdefault(r["band"], {})[r["bin"]] = r["count"]
+    counts: dict[int, dict[int, tuple[int, int]]] = {}
+    cells = candidates.groupBy("c.band", "c.bin").agg(F.count("*").alias("n"), F.count_if("c.passes").alias("passing"))
+    for r in cells.collect():  # bands x bins rows at most
+        counts.setdefault(r["band"], {})[r["bin"]] = (r["n"], r["passing"])
     limits = {}
     for band, bins in counts.items():
-        total, kept = sum(bins.values()), 0
+        total, kept = sum(n for n, _ in bins.values()), 0
         for step in sorted(bins, reverse=True):
-            kept += bins[step]
+            kept += bins[step][1]
             if 10.0 ** (-step / BINS_PER_DECADE) * total <= rate * kept:
                 limits[band] = step
     return limits

@@ -56,6 +56,28 @@ def test_battery_tells_random_from_patterned():
     assert secrets.inferred("deadBEEF") == secrets.ALPHABETS[3] and secrets.inferred("a+b/") == secrets.ALPHABETS[4] and secrets.inferred("é") is None
 
 
+ONE_CASE = {
+    "base32": "JBSWY3DPEHPK3PXPQ5ZVN7KXG2TRWYL4",
+    "upper hex": "9F86D081884C7D659A2FEAA0C55AD015A3BF4F1B",
+    "lower letters and digits": "k3j9x0qz7w1m5t8vb2hd6yr4ngc0pfs9",
+    "base32 letters": "KZQXWVJPFMYBTRHGNDLSCAEIOUZKQJXWVY",
+}
+
+
+def test_secrets_of_one_case(spark):
+    plain = [(200, "internationalisierungsmassnahmen und donaudampfschiffahrtsgesellschaft"), (201, "path/to/some-user-guide/of-the-project"), (202, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")]
+    texts = [(k, f"see {key} there") for k, key in enumerate(ONE_CASE.values())]
+    got = {(r.doc_id, s.start, s.end) for r in secrets.find(documents(spark, texts + plain + [(100 + i, t) for i, t in odd_texts() if i and t])).collect() for s in r.spans if s.kind == "random"}
+    assert got == {(k, 4, 4 + len(key)) for k, key in enumerate(ONE_CASE.values())}
+
+
+def test_most_keys_of_one_case_look_random():
+    rng = np.random.default_rng(6)
+    for alphabet, n in (("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 52), ("0123456789ABCDEF", 40), ("0123456789abcdefghijklmnopqrstuvwxyz", 40)):
+        keys = ["".join(rng.choice(list(alphabet), n)) for _ in range(200)]
+        assert sum(secrets.text_tail(k) < 1e-3 and secrets.battery(k, secrets.inferred(k)[1]) >= secrets.LEVEL for k in keys) >= 170
+
+
 def test_no_documents_no_secrets(spark):
     assert secrets.find(documents(spark, [])).collect() == []
 
