@@ -275,8 +275,8 @@ def groups(fps: DataFrame, budget: int = 2) -> DataFrame:
 
 
 def sketch(text: bytes) -> bytes:
-    """``TABLES`` fingerprints of ``TABLE_BITS`` bits, from as many independent hashes of the shingles."""
-    base = hashes(text, TABLE_WORDS)
+    """``TABLES`` fingerprints of ``TABLE_BITS`` bits, from as many independent hashes of the distinct shingles."""
+    base = np.unique(hashes(text, TABLE_WORDS))
     return b"".join(majority(mixed(base * odd(71 + k))).tobytes() for k in range(TABLES * TABLE_BITS // WORD))
 
 

@@ -121,6 +121,15 @@ def test_near_duplicates(spark, node_rows):
     assert {r.doc_id: r.component_id for r in found} == near_brute(texts)
 
 
+def test_copies_with_a_repeated_passage(spark):
+    texts = []
+    for k in range(8):
+        words = prose(400 + k, 300).split()
+        texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + 6 * words[-40:]))]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(spark, texts)).collect()}
+    assert got == near_brute(texts) == {i: i - i % 2 for i, _ in texts}
+
+
 def test_near_duplicates_of_real_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
