@@ -14,11 +14,11 @@ fingerprints, however large a group of copies is: copies share one fingerprint.
 
 ``near_duplicates`` finds texts of a given similarity (the share of common five-word
 shingles).  At 0.8 a single 64-bit fingerprint differs in some ten bits, beyond what a
-trie can prune, so it joins the tries of ``TABLES`` independent 32-bit fingerprints at
-two bits each (of three-word shingles, which an edit hurts less), keeps pairs that are
-close over all bits, takes a shortest forest of them within each node pair, and checks
-its edges exactly.  A pair of similarity 0.8 meets in at least one table with a chance
-of 0.95, of 0.85 with 0.99, of 0.9 with 0.999.
+trie can prune, so it joins the tries of ``TABLES`` independent 28-bit fingerprints at
+two bits each (of three-word shingles, which scattered edits hurt less and a block as
+much), keeps pairs that are close over all bits, takes a shortest forest of them within
+each node pair, and checks its edges exactly.  A pair of similarity 0.8 that differs in
+one block meets in at least one table with a chance of 0.97, of 0.85 with 0.99 or more.
 
 NULL and empty texts have the fingerprint zero, which links like any other; for
 ``near_duplicates`` they are copies of each other.  NULL ids never become a component's
@@ -44,7 +44,7 @@ from loomstat.operators.joins import salted_join
 from loomstat.session import cut_lineage
 
 WORD, SEED, NODE_ROWS, STEP, PAIRS = 64, 42, 5000, 4, 200_000
-TABLES, TABLE_BITS, TABLE_BUDGET, TABLE_WORDS = 10, 32, 2, 3
+TABLES, TABLE_BITS, TABLE_BUDGET, TABLE_WORDS = 16, 28, 2, 3
 
 
 # ---- fingerprints ---------------------------------------------------------
@@ -332,10 +332,14 @@ def _close_pairs(most: int):
     return found
 
 
-def bits_apart(least_similarity: float, words: int) -> int:
-    """Bits of the sketch that three-word shingles of two texts of this similarity differ in, with a margin of 2.5 deviations."""
+def bits_apart(least_similarity: float) -> int:
+    """Bits of the sketch that two texts of this similarity differ in, with a margin of 2.5 deviations.
+
+    One replaced, cut or appended block breaks as large a share of the three-word shingles
+    as of longer ones; scattered edits break fewer of them.  The block is the bound.
+    """
     common = 2 * least_similarity / (1 + least_similarity)  # share of a text's shingles
-    share = float(np.arccos(common ** (min(TABLE_WORDS, words) / words))) / np.pi
+    share = float(np.arccos(common)) / np.pi
     n = TABLES * TABLE_BITS
     return int(n * share + 2.5 * (n * share * (1 - share)) ** 0.5)
 
@@ -371,7 +375,7 @@ def near_duplicates(
     rest = ["rep", "sketch"]
     rows = _roots(tables, F.col("t"), F.col("value"), low, TABLE_BITS, TABLE_BUDGET, rest)
     nodes = _nodes(_split(rows, TABLE_BITS, TABLE_BUDGET, node_rows, rest))
-    close = nodes.mapInArrow(_join_nodes(_close_pairs(bits_apart(least_similarity, words))), "u long, v long").distinct()
+    close = nodes.mapInArrow(_join_nodes(_close_pairs(bits_apart(least_similarity))), "u long, v long").distinct()
     close = cut_lineage(close)
     wanted = close.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
     texts = cut_lineage(named.join(wanted, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text")))

@@ -130,6 +130,17 @@ def test_copies_with_a_repeated_passage(spark):
     assert got == near_brute(texts) == {i: i - i % 2 for i, _ in texts}
 
 
+def test_copies_with_a_replaced_or_appended_block(spark):
+    texts = []
+    for k in range(40):  # similarity 0.82
+        words = prose(500 + k, 300).split()
+        other = prose(600 + k, 64).split()
+        texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + other if k % 2 else words[:150] + other[:25] + words[175:]))]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(spark, texts)).collect()}
+    assert near_brute(texts) == {i: i - i % 2 for i, _ in texts}
+    assert sum(got[2 * k + 1] == 2 * k for k in range(40)) >= 38
+
+
 def test_near_duplicates_of_real_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
