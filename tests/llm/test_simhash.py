@@ -141,6 +141,28 @@ def test_copies_with_a_replaced_or_appended_block(spark):
     assert sum(got[2 * k + 1] == 2 * k for k in range(40)) >= 38
 
 
+def varied_copies(groups, members):
+    """Copies of one text each with blocks and single words changed, many pairs of them near the limit."""
+    texts = []
+    for g in range(groups):
+        base, rng = prose(700 + g, 200).split(), np.random.default_rng(g)
+        for m in range(members):
+            words, size = list(base), int(rng.integers(0, 24))
+            at = int(rng.integers(0, 200 - size))
+            words[at : at + size] = [f"b{g}x{m}x{j}" for j in range(size)]
+            for j in rng.integers(0, 200, int(rng.integers(0, 4))):
+                words[j] = f"s{g}x{m}x{j}"
+            texts.append((g * members + m, " ".join(words)))
+    return texts
+
+
+@pytest.mark.parametrize("node_rows", [5000, 12])
+def test_varied_copies_are_tried_until_none_is_left(spark, node_rows):
+    texts = varied_copies(20, 12)
+    found = simhash.near_duplicates(documents(spark, texts), node_rows=node_rows).collect()
+    assert {r.doc_id: r.component_id for r in found} == near_brute(texts)
+
+
 def test_near_duplicates_of_real_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
