@@ -12,20 +12,9 @@ unbounded node.
 worth of partners (2,080 at two bits of 64), so the links grow with the distinct
 fingerprints, however large a group of copies is: copies share one fingerprint.
 
-``near_duplicates`` finds texts of a given similarity (the share of common five-word
-shingles).  At 0.8 a single 64-bit fingerprint differs in some ten bits, beyond what a
-trie can prune, so it joins the tries of ``TABLES`` independent 28-bit fingerprints at
-two bits each (of three-word shingles, which scattered edits hurt less and a block as
-much), keeps pairs that are close over all bits, takes a shortest forest of them within
-each node pair, checks its edges exactly, and draws again over the untested pairs that
-join different components until there are none.  A pair of similarity 0.8 that differs in
-one block meets in at least one table with a chance of 0.97, of 0.85 with 0.99 or more.
-
-NULL and empty texts have the fingerprint zero, which links like any other; for
-``near_duplicates`` they are copies of each other.  NULL ids never become a component's
-id (a component of such rows only has a NULL id), and ``near_duplicates`` leaves such
-rows alone.  Repeated rows stay; an empty table gives an empty result; other columns are
-not read.
+NULL and empty texts have the fingerprint zero, which links like any other.  NULL ids never
+become a component's id (a component of such rows only has a NULL id).  Repeated rows stay;
+an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,12 +29,10 @@ from pyspark.sql import functions as F
 from loomstat.llm.blocks import give_back, rows_of
 from loomstat.llm.bpe import gather
 from loomstat.llm.graph import components
-from loomstat.llm.windows import mixed, odd
 from loomstat.operators.joins import salted_join
 from loomstat.session import cut_lineage
 
 WORD, SEED, NODE_ROWS, STEP, PAIRS = 64, 42, 5000, 4, 200_000
-TABLES, TABLE_BITS, TABLE_BUDGET, TABLE_WORDS = 16, 28, 2, 3
 
 
 # ---- fingerprints ---------------------------------------------------------
@@ -270,187 +257,3 @@ def groups(fps: DataFrame, budget: int = 2) -> DataFrame:
     rooted = sizes.join(found, sizes["fp"] == found["node"], "left").select("fp", "rep", "n", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     return salted_join(fps, cut_lineage(rooted.join(least, "root").select("fp", "n", "component_id")), "fp", "doc_id", "n").drop("n")
-
-
-# ---- near-duplicate texts -------------------------------------------------
-
-
-def sketch(text: bytes) -> bytes:
-    """``TABLES`` fingerprints of ``TABLE_BITS`` bits, from as many independent hashes of the distinct shingles."""
-    base = np.unique(hashes(text, TABLE_WORDS))
-    return b"".join(majority(mixed(base * odd(71 + k))).tobytes() for k in range(TABLES * TABLE_BITS // WORD))
-
-
-def similarity(one: bytes, two: bytes, words: int) -> float:
-    """Share of the distinct shingles of two texts that both hold; 1 for two texts without words."""
-    a, b = set(shingles(one, words)), set(shingles(two, words))
-    return len(a & b) / len(a | b) if a or b else 1.0
-
-
-def forest(u: np.ndarray, v: np.ndarray, weight: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Which of the edges (u, v) make a shortest spanning forest (Boruvka's rounds) of the trees given by ``label`` (below its length)."""
-    n = len(label)
-    order = np.argsort(weight, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    taken = np.zeros(len(u), bool)
-    while True:
-        p, q = label[u], label[v]
-        open_edges = np.flatnonzero(p != q)
-        if not len(open_edges):
-            return taken
-        best = np.full(n, len(u), np.int64)
-        np.minimum.at(best, p[open_edges], rank[open_edges])
-        np.minimum.at(best, q[open_edges], rank[open_edges])
-        roots = np.flatnonzero(best < len(u))
-        edge = order[best[roots]]
-        taken[edge] = True
-        to = np.arange(n)
-        to[roots] = np.where(label[u[edge]] == roots, label[v[edge]], label[u[edge]])
-        both = to[to[roots]] == roots  # two trees that chose one edge: the smaller is the root
-        to[roots[both & (roots < to[roots])]] = roots[both & (roots < to[roots])]
-        while (to[to] != to).any():
-            to = to[to]
-        label = to[label]
-
-
-def _forests(u: np.ndarray, v: np.ndarray, far: np.ndarray, label: np.ndarray, draws: int) -> tuple:
-    """The edges of ``draws`` shortest forests, each of the edges that the ones before it left."""
-    left, taken = np.arange(len(u)), [np.zeros(0, np.int64)]
-    for _ in range(draws):
-        ok = forest(u[left], v[left], far[left], label)
-        if not ok.any():
-            break
-        taken.append(left[ok])
-        left = left[~ok]
-    kept = np.concatenate(taken)
-    return u[kept], v[kept], far[kept]
-
-
-def _close_pairs(most: int, draws: int):
-    """Per node pair: ``draws`` shortest forests of the pairs whose sketches differ in at most ``most`` bits.
-
-    Rows may have a ``root``, the component found so far, and ``failed``, the larger
-    partners that the exact check has refused: then only refused pairs and pairs within a
-    component are left out.
-    """
-
-    def found(turn, depth, a, b, x, rest):
-        rep = rest.column("rep").to_numpy()
-        bits = np.frombuffer(b"".join(rest.column("sketch").to_pylist()), "<u8").reshape(len(x), -1)
-        label, number, refused = np.arange(len(x)), None, None
-        if "root" in rest.column_names:
-            fresh = np.zeros(len(x), bool)
-            fresh[1:] = (turn[1:] != turn[:-1]) | (depth[1:] != depth[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            root = np.unique(rest.column("root").to_numpy(), return_inverse=True)[1]
-            label = np.unique(np.cumsum(fresh) * len(x) + root, return_inverse=True)[1]
-            reps, number = np.unique(rep, return_inverse=True)
-            lists = rest.column("failed").combine_chunks()
-            partner = lists.flatten().to_numpy()
-            at = np.minimum(np.searchsorted(reps, partner), len(reps) - 1)
-            refused = np.repeat(number, lists.value_lengths().fill_null(0).to_numpy()) * len(x) + at
-            refused = np.unique(refused[reps[at] == partner])
-        held = [(np.zeros(0, np.int64),) * 3]
-        for u, v in _near_pairs(turn, depth, a, b, x, TABLE_BITS, TABLE_BUDGET):
-            far = np.bitwise_count(bits[u] ^ bits[v]).sum(axis=1, dtype=np.int64)
-            ok = (far <= most) & (label[u] != label[v])
-            if refused is not None:
-                ok &= ~np.isin(np.minimum(number[u], number[v]) * len(x) + np.maximum(number[u], number[v]), refused)
-            held.append(_forests(u[ok], v[ok], far[ok], label, draws))
-        u, v, far = (np.concatenate(c) for c in zip(*held, strict=True))
-        u, v, _ = _forests(u, v, far, label, draws)
-        node = [pa.array(turn[u]), pa.array(depth[u]), pa.array(a[u].view(np.int64)), pa.array(b[u].view(np.int64))]
-        yield pa.RecordBatch.from_arrays([*node, pa.array(np.minimum(rep[u], rep[v])), pa.array(np.maximum(rep[u], rep[v]))], ["turn", "depth", "a", "b", "u", "v"])
-
-    return found
-
-
-def bits_apart(least_similarity: float) -> int:
-    """Bits of the sketch that two texts of this similarity differ in, with a margin of 2.5 deviations.
-
-    One replaced, cut or appended block breaks as large a share of the three-word shingles
-    as of longer ones; scattered edits break fewer of them.  The block is the bound.
-    """
-    common = 2 * least_similarity / (1 + least_similarity)  # share of a text's shingles
-    share = float(np.arccos(common)) / np.pi
-    n = TABLES * TABLE_BITS
-    return int(n * share + 2.5 * (n * share * (1 - share)) ** 0.5)
-
-
-def near_duplicates(
-    docs: DataFrame, words: int = 5, least_similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", node_rows: int = NODE_ROWS
-) -> DataFrame:
-    """(doc_id, component_id) of the distinct ids: the smallest id that copies and links of ``least_similarity`` lead to."""
-    import xxhash
-
-    def run(batches):
-        for batch in batches:
-            keys, sketches = [], []
-            for _, t in rows_of(batch):
-                raw = (t or "").encode()
-                keys.append(xxhash.xxh3_128_digest(b" ".join(raw.lower().split())))
-                sketches.append(sketch(raw))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())], ["doc_id", "key", "sketch"])
-        give_back()
-
-    named = _named(docs, id_col, text_col).where("doc_id is not null")
-    sketched = cut_lineage(named.mapInArrow(run, "doc_id long, key binary, sketch binary"))
-    reps = sketched.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.count("*").alias("n"))
-    reps = cut_lineage(reps)
-
-    table = F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("t")
-    hexes = F.hex("sketch")
-    width = TABLE_BITS // 4
-    tables = reps.select("rep", "sketch", hexes.alias("h"), table).select(
-        "rep", "sketch", "t", F.conv(F.substring("h", F.col("t") * width + 1, F.lit(width)), 16, 10).cast("bigint").alias("value")
-    )
-    low = F.xxhash64("rep").bitwiseAND((1 << (WORD - TABLE_BITS)) - 1)
-    rest = ["rep", "sketch"]
-    rows = _roots(tables, F.col("t"), F.col("value"), low, TABLE_BITS, TABLE_BUDGET, rest)
-    rows = _split(rows, TABLE_BITS, TABLE_BUDGET, node_rows, rest)
-    most, pair = bits_apart(least_similarity), ["turn", "depth", "a", "b"]
-
-    def drawn(rows, draws):
-        return cut_lineage(_nodes(rows).mapInArrow(_join_nodes(_close_pairs(most, draws)), "turn int, depth int, a long, b long, u long, v long"))
-
-    def alike(batches):
-        for batch in batches:
-            pairs = rows_of(batch.select(["one", "two"]))
-            ok = [similarity((s or "").encode(), (t or "").encode(), words) >= least_similarity for s, t in pairs]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], ["u", "v", "ok"])
-        give_back()
-
-    def rooted(named, *ends):
-        """``named`` with the component of each of the columns ``ends`` so far."""
-        for end in ends:
-            named = named.join(found.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
-            named = named.withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
-        return named
-
-    # Draw forests, check their edges, and draw again where a refused edge leaves its ends
-    # apart, until no untested pair of a node joins two components.  The texts of the first
-    # forests do for all: each row with a partner is in one.
-    edges, draws, good, failed, texts = drawn(rows, 1), 1, None, None, None
-    while True:
-        close = cut_lineage(edges.select("u", "v").distinct())
-        if texts is None:
-            wanted = close.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-            texts = cut_lineage(named.join(wanted, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text")))
-        both = close.join(texts.select(F.col("rep").alias("u"), F.col("text").alias("one")), "u").join(texts.select(F.col("rep").alias("v"), F.col("text").alias("two")), "v")
-        checked = cut_lineage(both.select("u", "v", "one", "two").mapInArrow(alike, "u long, v long, ok boolean"))
-        passing = checked.where("ok").select("u", "v")
-        good = passing if good is None else cut_lineage(good.unionByName(passing))
-        found = cut_lineage(components(good))
-        refused = checked.where("not ok").select("u", "v")
-        failed = refused if failed is None else failed.unionByName(refused)
-        failed = cut_lineage(rooted(failed, "u", "v").where("u_root <> v_root").select("u", "v"))
-        active = cut_lineage(edges.join(failed, ["u", "v"], "left_semi").select(*pair).distinct())
-        if active.isEmpty():
-            break
-        draws *= 4
-        lists = failed.groupBy(F.col("u").alias("rep")).agg(F.collect_list("v").alias("failed"))
-        again = rooted(rows.join(active, pair, "left_semi"), "rep").withColumnRenamed("rep_root", "root").join(lists, "rep", "left")
-        edges = drawn(again.select(*rows.columns, "root", F.coalesce("failed", F.expr("cast(array() as array<bigint>)")).alias("failed")), draws)
-    rooted_reps = reps.join(found, reps["rep"] == found["node"], "left").select("key", "n", F.coalesce("root", "rep").alias("component_id"))
-    member = sketched.select("doc_id", "key")
-    return salted_join(member, cut_lineage(rooted_reps), "key", "doc_id", "n").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))

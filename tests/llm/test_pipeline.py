@@ -7,7 +7,7 @@ from loomstat.llm.queries_bpe import RANK_FILE
 from loomstat.llm.queries_native import mask_documents
 
 from tests.llm.fixtures import SCHEMA, documents, odd_texts, prose
-from tests.llm.test_simhash import near_brute
+from tests.llm.test_simhash import brute_groups
 
 
 def stage(name):
@@ -38,7 +38,7 @@ def test_stages():
 def test_whole_pipeline_against_brute_force(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = [(r.doc_id, r.clean_text) for r in quality_rules.assess(docs).collect() if r.kept]
-    groups = near_brute(kept)
+    groups = {i: least for i, _, least in brute_groups(kept) if i is not None}
     kept = [(i, t) for i, t in kept if i is None or groups[i] == i]
     bench = spark.read.parquet(f"{folder}/benchmark.parquet")
     bad = {r.doc_id for r in decontaminate.find(documents(spark, kept), bench).collect()}

@@ -95,84 +95,7 @@ def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "u bigint, v bigint")).collect() == []
 
 
-def near_brute(texts):
-    kept = {}
-    for i, t in texts:
-        if i is not None:
-            kept[i] = min(kept.get(i, (t or "")), t or "") if i in kept else (t or "")
-    sets, sh = Sets(kept), {i: frozenset(shingles(t, 5)) for i, t in kept.items()}
-    for a in kept:
-        for b in kept:
-            if a < b and (len(sh[a] & sh[b]) >= 0.8 * len(sh[a] | sh[b])):
-                sets.join(a, b)
-    return {i: sets.find(i) for i in kept}
-
-
-@pytest.mark.parametrize("node_rows", [5000, 12])
-def test_near_duplicates(spark, node_rows):
-    texts = odd_texts()
-    for k in range(12):  # copies of one text with up to three words changed
-        words = prose(40, 150).split()
-        for j in range(k % 4):
-            words[(37 * j + 11 * k) % 150] = f"new{k}{j}"
-        texts.append((100 + k, " ".join(words)))
-    texts += [(200 + k, prose(60 + k, 60)) for k in range(20)]
-    found = simhash.near_duplicates(documents(spark, texts), node_rows=node_rows).collect()
-    assert {r.doc_id: r.component_id for r in found} == near_brute(texts)
-
-
-def test_copies_with_a_repeated_passage(spark):
-    texts = []
-    for k in range(8):
-        words = prose(400 + k, 300).split()
-        texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + 6 * words[-40:]))]
-    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(spark, texts)).collect()}
-    assert got == near_brute(texts) == {i: i - i % 2 for i, _ in texts}
-
-
-def test_copies_with_a_replaced_or_appended_block(spark):
-    texts = []
-    for k in range(40):  # similarity 0.82
-        words = prose(500 + k, 300).split()
-        other = prose(600 + k, 64).split()
-        texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + other if k % 2 else words[:150] + other[:25] + words[175:]))]
-    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(spark, texts)).collect()}
-    assert near_brute(texts) == {i: i - i % 2 for i, _ in texts}
-    assert sum(got[2 * k + 1] == 2 * k for k in range(40)) >= 38
-
-
-def varied_copies(groups, members):
-    """Copies of one text each with blocks and single words changed, many pairs of them near the limit."""
-    texts = []
-    for g in range(groups):
-        base, rng = prose(700 + g, 200).split(), np.random.default_rng(g)
-        for m in range(members):
-            words, size = list(base), int(rng.integers(0, 24))
-            at = int(rng.integers(0, 200 - size))
-            words[at : at + size] = [f"b{g}x{m}x{j}" for j in range(size)]
-            for j in rng.integers(0, 200, int(rng.integers(0, 4))):
-                words[j] = f"s{g}x{m}x{j}"
-            texts.append((g * members + m, " ".join(words)))
-    return texts
-
-
-@pytest.mark.parametrize("node_rows", [5000, 12])
-def test_varied_copies_are_tried_until_none_is_left(spark, node_rows):
-    texts = varied_copies(20, 12)
-    found = simhash.near_duplicates(documents(spark, texts), node_rows=node_rows).collect()
-    assert {r.doc_id: r.component_id for r in found} == near_brute(texts)
-
-
-def test_near_duplicates_of_real_tables(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
-    want = near_brute([(r.doc_id, r.text) for r in docs.collect()])
-    assert all(got[i] >= want[i] for i in want)  # nothing is linked that is not alike
-    assert sum(got[i] != want[i] for i in want) <= 2  # a pair just at the limit may stay unseen
-
-
 def test_empty_table(spark):
-    assert simhash.near_duplicates(documents(spark, [])).collect() == []
     assert simhash.groups(simhash.fingerprints(documents(spark, []), words=3)).collect() == []
 
 
