@@ -1,7 +1,7 @@
 """Quality rules: clean line by line, then reject documents that lose too much.
 
-A line fails as *navigation* (two or more bars or arrows), as *boilerplate* (stock
-phrases), or by its *punctuation*: too many symbols, shouting (no lower-case letter
+A line fails as *navigation* (two or more bars or arrows, at least one to five words), as
+*boilerplate* (stock phrases make up ``MIN_STOCK_PERCENT`` of it), or by its *punctuation*: too many symbols, shouting (no lower-case letter
 among ten or more capitals), or a short fragment without closing punctuation.
 Failed lines go; a document is kept when it passes the base limits and at least
 ``min_kept_percent`` of its characters stay.
@@ -23,6 +23,7 @@ from loomstat.llm.expr import SPACE, let, text_of, words_of
 
 SYMBOLS = r"[#*$%&|<>]"
 NAVIGATION = r"(\|[^|]*\|)|(»[^»]*»)|(›[^›]*›)"
+NOT_BARS = "[^|»›]"
 #: Stock phrases, compared in lower case.
 BOILERPLATE = (
     "lorem ipsum", "enable javascript", "cookie policy", "cookies policy", "privacy policy", "terms of use", "terms of service",
@@ -31,14 +32,16 @@ BOILERPLATE = (
 CLOSING = tuple(".!?:;…\"'”’»)]")
 MIN_WORDS, MAX_REPEAT_PERCENT, MIN_KEPT_PERCENT = 50, 50, 50
 MAX_SYMBOL_PERCENT, FRAGMENT_WORDS = 10, 6
+WORDS_PER_BAR, MIN_STOCK_PERCENT = 5, 15
 
 
-def repeated_words(words: Column) -> Column:
+def repeated_words(words: Column, hashed: Callable[..., Column] = F.xxhash64) -> Column:
     """Words inside a three-word window that the same text holds twice or more.
 
     Each window becomes one long: its hash above, its position below (as many bits as
     the position needs).  One sort brings equal windows together, so the work is
-    n log n in the words and no pair of windows is compared twice.
+    n log n in the words and no pair of windows is compared twice.  Windows of equal keys
+    are compared word by word; where two differ, the text is counted over by its words.
     """
 
     def shifted(name: str, value: Column, bits: Column) -> Column:
@@ -46,24 +49,44 @@ def repeated_words(words: Column) -> Column:
 
     def keys_of(bits: Column) -> Column:
         def key(i: Column) -> Column:
-            window = F.xxhash64(words[i], words[i + 1], words[i + 2])
+            window = hashed(words[i], words[i + 1], words[i + 2])
             return shifted("shiftleft", window, bits).bitwiseOR(i.cast("bigint"))
 
         return F.sort_array(F.transform(F.sequence(F.lit(0), F.size(words) - 3), key))
 
-    def covered(keys: Column, bits: Column) -> Column:
-        def position(x: Column) -> Column:
-            return x - shifted("shiftleft", shifted("shiftright", x, bits), bits)
+    def neighbours(keys: Column) -> Column:
+        return F.sequence(F.lit(0), F.size(keys) - 2)
 
-        def with_next(i: Column) -> Column:
+    def covered(twins: Column, position: Callable[[Column], Column]) -> Column:
+        hits = F.flatten(F.transform(twins, lambda i: F.array(position(i), position(i + 1))))
+        return F.size(F.array_distinct(F.flatten(F.transform(hits, lambda p: F.array(p, p + 1, p + 2)))))
+
+    def by_words() -> Column:
+        def count(windows: Column) -> Column:
+            twins = F.filter(neighbours(windows), lambda i: windows[i]["w"] == windows[i + 1]["w"])
+            return covered(twins, lambda i: windows[i]["i"].cast("bigint"))
+
+        window = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.struct(F.slice(words, i + 1, 3).alias("w"), i.alias("i")))
+        return let(F.sort_array(window), count)
+
+    def by_keys(keys: Column, bits: Column) -> Column:
+        def position(i: Column) -> Column:
+            return keys[i] - shifted("shiftleft", shifted("shiftright", keys[i], bits), bits)
+
+        def same_key(i: Column) -> Column:
             return shifted("shiftright", keys[i].bitwiseXOR(keys[i + 1]), bits) == 0
 
-        twins = F.filter(F.sequence(F.lit(0), F.size(keys) - 2), with_next)
-        hits = F.flatten(F.transform(twins, lambda i: F.array(position(keys[i]), position(keys[i + 1]))))
-        return F.size(F.array_distinct(F.flatten(F.transform(hits, lambda p: F.array(p, p + 1, p + 2)))))
+        def same_words(i: Column) -> Column:
+            def equal(p: Column, q: Column) -> Column:
+                return (words[p] == words[q]) & (words[p + 1] == words[q + 1]) & (words[p + 2] == words[q + 2])
+
+            return equal(position(i).cast("int"), position(i + 1).cast("int"))
+
+        twins = F.filter(neighbours(keys), same_key)
+        return let(twins, lambda t: F.when(F.forall(t, same_words), covered(t, position)).otherwise(by_words()))
 
     bits_needed = F.length(F.bin(F.size(words).cast("bigint")))  # positions are below the size
-    count = let(bits_needed, lambda bits: let(keys_of(bits), lambda keys: covered(keys, bits)))
+    count = let(bits_needed, lambda bits: let(keys_of(bits), lambda keys: by_keys(keys, bits)))
     return F.when(F.size(words) < 4, F.lit(0)).otherwise(count)
 
 
@@ -71,8 +94,14 @@ def line_passes(has_symbols: Column) -> Callable[[Column], Column]:
     """True when none of the line rules fails; the cheap part of each rule comes first."""
 
     def passes(line: Column) -> Column:
-        navigation = (line.contains("|") | line.contains("»") | line.contains("›")) & line.rlike(NAVIGATION)
-        boilerplate = let(F.lower(line), lambda low: reduce(Column.__or__, [low.contains(p) for p in BOILERPLATE]))
+        bars = F.length(F.regexp_replace(line, NOT_BARS, ""))
+        navigation = (line.contains("|") | line.contains("»") | line.contains("›")) & line.rlike(NAVIGATION) & (bars * WORDS_PER_BAR >= F.size(words_of(line)))
+
+        def stock(low: Column) -> Column:
+            found = F.length(low) - F.length(F.regexp_replace(low, "|".join(BOILERPLATE), ""))
+            return reduce(Column.__or__, [low.contains(p) for p in BOILERPLATE]) & (found * 100 >= F.length(low) * MIN_STOCK_PERCENT)
+
+        boilerplate = let(F.lower(line), stock)
         bare = F.length(F.regexp_replace(line, SPACE, ""))
         symbols = F.length(line) - F.length(F.regexp_replace(line, SYMBOLS, ""))
         symbolic = has_symbols & (symbols * 100 > bare * MAX_SYMBOL_PERCENT)

@@ -9,6 +9,7 @@ from loomstat.llm.expr import documents, let, sha256, text_of
 from loomstat.llm.registry import query
 
 _SP = r"\x20\x09-\x0D"
+_STOCK = "|".join(quality_rules.BOILERPLATE)
 
 SQL_QUALITY = rf"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^{_SP}]+') AS ws,
@@ -18,7 +19,8 @@ g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS win
 hit AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM hit) GROUP BY 1),
 good AS (SELECT *, list_filter(ls, lambda x: NOT (
-    regexp_matches(x, '{quality_rules.NAVIGATION}') OR regexp_matches(lower(x), '{'|'.join(quality_rules.BOILERPLATE)}')
+    (regexp_matches(x, '{quality_rules.NAVIGATION}') AND length(regexp_replace(x, '{quality_rules.NOT_BARS}', '', 'g')) * {quality_rules.WORDS_PER_BAR} >= len(regexp_extract_all(x, '[^{_SP}]+')))
+    OR (length(lower(x)) - length(regexp_replace(lower(x), '{_STOCK}', '', 'g'))) * 100 >= greatest(length(lower(x)) * {quality_rules.MIN_STOCK_PERCENT}, 1)
     OR length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) * 100 > length(regexp_replace(x, '[{_SP}]', '', 'g')) * {quality_rules.MAX_SYMBOL_PERCENT}
     OR (NOT regexp_matches(x, '\p{{Ll}}') AND length(regexp_replace(x, '[^\p{{Lu}}]', '', 'g')) >= 10)
     OR (NOT list_contains(string_split('{"".join(quality_rules.CLOSING).replace(chr(39), chr(39) * 2)}', ''), right(rtrim(x, ' ' || chr(9) || chr(10) || chr(12) || chr(13)), 1)) AND len(regexp_extract_all(x, '[^{_SP}]+')) < {quality_rules.FRAGMENT_WORDS}))) AS ok FROM w),

@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 import pytest
 from loomstat.llm import chat_format, pii, quality_rules, queries_native
@@ -29,19 +30,59 @@ JUNK = [
 def base(text):
     words = re.findall(f"[^{SPACE}]+", text or "")
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
-    hit = {p for i, w in enumerate(windows) if windows.count(w) > 1 for p in (i, i + 1, i + 2)} if len(words) < 2000 else set()
+    times = Counter(windows)
+    hit = {p for i, w in enumerate(windows) if times[w] > 1 for p in (i, i + 1, i + 2)}
     lines = [x for x in (text or "").split("\n") if re.search(f"[^{SPACE}]", x)]
     failed = len(words) < 50 or 100 * len(hit) > 50 * len(words)
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for w in words for c in w), len(lines) - len(set(lines)), len(hit), failed
 
 
 def test_base_figures(spark):
-    texts = [t for t in odd_texts() if t[0] != 7] + JUNK
+    texts = odd_texts() + JUNK
     got = quality_rules.assess(documents(spark, texts)).collect()
     want = sorted([(i, *base(t)) for i, t in texts], key=str)
     assert sorted([tuple(r)[:7] for r in got], key=str) == want
 
 
+@pytest.mark.parametrize("hashed", [F.xxhash64, lambda *w: F.length(w[0]).cast("bigint"), lambda *w: F.lit(0).cast("bigint")])
+def test_repeated_words_whatever_the_hash(spark, hashed):
+    texts = [t for t in odd_texts() if len(t[1] or "") < 5000] + JUNK + [(70, "a b c a b c d a b x y a b"), (71, "a b c d"), (72, "q " * 9), (73, "a b c x a b d x a b c")]
+    words = F.split(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[ \\t\\n\\x0B\\f\\r]+", " ")), " ")
+    got = documents(spark, texts).select("doc_id", quality_rules.repeated_words(F.array_remove(words, ""), hashed).alias("n")).collect()
+    assert sorted([(str(r.doc_id), r.n) for r in got]) == sorted((str(i), base(t)[4]) for i, t in texts)
+
+
+def line_judge(line):
+    """Does a line fail? By the docstring's rules."""
+    words = re.findall(f"[^{SPACE}]+", line)
+    bars = sum(line.count(c) for c in "|»›")
+    navigation = max(line.count(c) for c in "|»›") >= 2 and 5 * bars >= len(words)
+    low = line.lower()
+    boilerplate = sum(low.count(p) * len(p) for p in quality_rules.BOILERPLATE) * 100 >= 15 * len(low)
+    symbols = sum(c in "#*$%&|<>" for c in line) * 100 > 10 * sum(map(len, words))
+    shouting = sum(c.isupper() for c in line) >= 10 and not any(c.islower() for c in line)
+    fragment = line.rstrip(" \t\n\f\r")[-1:] not in tuple(quality_rules.CLOSING) and len(words) < 6
+    return navigation or boilerplate or symbols or shouting or fragment
+
+
+def test_lines_equal_a_plain_judge(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in quality_rules.assess(docs).collect():
+        lines = [x for x in text[r.doc_id].split("\n") if re.search(f"[^{SPACE}]", x)]
+        good = [x for x in lines if not line_judge(x)]
+        assert r.clean_text == "\n".join(good)
+        assert r.kept == (not base(text[r.doc_id])[5] and 100 * sum(map(len, good)) >= 50 * sum(map(len, lines)))
+
+
+def test_one_phrase_or_bar_in_a_long_line_stays(spark):
+    clean = prose(900, 600)
+    texts = [(1, clean + " See our privacy policy."), (2, clean.replace(" ", " |x| ", 1)), (3, clean + " Click here, or subscribe to us."), (4, "All rights reserved. " * 40), (5, "a | b | c | d " * 40)]
+    got = {r.doc_id: r for r in quality_rules.assess(documents(spark, texts)).collect()}
+    assert [got[i].kept for i in range(1, 6)] == [True, True, True, False, False]
+    assert all(got[i].clean_text == dict(texts)[i] for i in (1, 2, 3))
+
+
 def test_verdicts_and_clean_text(spark):
     got = {r.doc_id: r for r in quality_rules.assess(documents(spark, odd_texts() + JUNK)).collect()}
     assert [i for i in (4, 5, 6, 7) if not got[i].kept] == []
