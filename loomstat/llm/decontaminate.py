@@ -2,11 +2,13 @@
 
 Words lose their punctuation and case; then numbers (any word with a digit), names (a
 capital inside a sentence) and units become typed placeholders, whose values are the
-*slots*.  Windows of ``window`` template tokens with enough literal words are joined by
-their hash with those of the benchmark.  Matches of one document and item on one
-diagonal are put together: re-parameterised questions must fill equal slots of the item
-with equal values.  Where a value of the item meets two values, only windows without
-slots count.
+*slots*.  Windows of ``window`` template tokens are joined by their hash with those of the
+benchmark, each in up to three readings: with enough literal words as it stands; also, if a
+capital opens a sentence in it, with that word as a name; and, if it has slots, with no
+slot at all, so that verbatim copies match however many names and numbers they hold.
+Matches of one document and item on one diagonal are put together: re-parameterised
+questions must fill equal slots of the item with equal values.  Where a value of the item
+meets two values, only windows without slots count.
 
 Items shorter than the window (but of ``MIN_WORDS`` words) match as a whole.  Before the
 join the windows of documents pass a bitmap of the benchmark's hashes; it has a fixed
@@ -49,7 +51,7 @@ def _unit_hashes() -> np.ndarray:
 
 
 def template(texts: list[bytes]):
-    """(text number, template token, is a slot, word hash) of every word that keeps a letter or digit."""
+    """(text number, template token, is a slot, word hash, opens with a capital) of every word that keeps a letter or digit."""
     buf, starts = tokens.joined(texts)
     begin, end, value, size, kept, rank = tokens.plain_words(buf)
     real = size > 0
@@ -69,28 +71,45 @@ def template(texts: list[bytes]):
     unit = np.isin(value, _unit_hashes())
     name = capital & ~opens & ~number & ~unit
     token = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, value)))
-    return text, token, number | unit | name, value
+    return text, token, number | unit | name, value, capital & opens & ~number & ~unit
 
 
 def windows(texts: list[bytes], lengths: list[tuple[int, int]]):
-    """((text, first word, length, hash, first slot, last slot), slot values) of the windows of each (length, literals)."""
-    text, token, slot, value = template(texts)
+    """((text, first word, length, hash, first slot, last slot), slot values) of the windows of each (length, literals), in all readings."""
+    text, token, slot, value, opener = template(texts)
     power, back = tokens.powers(len(token) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(token) * power[: len(token)], dtype=np.uint64)])
-    slots = np.concatenate([[0], np.cumsum(slot)])
     words = np.bincount(text, minlength=len(texts)) if len(text) else np.zeros(len(texts), np.int64)
     first_of = np.cumsum(words) - words
-    found = []
-    for n, literals in lengths:
-        if len(token) < n:
-            continue
-        at = np.flatnonzero((text[n - 1 :] == text[: len(text) - n + 1]) & (n - (slots[n:] - slots[:-n]) >= literals))
-        hashed = mixed((sums[at + n] - sums[at]) * back[at] + odd(53 + 2 * n))
-        found.append((text[at], at - first_of[text[at]], np.full(len(at), n, np.int64), hashed, slots[at], slots[at + n]))
+
+    def before(marks):
+        return np.concatenate([[0], np.cumsum(marks)])
+
+    n_slots, n_openers = before(slot), before(opener)
+    either = slot | opener
+    readings = ((token, slot), (np.where(opener, _NAME, token), either), (value, np.zeros(len(value), bool)))
+    found, values, held = [], [], 0
+    for k, (read, gaps) in enumerate(readings):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(read) * power[: len(read)], dtype=np.uint64)])
+        slots = before(gaps)
+        for n, literals in lengths:
+            if len(token) < n:
+                continue
+            one = text[n - 1 :] == text[: len(text) - n + 1]
+            if k < 2:
+                one &= n - (slots[n:] - slots[:-n]) >= literals
+            if k:  # a reading of its own only where it differs from the first
+                one &= (n_openers if k == 1 else n_slots)[n:] > (n_openers if k == 1 else n_slots)[:-n]
+            if k == 1:  # the next sentence's first word alone adds nothing
+                one &= ~opener[n - 1 :]
+            at = np.flatnonzero(one)
+            hashed = mixed((sums[at + n] - sums[at]) * back[at] + odd(53 + 2 * n))
+            found.append((text[at], at - first_of[text[at]], np.full(len(at), n, np.int64), hashed, held + slots[at], held + slots[at + n]))
+        values.append(value[gaps])
+        held += len(values[-1])
     if not found:
         none = np.zeros(0, np.int64)
         return (none, none, none, none.astype(np.uint64), none, none), value[slot]
-    return tuple(np.concatenate(c) for c in zip(*found, strict=True)), value[slot]
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True)), np.concatenate(values)
 
 
 def _batch(ids: pa.Array, found, values) -> pa.RecordBatch:
@@ -170,10 +189,10 @@ def find(
     hits = named.mapInArrow(_doc_windows(lengths, _bitmap(items)), _SCHEMA)
     mine = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots"))
     pairs = F.transform(F.arrays_zip("item_slots", "slots"), lambda z: F.struct(z["item_slots"].alias("item"), z["slots"].alias("doc")))
-    met = hits.join(mine, "hash").select(F.col("id").alias("doc_id"), "item_id", "pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"), pairs.alias("pairs"))
+    met = hits.join(mine, "hash").select(F.col("id").alias("doc_id"), "item_id", "pos", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"), pairs.alias("pairs"))
     lines = met.groupBy("doc_id", "item_id", "diagonal").agg(
-        F.count("*").alias("n"),
-        F.count_if(F.size("pairs") == 0).alias("plain"),
+        F.size(F.collect_set("item_pos")).alias("n"),  # an item's windows at most
+        F.size(F.collect_set(F.when(F.size("pairs") == 0, F.col("item_pos")))).alias("plain"),
         F.min("pos").alias("first_word"),
         F.max("pos").alias("last_word"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),  # an item's slots at most
@@ -181,7 +200,7 @@ def find(
     steady = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))) == F.size("pairs")
     good = lines.withColumn("n_windows", F.when(steady, F.col("n")).otherwise(F.col("plain"))).where("n_windows > 0")
     return good.groupBy("doc_id", "item_id").agg(
-        F.sum("n_windows").alias("n_windows"),
+        F.sum("n_windows").cast("bigint").alias("n_windows"),
         F.min("first_word").cast("bigint").alias("first_word"),
         F.max("last_word").cast("bigint").alias("last_word"),
         F.bool_or(F.exists("pairs", lambda p: p["item"] != p["doc"])).alias("reparameterised"),
