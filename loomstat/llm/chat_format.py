@@ -39,9 +39,9 @@ def _role_out(role: Column) -> Column:
 
 
 def _role_in(role: Column) -> Column:
-    # "\\" + "\\" stands for one backslash; a private character keeps it apart from "\n"
-    apart = F.replace(unescape(role), F.lit("\\\\"), F.lit("\x00"))
-    return F.replace(F.replace(apart, F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\"))
+    # two backslashes stand for one; what lies between such pairs holds escaped newlines only
+    parts = F.split(unescape(role), r"\\\\")
+    return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def format_chats(

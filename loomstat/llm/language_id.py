@@ -126,7 +126,7 @@ def _chosen(labelled: DataFrame, per_class: int) -> DataFrame:
     share = F.lit(1.0)
     for label, n in counts.items():
         share = F.when(F.col("label") == label, F.lit(min(1.0, 4 * max(per_class, 50) / n))).otherwise(share)
-    near = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * F.lit(float(1 << 20)))
+    near = labelled.where(F.pmod(order, F.lit(1 << 20)) < share * F.lit(float(1 << 20)))
     return near.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= per_class).drop("_place")
 
 

@@ -170,4 +170,4 @@ def test_template_marks():
     text, token, slot, _, opener = decontaminate.template([b"The Cat saw 12 kg. Then Paris, in", "à École 3km".encode(), b"", b"-- !!"])
     assert text.tolist() == [0] * 8 + [1] * 3
     assert slot.tolist() == [False, True, False, True, True, False, True, False, False, True, True]
-    assert opener.tolist() == [True] + [False] * 5 + [True] + [False] * 4
+    assert opener.tolist() == [True] + [False] * 4 + [True] + [False] * 5

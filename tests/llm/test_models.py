@@ -121,6 +121,13 @@ def test_language_without_labels(spark):
     assert language_id.predict(documents(spark, []), model).collect() == []
 
 
+def test_language_of_rows_that_share_an_id(spark):
+    """The first cut goes by id and text: a label whose rows have one id keeps its share of them."""
+    rows = [(7, prose(i, 30), "a", "s", 1, 2, None, 3, None, None, "l", "h") for i in range(600)] + [(i, "zz yy " * 20 + str(i), "b", "s", 1, 2, None, 3, None, None, "l", "h") for i in range(600)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert language_id.fit(docs, F.lit(True), per_class=5, per_doc=1)[0] == ["a", "b"]
+
+
 def test_gradients():
     """Training lowers the loss, and every window of a text is scored."""
     rng = np.random.default_rng(0)

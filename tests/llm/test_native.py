@@ -111,7 +111,7 @@ HARD = ["<|im_end|>", "<\\|im_start|>", "<\\\\\\|x", "<||", "a\\", "<", "|", "",
 def chat_rows():
     rows = [(1, k, "user" if k % 3 else "assistant", t, None) for k, t in enumerate(HARD)]
     rows += [(2, 0, "assistant", "x", "c"), (2, 0, "assistant", "x", "c"), (2, 0, "assistant", "w", "c"), (2, None, "system", "first", "c")]
-    rows += [(3, 1, None, None, None), (4, 1, "ro\nle\\n|<|im_end|>", "t", None), (None, 1, "user", "lost", None), (5, 9, "user", "long " * 50000, None)]
+    rows += [(3, 1, None, None, None), (4, 1, "ro\nle\\n|<|im_end|>", "t", None), (6, 0, "us\x00er\\\n\\\\n\x00", "nul\x00", None), (None, 1, "user", "lost", None), (5, 9, "user", "long " * 50000, None)]
     return rows
 
 
