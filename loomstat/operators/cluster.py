@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions.maths import dot
+from loomstat.operators import linkage
 from loomstat.operators.batches import matrix, summed
 from loomstat.operators.neighbors import distance_sums
 
@@ -226,59 +227,19 @@ def silhouette_squared(rows: DataFrame, key: str, vec: str, cluster: str, width:
     return _from_means(rows.select(key, cluster, F.inline(F.array(*entries))), key, cluster)
 
 
-@dataclass
-class MergeTree:
-    """Complete-linkage merges of M items: ``children`` (numbered M.. as made) and ``distances``."""
-
-    children: list[tuple[int, int]]
-    distances: list[float]
-
-    def labels(self, n_clusters: int) -> list[int]:
-        """Cluster of each item after all but the last ``n_clusters - 1`` merges, numbered by first item."""
-        m = len(self.children) + 1
-        group = {i: [i] for i in range(m)}
-        for step, (a, b) in enumerate(self.children[: m - n_clusters]):
-            group[m + step] = group.pop(a) + group.pop(b)
-        out = [0] * m
-        for label, members in enumerate(sorted(sorted(g) for g in group.values())):
-            for i in members:
-                out[i] = label
-        return out
-
-
-def complete_linkage(centres: np.ndarray) -> MergeTree:
-    """Merge the two groups whose farthest members are closest, until one is left.
-
-    The matrix of distances has the square of the items' number, which is a parameter
-    (``micro`` of ``agglomerate``); ``bisect`` has no such matrix.
-    """
-    m = len(centres)
-    d = np.sqrt(((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2))
-    np.fill_diagonal(d, np.inf)
-    ids, children, distances = list(range(m)), [], []
-    for step in range(m - 1):
-        i, j = sorted(divmod(int(d.argmin()), m))
-        children.append((ids[i], ids[j]))
-        distances.append(float(d[i, j]))
-        d[i, :] = d[:, i] = np.maximum(d[i], d[j])
-        d[i, i] = np.inf
-        d[j, :] = d[:, j] = np.inf
-        ids[i] = m + step
-    return MergeTree(children, distances)
-
-
-def agglomerate(df: DataFrame, n_clusters: int, micro: int, seed: int = 0, features: str = "features") -> tuple[DataFrame, MergeTree]:
-    """Rows with a ``cluster`` label, and the merges behind it.
-
-    K-means first makes ``micro`` small clusters on the cluster; their centres are
-    merged by complete linkage and each row takes the label of its own.
+def agglomerate(df: DataFrame, n_clusters: int, micro: int, seed: int = 0, features: str = "features") -> tuple[DataFrame, DataFrame]:
+    """Rows with a ``cluster`` label, and the merges (a, b, distance, round) behind it.
+
+    K-means first makes ``micro`` small clusters; their centres are merged by complete
+    linkage (see ``linkage``) and each row takes the label of its own.
     """
     model = ml_kmeans(df, micro, max_iter=50, seed=seed, features=features)
-    centres = np.array(model.clusterCenters())
-    tree = complete_linkage(centres)
-    names = F.array(*[F.lit(x).cast("bigint") for x in tree.labels(min(n_clusters, len(centres)))])
-    placed = model.transform(df).withColumn("cluster", F.element_at(names, F.col("cluster") + 1))
-    return placed, tree
+    centres = [(i, c.tolist()) for i, c in enumerate(model.clusterCenters())]
+    items = df.sparkSession.createDataFrame(centres, "_micro bigint, _centre array<double>")
+    merges = linkage.complete_linkage(linkage.pair_distances(items, "_micro", "_centre"))
+    labels = linkage.cut(merges, items, "_micro", min(n_clusters, len(centres)))
+    placed = model.transform(df).withColumnRenamed("cluster", "_micro").join(labels, "_micro").drop("_micro")
+    return placed, merges
 
 
 def bisect(df: DataFrame, n_clusters: int, seed: int = 0, features: str = "features") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loomstat.functions import text as tx
 from loomstat.functions.hashing import seeded_hash, uniform_below
-from loomstat.operators import classify, cluster, columns, decompose, encode, ensemble, estimators, metrics, neighbors, sampling, select, stats, vectorize
+from loomstat.operators import classify, cluster, columns, decompose, encode, ensemble, estimators, linkage, metrics, neighbors, sampling, select, stats, vectorize
 from loomstat.operators.batches import evened
 from loomstat.operators.ordering import ordered_rank
 from loomstat.plans.registry import SQL_LINES, big, lines, query, r, sql_hash, sql_round, sql_uniform
@@ -616,24 +616,35 @@ def k7(spark, d):
 _NATIONS = "(SELECT s_nationkey AS k, avg(l_quantity) / 10 AS a, avg(l_discount) * 100 AS b, avg(l_tax) * 100 AS c FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1)"
 
 
-def _nation_merges(spark, d):
-    """Complete-linkage merges of the nations' mean line."""
+def _nation_items(spark, d):
+    """The nations' mean line."""
     suppliers = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     per_supplier = table(spark, d, "lineitem").groupBy("l_suppkey").agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"), F.sum("l_discount").alias("d"), F.sum("l_tax").alias("t")
     )
-    means = per_supplier.join(suppliers, "l_suppkey").groupBy("s_nationkey").agg(
-        (F.sum("q") / F.sum("n") / 10).alias("a"), (F.sum("d") / F.sum("n") * 100).alias("b"), (F.sum("t") / F.sum("n") * 100).alias("c")
-    )
-    items = np.array([[m["a"], m["b"], m["c"]] for m in means.orderBy("s_nationkey").collect()])
-    return cluster.complete_linkage(items)
+    n = F.sum("n")
+    mean = F.array(F.sum("q") / n / 10, F.sum("d") / n * 100, F.sum("t") / n * 100)
+    return per_supplier.join(suppliers, "l_suppkey").groupBy(big("s_nationkey").alias("nation")).agg(mean.alias("vec"))
+
+
+_SQL_MERGES = f"""WITH RECURSIVE n AS MATERIALIZED (SELECT row_number() OVER (ORDER BY k) - 1 AS k, a, b, c FROM {_NATIONS}),
+    p AS (SELECT 0 AS step, x.k AS a, y.k AS b, sqrt(pow(x.a - y.a, 2) + pow(x.b - y.b, 2) + pow(x.c - y.c, 2)) AS d FROM n x JOIN n y ON x.k < y.k
+      UNION ALL SELECT step + 1, least(x, y), greatest(x, y), max(d) FROM (
+        SELECT step, d, CASE WHEN p.a = m.b THEN m.a ELSE p.a END AS x, CASE WHEN p.b = m.b THEN m.a ELSE p.b END AS y
+        FROM p, (SELECT a, b FROM p ORDER BY d, a, b LIMIT 1) m) WHERE x <> y GROUP BY step, least(x, y), greatest(x, y)),
+    m AS MATERIALIZED (SELECT step, a, b, d FROM p QUALIFY row_number() OVER (PARTITION BY step ORDER BY d, a, b) = 1)"""
 
 
-@query("k7_merge_tree")
+@query(
+    "k7_merge_tree",
+    f"""{_SQL_MERGES} SELECT CAST(m.step AS BIGINT) AS step, {sql_round('m.d')} AS distance,
+    coalesce((SELECT max(o.step) FROM m o WHERE o.step < m.step AND o.a = m.a) + (SELECT count(*) FROM n), m.a) AS "left",
+    coalesce((SELECT max(o.step) FROM m o WHERE o.step < m.step AND o.a = m.b) + (SELECT count(*) FROM n), m.b) AS "right" FROM m""",
+)
 def k7_tree(spark, d):
-    tree = _nation_merges(spark, d)
-    rows = [(i, int(a), int(b), float(x)) for i, ((a, b), x) in enumerate(zip(tree.children, tree.distances))]
-    return spark.createDataFrame(rows, "step bigint, left bigint, right bigint, distance double")
+    """Complete-linkage merges of the nations' mean lines, in rounds to the end."""
+    tree = linkage.merge_tree(_nation_items(spark, d), "nation", "vec", finish=0)
+    return tree.select("step", r("distance").alias("distance"), "left", "right")
 
 
 @query(
@@ -641,8 +652,32 @@ def k7_tree(spark, d):
     f"""WITH n AS {_NATIONS} SELECT {sql_round('min(sqrt(pow(x.a - y.a, 2) + pow(x.b - y.b, 2) + pow(x.c - y.c, 2)))')} AS distance FROM n x JOIN n y ON x.k < y.k""",
 )
 def k7_first(spark, d):
-    tree = _nation_merges(spark, d)
-    return spark.createDataFrame([(float(tree.distances[0]),)], "distance double").select(r("distance").alias("distance"))
+    tree = linkage.merge_tree(_nation_items(spark, d), "nation", "vec")
+    return tree.where("step = 0").select(r("distance").alias("distance"))
+
+
+@query(
+    "k7_merge_labels",
+    f"""{_SQL_MERGES}, k AS (SELECT a, b FROM m WHERE step < (SELECT count(*) FROM n) - 5),
+    w AS (SELECT k AS item, k AS place FROM n UNION ALL SELECT w.item, k.a FROM w JOIN k ON k.b = w.place),
+    g AS (SELECT item, min(place) AS root FROM w GROUP BY 1) SELECT item AS nation, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM g""",
+)
+def k7_labels(spark, d):
+    """The nations in five clusters of the tree."""
+    items = cut_lineage(_nation_items(spark, d))
+    merges = linkage.complete_linkage(linkage.pair_distances(items, "nation", "vec"))
+    return linkage.cut(merges, items, "nation", 5)
+
+
+@query("k7_supplier_tree")
+def k7_suppliers(spark, d):
+    """Complete-linkage merges of all suppliers' mean lines: the merges and the largest distance of every tenth of the tree."""
+    mean = F.array(F.avg("l_quantity") / 10, F.avg("l_discount") * 100, F.avg("l_tax") * 100, F.avg("l_extendedprice") / 10000)
+    items = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("supplier")).agg(mean.alias("vec"))
+    tree = cut_lineage(linkage.merge_tree(items, "supplier", "vec"))
+    n = tree.agg(F.count(F.lit(1))).scalar()
+    tenth = F.floor(F.col("step") * 10 / n)
+    return tree.groupBy(tenth.alias("tenth")).agg(F.count(F.lit(1)).alias("merges"), r(F.max("distance")).alias("distance"))
 
 
 # ---- components and topics ------------------------------------------------------------------------

@@ -61,3 +61,15 @@ def cut_lineage(df):
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of its own under the shared folder, for a table written in passing."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df):
+    """``df`` as a table of the shared folder, read back.
+
+    For loops of joins: a checkpoint keeps the estimated size of its plan, and estimates
+    of joins are products, which grow without bound from round to round; a table has the
+    size of its files.
+    """
+    path = new_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,14 +2,13 @@
 
 import math
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from loomstat.functions import maths
 from loomstat.functions import text as tx
 from loomstat.functions.stemming import english_stem
-from loomstat.operators import cluster, encode, ensemble, linear, missing, sampling, stats, vectorize
+from loomstat.operators import encode, ensemble, linear, linkage, missing, sampling, stats, vectorize
 from loomstat.operators.columns import null_column
 from loomstat.sources import delimited, generators, tables, texttree
 
@@ -215,11 +214,14 @@ def test_rebalancing(spark):
     assert counts == {0: 450, 1: 450}
 
 
-def test_complete_linkage_on_a_line():
-    tree = cluster.complete_linkage(np.array([[0.0], [1.0], [5.0], [7.0], [20.0]]))
-    assert tree.children == [(0, 1), (2, 3), (5, 6), (4, 7)] or tree.children == [(0, 1), (2, 3), (5, 6), (7, 4)]
-    assert tree.distances == [1.0, 2.0, 7.0, 20.0]
-    assert tree.labels(2) == [0, 0, 0, 0, 1] and tree.labels(3) == [0, 0, 1, 1, 2]
+def test_complete_linkage_on_a_line(spark):
+    items = spark.createDataFrame([(10 * i, [x]) for i, x in enumerate([0.0, 1.0, 5.0, 7.0, 20.0])], "id bigint, vec array<double>")
+    tree = linkage.merge_tree(items, "id", "vec").orderBy("step").collect()
+    assert [(t.left, t.right, t.distance) for t in tree] == [(0, 1, 1.0), (2, 3, 2.0), (5, 6, 7.0), (7, 4, 20.0)]
+    merges = linkage.complete_linkage(linkage.pair_distances(items, "id", "vec"))
+    for k, want in ((2, [0, 0, 0, 0, 1]), (3, [0, 0, 1, 1, 2]), (5, [0, 1, 2, 3, 4]), (1, [0] * 5)):
+        assert [c.cluster for c in linkage.cut(merges, items, "id", k).orderBy("id").collect()] == want
+
 
 
 def test_blobs_have_their_spread(spark):

@@ -1,5 +1,7 @@
 """Properties that must hold whatever the data, the partitions and the block sizes."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -8,7 +10,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from loomstat.functions.hashing import uniform, uniform_below
-from loomstat.operators import classify, cluster, columns, decompose, encode, ensemble, joins, linear, metrics, neighbors, ordering, sampling, select, stats
+from loomstat.operators import classify, cluster, columns, decompose, encode, ensemble, joins, linear, linkage, metrics, neighbors, ordering, sampling, select, stats
 
 RNG = np.random.default_rng(5)
 N = 400
@@ -210,9 +212,45 @@ def test_kmeans_labels_and_inertia(df, frame):
 
 
 def test_agglomerate(df):
-    placed, tree = cluster.agglomerate(columns.to_features(df, ["a", "b"]), 3, micro=12)
+    placed, merges = cluster.agglomerate(columns.to_features(df, ["a", "b"]), 3, micro=12)
     assert placed.select("cluster").distinct().count() == 3 and placed.count() == N
-    assert len(tree.children) == 11 and all(a <= b + 1e-12 for a, b in zip(tree.distances, tree.distances[1:]))
+    assert merges.count() == 11
+
+
+def plain_linkage(x):
+    """Merges (smaller item, other group's smallest item, distance), one by one."""
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    out = []
+    for _ in range(len(x) - 1):
+        i, j = sorted(divmod(int(d.argmin()), len(x)))
+        out.append((i, j, d[i, j]))
+        d[i] = d[:, i] = np.maximum(d[i], d[j])
+        d[i, i] = np.inf
+        d[j] = d[:, j] = np.inf
+    return out
+
+
+@pytest.mark.parametrize("n,width,finish", [(500, 3, 40), (20, 1, 0), (1, 2, 64), (2, 2, 0)])
+def test_complete_linkage_equals_single_merges(spark, n, width, finish):
+    x = np.random.default_rng(n).normal(size=(n, width))
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(n + 5, None)], "id bigint, vec array<double>")
+    merges = linkage.complete_linkage(linkage.pair_distances(items, "id", "vec", block=200), finish)
+    got = sorted((m.a, m.b, round(m.distance, 9)) for m in merges.collect())
+    assert got == sorted((a, b, round(float(d), 9)) for a, b, d in plain_linkage(x))
+
+
+def test_complete_linkage_with_ties_and_copies(spark):
+    x = [[float(i // 3), float(i % 2)] for i in range(40)]
+    items = spark.createDataFrame(list(enumerate(x)), "id bigint, vec array<double>")
+    tree = linkage.merge_tree(items, "id", "vec").orderBy("step").collect()
+    assert len(tree) == 39 and all(a.distance <= b.distance for a, b in zip(tree, tree[1:]))
+    members = {i: [i] for i in range(40)}
+    for t in tree:  # each merge's distance is that of its farthest members
+        one, two = members.pop(t.left), members.pop(t.right)
+        members[40 + t.step] = one + two
+        assert t.distance == pytest.approx(max(math.dist(x[i], x[j]) for i in one for j in two))
+    assert linkage.complete_linkage(linkage.pair_distances(items.limit(0), "id", "vec")).collect() == []
 
 
 def test_components(df):
