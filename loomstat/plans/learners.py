@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loomstat.functions import text as tx
 from loomstat.functions.hashing import seeded_hash, uniform_below
-from loomstat.operators import classify, cluster, columns, decompose, encode, ensemble, estimators, linkage, metrics, neighbors, sampling, select, stats, vectorize
+from loomstat.operators import classify, cluster, columns, decompose, encode, ensemble, estimators, linkage, metrics, neighbors, sampling, select, stacked, stats, vectorize
 from loomstat.operators.batches import evened
 from loomstat.operators.ordering import ordered_rank
 from loomstat.plans.registry import SQL_LINES, big, lines, query, r, sql_hash, sql_round, sql_uniform
@@ -43,6 +43,12 @@ def split_rows(spark, d):
     return kept.where(~F.col("is_test")).drop("is_test"), kept.where("is_test").drop("is_test")
 
 
+def _plain_split(spark, d):
+    """Training and test rows as columns, stratified, written once."""
+    kept = cut_lineage(sampling.stratified_split(noisy_lines(spark, d).select("id", "label", *FEATURES), "id", "label", 0.3, seed=1))
+    return kept.where(~F.col("is_test")).drop("is_test"), kept.where("is_test").drop("is_test")
+
+
 def scaler(out: str = "scaled") -> StandardScaler:
     return StandardScaler(inputCol="features", outputCol=out, withMean=True, withStd=True)
 
@@ -150,12 +156,48 @@ def c6(spark, d):
     )
 
 
+PENALTIES = [10.0**k for k in range(-5, 6)]
+
+
 @query("c7_regularisation_path")
 def c7(spark, d):
-    """Weights for penalties 10^-5 .. 10^5 on standardised features."""
-    rows = encode.standardised(noisy_lines(spark, d).select("label", *FEATURES), FEATURES)
-    path = classify.regularisation_path(columns.to_features(rows, FEATURES).select("label", "features"), [10.0**k for k in range(-5, 6)], FEATURES)
-    return path.select("l2", "feature", r("weight", 4).alias("weight"))
+    """Weights for penalties 10^-5 .. 10^5 on standardised features, all in the same passes."""
+    rows = encode.standardised(noisy_lines(spark, d).select("id", "label", *FEATURES), FEATURES)
+    path = stacked.one_vs_rest_path(rows, "id", FEATURES, "label", [1.0], PENALTIES)
+    return path.where("feature <> 'bias'").select("l2", "feature", r("weight", 4).alias("weight"))
+
+
+def _flag_path(spark, d):
+    code = columns.recode(F.col("flag"), {f: F.lit(float(i)) for i, f in enumerate(_FLAGS)}, F.lit(None))
+    rows = cut_lineage(encode.standardised(lines(spark, d).withColumn("label", code).select("id", "label", *FEATURES), FEATURES))
+    members = [stacked.Member(positive=float(c), l2=p) for p in PENALTIES for c in range(len(_FLAGS))]
+    return rows, stacked.stacked_logistic(rows, "id", FEATURES, "label", members)
+
+
+@query("c7_path_of_members")
+def c7_members(spark, d):
+    """Weights of every one-vs-rest member along the penalties."""
+    _, fit = _flag_path(spark, d)
+    rows = [(m.l2, int(m.positive), f, float(w)) for m, ws in zip(fit.members, fit.weights) for f, w in zip(["bias", *FEATURES], ws)]
+    return spark.createDataFrame(rows, "l2 double, class bigint, feature string, weight double").withColumn("weight", r("weight", 4))
+
+
+_SCALED = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS {c}" for c in FEATURES)
+_SHARES = " UNION ALL ".join(
+    f"SELECT CAST({k} AS BIGINT) AS class, '{f}' AS feature, avg({'1' if f == 'bias' else f} * CAST(flag = '{flag}' AS INT)) AS balance FROM x" for k, flag in enumerate(_FLAGS) for f in ["bias", *FEATURES]
+)
+
+
+@query(
+    "c7_path_optimum",
+    f"""WITH x AS MATERIALIZED (SELECT flag, {_SCALED} FROM {SQL_LINES}), s AS ({_SHARES})
+    SELECT l2, class, feature, {sql_round('balance', 5)} AS balance FROM s, (SELECT unnest([{', '.join(f'CAST({p!r} AS DOUBLE)' for p in PENALTIES)}]) AS l2)""",
+)
+def c7_optimum(spark, d):
+    """Every member of the path is at its optimum: predictions and penalty balance what the labels give."""
+    rows, fit = _flag_path(spark, d)
+    found = stacked.balances(rows, FEATURES, fit)
+    return found.select("l2", big("class").alias("class"), "feature", r("balance", 5).alias("balance"))
 
 
 @query(
@@ -383,12 +425,11 @@ def c13(spark, d):
 
 @query("c13_bagged_logistic")
 def c13_any(spark, d):
-    """Bagging of any learner: one bootstrap weight column per member."""
-    train, test = split_rows(spark, d)
-    models = ensemble.bag(train, LogisticRegression(maxIter=20), "id", members=5, seed=1)
-    voted = ensemble.soft_vote([ensemble.class_probabilities(m, test, "id") for m in models], "id", 2)
-    both = voted.join(test.select("id", "label"), "id")
-    return both.agg(F.count(F.lit(1)).alias("n"), r(metrics.accuracy("label", "prediction")).alias("accuracy"))
+    """A thousand logistic regressions, each on its own bootstrap, fitted in the same passes."""
+    train, test = (encode.standardised(x, FEATURES) for x in _plain_split(spark, d))
+    fit = stacked.stacked_logistic(train, "id", FEATURES, "label", [stacked.Member(draw=i) for i in range(1000)], tol=1e-6)
+    voted = fit.probabilities(test.select("id", "label", *FEATURES), FEATURES).withColumn("prediction", (F.col("p") > 0.5).cast("double"))
+    return voted.agg(F.count(F.lit(1)).alias("n"), r(metrics.accuracy("label", "prediction")).alias("accuracy"))
 
 
 @query("c14_adaboost")
