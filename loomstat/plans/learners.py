@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loomstat.functions import text as tx
 from loomstat.functions.hashing import seeded_hash, uniform_below
-from loomstat.operators import classify, cluster, columns, decompose, encode, ensemble, estimators, linkage, metrics, neighbors, sampling, select, stacked, stats, vectorize
+from loomstat.operators import boosting, classify, cluster, columns, decompose, encode, ensemble, estimators, linkage, metrics, neighbors, sampling, select, stacked, stats, vectorize
 from loomstat.operators.batches import evened
 from loomstat.operators.ordering import ordered_rank
 from loomstat.plans.registry import SQL_LINES, big, lines, query, r, sql_hash, sql_round, sql_uniform
@@ -432,20 +432,59 @@ def c13_any(spark, d):
     return voted.agg(F.count(F.lit(1)).alias("n"), r(metrics.accuracy("label", "prediction")).alias("accuracy"))
 
 
+ROUNDS, RATE = 500, 0.1
+_EDGES = {"qty": [5.0 * k for k in range(1, 10)], "price": [5000.0 * k for k in range(1, 19)], "disc": [0.015 + 0.02 * k for k in range(5)], "tax": [0.015 + 0.02 * k for k in range(4)]}
+
+
+def _sql_round(source: str, weight: str) -> str:
+    """The split of lowest Gini index of a weighted table: rows are summed per bin, then both sides of every edge."""
+    bins = " UNION ALL ".join(
+        f"SELECT {i} AS f, {' + '.join(f'CAST({c} > {e} AS INT)' for e in edges)} AS bin, coalesce(sum({weight}) FILTER (label = 0), 0) AS a, coalesce(sum({weight}) FILTER (label = 1), 0) AS b FROM {source} GROUP BY 2"
+        for i, (c, edges) in enumerate(_EDGES.items())
+    )
+    cuts = ", ".join(f"({i}, '{c}', {k + 1}, CAST({e} AS DOUBLE))" for i, (c, edges) in enumerate(_EDGES.items()) for k, e in enumerate(edges))
+    return f"""(SELECT f, feature, edge, sum(least(a, b)) AS error, bool_or(low AND b > a) AS low_is_one, bool_or(NOT low AND b > a) AS high_is_one, sum(a + b - (a * a + b * b) / (a + b)) AS cost
+      FROM (SELECT c.f, feature, edge, bin < k AS low, sum(a) AS a, sum(b) AS b FROM (VALUES {cuts}) AS c(f, feature, k, edge) JOIN ({bins}) AS h ON c.f = h.f GROUP BY 1, 2, 3, 4)
+      GROUP BY 1, 2, 3 HAVING count(*) = 2 ORDER BY round(cost, 12), f, edge LIMIT 1)"""
+
+
+def _sql_stump(row: str) -> str:
+    cases = " ".join(f"WHEN '{c}' THEN t.{c} <= {row}.edge" for c in _EDGES)
+    return f"CASE WHEN CASE {row}.feature {cases} END THEN {row}.low_is_one ELSE {row}.high_is_one END"
+
+
 @query("c14_adaboost")
 def c14(spark, d):
-    """Weighted error and weight of each boosting round."""
-    train, _ = split_rows(spark, d)
-    model = ensemble.adaboost(train, ensemble.decision_tree(max_depth=2), n_estimators=10, learning_rate=0.5)
+    """Weighted error and weight of each of 500 boosting rounds at a rate of 0.1."""
+    train, _ = _plain_split(spark, d)
+    model = boosting.adaboost_binned(train, _EDGES, "label", ROUNDS, RATE)
     rows = [(i + 1, float(e), float(a)) for i, (e, a) in enumerate(zip(model.errors, model.alphas))]
     return spark.createDataFrame(rows, "round bigint, error double, alpha double")
 
 
+@query(
+    "c14_first_rounds",
+    f"""WITH t AS MATERIALIZED (SELECT *, 1.0::DOUBLE / count(*) OVER () AS w FROM {_SQL_NOISY}), one AS MATERIALIZED {_sql_round('t', 'w')},
+    a AS (SELECT *, {RATE} * 0.5 * ln((1 - error) / error) AS alpha FROM one),
+    u AS MATERIALIZED (SELECT t.qty, t.price, t.disc, t.tax, t.label, t.w * exp(CASE WHEN ({_sql_stump('a')}) <> (label = 1) THEN alpha ELSE -alpha END) AS raw FROM t, a),
+    v AS MATERIALIZED (SELECT *, raw / sum(raw) OVER () AS w2 FROM u), two AS {_sql_round('v', 'w2')}
+    SELECT CAST(round AS BIGINT) AS round, feature, {sql_round('error', 8)} AS error, {sql_round(f'{RATE} * 0.5 * ln((1 - error) / error)', 8)} AS alpha
+    FROM (SELECT 1 AS round, feature, error FROM one UNION ALL SELECT 2, feature, error FROM two)""",
+)
+def c14_first(spark, d):
+    """Split feature, error and weight of the first two rounds over all lines."""
+    model = boosting.adaboost_binned(noisy_lines(spark, d), _EDGES, "label", 2, RATE)
+    rows = [(i + 1, list(_EDGES)[t.feature], e, a) for i, (t, e, a) in enumerate(zip(model.trees, model.errors, model.alphas))]
+    found = spark.createDataFrame(rows, "round bigint, feature string, error double, alpha double")
+    return found.select("round", "feature", r("error", 8).alias("error"), r("alpha", 8).alias("alpha"))
+
+
 @query("c14_adaboost_scores")
 def c14_scores(spark, d):
-    train, test = split_rows(spark, d)
-    scored = estimators.AdaBoost(ensemble.decision_tree(max_depth=1), n_estimators=10).fit(train).transform(test)
-    auc = metrics.roc_auc(scored.withColumn("score", columns.class_probability(1)), "label", "score").scalar()
+    """Accuracy and ROC area on test rows after 500 rounds of trees of depth two."""
+    train, test = _plain_split(spark, d)
+    scored = boosting.adaboost_binned(train, _EDGES, "label", ROUNDS, RATE, max_depth=2).transform(test)
+    auc = metrics.roc_auc(scored, "label", "score").scalar()
     return scored.agg(F.count(F.lit(1)).alias("n"), r(metrics.accuracy("label", "prediction")).alias("accuracy"), r(auc).alias("auc"))
 
 
