@@ -21,10 +21,14 @@ def seeded_hash(seed: int, *keys: Column | str) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
+def hash52(seed: int, *keys: Column | str) -> Column:
+    """A whole number below 2**52 for each key."""
+    return F.conv(F.substring(seeded_hash(seed, *keys), 1, _HEX_DIGITS), 16, 10).cast("bigint")
+
+
 def uniform(seed: int, *keys: Column | str) -> Column:
     """A uniform double in [0, 1) for each key."""
-    digits = F.substring(seeded_hash(seed, *keys), 1, _HEX_DIGITS)
-    return F.conv(digits, 16, 10).cast("bigint") / F.lit(float(2 ** (4 * _HEX_DIGITS)))
+    return hash52(seed, *keys) / F.lit(float(2 ** (4 * _HEX_DIGITS)))
 
 
 def uniform_below(seed: int, share: float, *keys: Column | str) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomstat.functions.hashing import uniform, uniform_below
+from loomstat.functions.hashing import hash52, uniform
 from loomstat.functions.maths import linear_score
 from loomstat.operators.batches import matrix, summed
 
@@ -234,44 +234,97 @@ class RansacFit:
     best_trial: int
     inliers: int
     threshold: float
+    candidate: LinearFit
 
-    def inlier(self, x: str, y: str) -> Column:
-        return _within(F.col(x), F.col(y), F.lit(self._trial_b), F.lit(self._trial_w), self.threshold)
+    def inlier(self, xs: str | list[str], y: str) -> Column:
+        return _within(_names(xs), y, self.candidate, self.threshold)
 
-    _trial_b: float = 0.0
-    _trial_w: float = 0.0
 
+def _names(xs: str | list[str]) -> list[str]:
+    return [xs] if isinstance(xs, str) else list(xs)
 
-def _within(x, y, b, w, threshold) -> Column:
-    return F.abs(y - (b + w * x)) <= F.lit(float(threshold))
 
+def _within(xs: list[str], y: str, fit: LinearFit, threshold: float) -> Column:
+    return F.abs(F.col(y) - fit.score(xs)) <= F.lit(float(threshold))
 
-def ransac_trials(df: DataFrame, key: str, x: str, y: str, max_trials: int, min_samples: float, seed: int) -> DataFrame:
-    """(trial, b, w): a line through a random share of the rows, all trials in one pass.
 
-    Each row is spread over the trials and summed up before the shuffle, so only
-    one row per trial and task is moved.
+def trial_turns(trials: int) -> list[tuple[int, int]]:
+    """(factor, shift) of each trial: a row's 52-bit hash h becomes (h * factor + shift) mod 2**52, the trial's own draw."""
+    return [((0x5851F42D4C957F * (2 * t + 1)) % 2**52, (0x14057B7EF767814F * (t + 1)) % 2**52) for t in range(trials)]
+
+
+def _trial_rows(df: DataFrame, xs: list[str], y: str, *more: Column) -> DataFrame:
+    known = df.dropna(subset=[*xs, y])
+    return known.select(F.array(F.lit(1.0), *[F.col(c).cast("double") for c in [*xs, y]]).alias("v"), *more)
+
+
+def trial_fits(df: DataFrame, key: str, xs: str | list[str], y: str, max_trials: int, min_samples: float, seed: int) -> list[LinearFit | None]:
+    """Least squares on a random share of the rows for each trial, all in one pass; None where a share decides no line.
+
+    Each row is hashed once and its hash turned per trial.  A task adds up one small
+    matrix of products per trial, so one row per matrix entry and task is moved.
     """
-    spread = df.select(key, x, y, F.explode(F.sequence(F.lit(0), F.lit(max_trials - 1))).alias("trial"))
-    drawn = spread.where(uniform_below(seed, min_samples, "trial", key))
-    return drawn.groupBy("trial").agg(F.regr_intercept(y, x).alias("b"), F.regr_slope(y, x).alias("w"))
-
-
-def trial_inliers(df: DataFrame, x: str, y: str, models: list[tuple[int, float, float]], threshold: float) -> DataFrame:
-    """(trial, inliers): every row against every candidate line."""
-    candidates = F.array(*[F.struct(F.lit(t).alias("trial"), F.lit(b).alias("b"), F.lit(w).alias("w")) for t, b, w in models])
-    spread = df.select(x, y, F.inline(candidates))
-    return spread.groupBy("trial").agg(F.count_if(_within(F.col(x), F.col(y), F.col("b"), F.col("w"), threshold)).alias("inliers"))
-
-
-def ransac(df: DataFrame, key: str, x: str, y: str, max_trials: int, min_samples: float, threshold: float, seed: int) -> RansacFit:
-    """The trial line with most inliers (first trial on ties), fitted again on its inliers."""
-    models = [(r["trial"], r["b"], r["w"]) for r in ransac_trials(df, key, x, y, max_trials, min_samples, seed).collect() if r["w"] is not None]
-    counts = trial_inliers(df, x, y, models, threshold).orderBy(F.desc("inliers"), "trial").first()
-    _, b, w = next(m for m in models if m[0] == counts["trial"])
-    inside = df.where(_within(F.col(x), F.col(y), F.lit(b), F.lit(w), threshold))
-    final = inside.agg(F.regr_intercept(y, x).alias("b"), F.regr_slope(y, x).alias("w")).first()
-    return RansacFit(LinearFit(final["b"], np.array([final["w"]])), counts["trial"], counts["inliers"], threshold, b, w)
+    xs = _names(xs)
+    turns = np.array(trial_turns(max_trials), np.uint64)
+    bound, mask, width = np.uint64(min(max(round(min_samples * 2**52), 0), 2**52)), np.uint64(2**52 - 1), len(xs) + 2
+    up, low = np.triu_indices(width)
+    rows = _trial_rows(df, xs, y, hash52(seed, key).alias("h"))
+
+    def sums(batches):
+        out = np.zeros((max_trials, len(up)))
+        for batch in batches:
+            v_all, h_all = matrix(batch.column(0)), batch.column(1).to_numpy().astype(np.uint64)
+            for s in range(0, len(v_all), 8192):
+                v, h = v_all[s : s + 8192], h_all[s : s + 8192]
+                drawn = ((h[:, None] * turns[:, 0] + turns[:, 1]) & mask) < bound
+                out += drawn.astype(np.float64).T @ (v[:, up] * v[:, low])
+        return out.ravel()
+
+    fits = []
+    for cells in summed(rows, sums, max_trials * len(up)).reshape(max_trials, -1):
+        g = np.zeros((width, width))
+        g[up, low] = g[low, up] = cells
+        n = max(g[0, 0], 1.0)
+        centred = g[1:, 1:] - np.outer(g[0, 1:], g[0, 1:]) / n  # sums of products about the means
+        if np.linalg.matrix_rank(centred[:-1, :-1], hermitian=True) < len(xs):
+            fits.append(None)
+            continue
+        w = np.linalg.solve(centred[:-1, :-1], centred[:-1, -1])
+        fits.append(LinearFit(float((g[0, -1] - w @ g[0, 1:-1]) / n), w))
+    return fits
+
+
+def inlier_counts(df: DataFrame, xs: str | list[str], y: str, fits: list[LinearFit | None], threshold: float) -> list[int]:
+    """How many rows lie within ``threshold`` of each fit, all in one pass."""
+    some = [f for f in fits if f is not None]
+    if not some:
+        return [0] * len(fits)
+    w = np.array([[f.b, *f.w] for f in some])
+
+    def counts(batches):
+        out = np.zeros(len(w))
+        for batch in batches:
+            v_all = matrix(batch.column(0))
+            for s in range(0, len(v_all), 8192):
+                v = v_all[s : s + 8192]
+                out += (np.abs(v[:, -1:] - v[:, :-1] @ w.T) <= threshold).sum(axis=0)
+        return out
+
+    found = iter(summed(_trial_rows(df, _names(xs), y), counts, len(w)))
+    return [0 if f is None else int(next(found)) for f in fits]
+
+
+def ransac(df: DataFrame, key: str, xs: str | list[str], y: str, max_trials: int, min_samples: float, threshold: float, seed: int) -> RansacFit:
+    """The trial fit with most inliers (first trial on ties), fitted again on its inliers."""
+    xs = _names(xs)
+    fits = trial_fits(df, key, xs, y, max_trials, min_samples, seed)
+    counts = inlier_counts(df, xs, y, fits, threshold)
+    usable = [t for t, f in enumerate(fits) if f is not None]
+    if not usable:
+        raise ValueError("no trial decides a fit: too few rows or no spread")
+    best = max(usable, key=lambda t: (counts[t], -t))
+    final = gram(df.where(_within(xs, y, fits[best], threshold)), xs, y).least_squares()
+    return RansacFit(final, best, counts[best], threshold, fits[best])
 
 
 def logistic_descent(df: DataFrame, xs: list[str], y: str, eta: float, num_iter: int) -> LinearFit:

@@ -147,8 +147,10 @@ def r6(spark, d):
 
 
 _TRIALS = 100
-_RANSAC = f"""(WITH l AS {SQL_LINES}, t AS (SELECT unnest(range({_TRIALS})) AS trial),
- f AS (SELECT trial, regr_intercept(price, qty) AS b, regr_slope(price, qty) AS w FROM l, t WHERE {sql_uniform(123, "trial||':'||id")} < 0.95 GROUP BY 1),
+_TURNS = ", ".join(f"(CAST({t} AS BIGINT), CAST({a} AS HUGEINT), CAST({c} AS HUGEINT))" for t, (a, c) in enumerate(linear.trial_turns(_TRIALS)))
+_RANSAC = f"""(WITH l AS {SQL_LINES}, h AS MATERIALIZED (SELECT price, qty, CAST('0x' || substr(md5('123:' || id), 1, 13) AS HUGEINT) AS h FROM l),
+ t AS (SELECT * FROM (VALUES {_TURNS}) AS t(trial, factor, shift)),
+ f AS (SELECT trial, regr_intercept(price, qty) AS b, regr_slope(price, qty) AS w FROM h, t WHERE (h * factor + shift) % 4503599627370496 < {round(0.95 * 2**52)} GROUP BY 1),
  i AS (SELECT trial, count_if(abs(price - (b + w * qty)) <= 25000) AS inliers, any_value(b) AS b, any_value(w) AS w FROM l, f GROUP BY 1)
  SELECT * FROM i)"""
 
@@ -171,8 +173,9 @@ def r3(spark, d):
 def j7(spark, d):
     """Every row against every candidate line."""
     rows = lines(spark, d)
-    models = [(m["trial"], m["b"], m["w"]) for m in linear.ransac_trials(rows, "id", "qty", "price", _TRIALS, 0.95, seed=123).collect()]
-    return linear.trial_inliers(rows, "qty", "price", models, 25000).select(big("trial").alias("trial"), "inliers")
+    fits = linear.trial_fits(rows, "id", "qty", "price", _TRIALS, 0.95, seed=123)
+    counts = linear.inlier_counts(rows, "qty", "price", fits, 25000)
+    return spark.createDataFrame(list(enumerate(counts)), "trial bigint, inliers bigint")
 
 
 def _sql_polynomial(degree: int) -> str:

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from loomstat.functions.hashing import uniform, uniform_below
+from loomstat.functions.hashing import hash52, uniform, uniform_below
 from loomstat.operators import classify, cluster, columns, decompose, encode, ensemble, joins, linear, linkage, metrics, neighbors, ordering, sampling, select, stats
 
 RNG = np.random.default_rng(5)
@@ -137,6 +137,28 @@ def test_ransac_ignores_outliers(spark):
     assert found.fit.w[0] == pytest.approx(3.0) and found.inliers == 450
 
 
+def test_trials_are_fits_of_their_draws(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 2)) + [100.0, 0.0]
+    y = x @ [2.0, -3.0] + 5 + rng.normal(size=400)
+    df = spark.createDataFrame([(i, float(a), float(b), float(c)) for i, ((a, b), c) in enumerate(zip(x, y))], "id bigint, a double, b double, y double").cache()
+    fits = linear.trial_fits(df.unionByName(df.limit(5).withColumn("b", F.lit(None).cast("double"))), "id", ["a", "b"], "y", 12, 0.4, seed=9)
+    h = np.array([r.h for r in df.select("id", hash52(9, "id").alias("h")).orderBy("id").collect()], object)
+    shares = []
+    for (factor, shift), fit in zip(linear.trial_turns(12), fits):
+        mine = np.array([(v * factor + shift) % 2**52 < 0.4 * 2**52 for v in h])
+        shares.append(mine)
+        want = np.linalg.lstsq(np.column_stack([np.ones(mine.sum()), x[mine]]), y[mine], rcond=None)[0]
+        assert [fit.b, *fit.w] == pytest.approx(want.tolist(), rel=1e-6)
+    assert all(0.3 < s.mean() < 0.5 for s in shares) and all(0.35 < (a != b).mean() < 0.6 for a, b in zip(shares, shares[1:]))
+    counts = linear.inlier_counts(df, ["a", "b"], "y", [*fits, None], 1.5)
+    assert counts[-1] == 0 and counts[0] == int((np.abs(y - fits[0].b - x @ fits[0].w) <= 1.5).sum())
+    found = linear.ransac(df, "id", ["a", "b"], "y", 12, 0.4, 1.5, seed=9)
+    assert found.inliers == max(counts) and df.where(found.inlier(["a", "b"], "y")).count() == found.inliers
+    flat = spark.createDataFrame([(1, 2.0, 3.0), (2, 2.0, 4.0)], "id bigint, x double, y double")
+    assert linear.trial_fits(flat, "id", "x", "y", 3, 1.0, seed=1) == [None] * 3
+
+
 def test_perceptron_separates(spark):
     rows = [(i, float(x), float(y), int(x + y > 0)) for i, (x, y) in enumerate(RNG.normal(size=(600, 2)) * 3) if abs(x + y) > 0.5]
     df = spark.createDataFrame(rows, "id bigint, x double, y double, label int")
