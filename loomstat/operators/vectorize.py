@@ -8,7 +8,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
@@ -35,13 +38,26 @@ def term_counts(df: DataFrame, key: str, tokens: Column) -> DataFrame:
 def term_totals(df: DataFrame, tokens: Column) -> DataFrame:
     """(term, df, cf): documents that hold a term, and how often it stands in all of them.
 
-    Tokens are counted where their text is read, and again after one shuffle of
-    (term, counts); the texts do not move.
+    Tokens are counted where their text is read, a batch of documents at a time, and
+    again after one shuffle of (term, counts); the texts do not move and no token
+    becomes a row.
     """
-    each = F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(0).alias("d")))
-    once = F.transform(F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d")))
-    marked = df.select(F.inline(F.concat(each, once)))
-    return marked.groupBy("term").agg(F.count_if(F.col("d") == 1).alias("df"), F.count_if(F.col("d") == 0).alias("cf"))
+
+    def count(batches):
+        for batch in batches:
+            lists = batch.column(0)
+            flat = lists.flatten().dictionary_encode()
+            n = len(flat.dictionary)
+            if not n:
+                continue
+            doc = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            known = flat.indices.is_valid().to_numpy(zero_copy_only=False)
+            code = pc.fill_null(flat.indices, 0).to_numpy(zero_copy_only=False).astype(np.int64)[known]
+            within = np.bincount(np.unique(doc[known] * n + code) % n, minlength=n)
+            yield pa.RecordBatch.from_arrays([flat.dictionary.cast(pa.string()), pa.array(within), pa.array(np.bincount(code, minlength=n))], ["term", "df", "cf"])
+
+    counted = df.select(tokens.alias("_tokens")).mapInArrow(count, "term string, df long, cf long")
+    return counted.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
 
 
 def vocabulary(totals: DataFrame) -> DataFrame:
@@ -85,13 +101,13 @@ class TfidfFit:
         return l2_normalised(weighted, key, "weight")
 
 
-def fit_tfidf(docs: DataFrame, tokens: Column) -> TfidfFit:
-    """Vocabulary and smoothed inverse document frequencies of a corpus.
+def fit_tfidf(docs: DataFrame, tokens: Column | None = None, counts: DataFrame | None = None) -> TfidfFit:
+    """Vocabulary and smoothed inverse document frequencies of a corpus, from its tokens or from its ``term_counts``.
 
     The table is written once and serves every later transform.
     """
     documents = docs.agg(F.count(F.lit(1))).scalar()
-    terms = term_totals(docs, tokens).select("term", "df")
+    terms = term_totals(docs, tokens).select("term", "df") if counts is None else counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return TfidfFit(cut_lineage(terms.withColumn("idf", smooth_idf(documents, F.col("df")))))
 
 

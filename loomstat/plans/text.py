@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from loomstat.functions import text as tx
 from loomstat.operators import sampling, vectorize
+from loomstat.operators.batches import evened
 from loomstat.operators.ordering import ordered_rank
 from loomstat.plans.registry import big, query, r, sql_hash, sql_round
+from loomstat.session import cut_lineage
 from loomstat.sources.tables import table
 
 _PLAIN = rf"regexp_replace(text, '{tx.MARKUP}', '', 'g')"
@@ -163,7 +165,7 @@ def t13(spark, d):
 
 
 def pruned(spark, d, max_features: int = 5000):
-    docs = documents(spark, d)
+    docs = evened(documents(spark, d))
     totals = vectorize.term_totals(docs, tx.without_stop_words(tx.word_tokens(F.col("text"))))
     return vectorize.pruned_vocabulary(totals, docs.agg(F.count(F.lit(1))).scalar(), max_df=0.1, max_features=max_features)
 
@@ -197,8 +199,8 @@ def t16(spark, d):
     """TF-IDF of all documents, stop words left out."""
     docs = documents(spark, d)
     words = tx.without_stop_words(tx.word_tokens(F.col("text")))
-    counts = vectorize.term_counts(docs, "doc_id", words)
-    return vectorize.fit_tfidf(docs, words).transform(counts, "doc_id").select("doc_id", "term", r("weight", 9).alias("weight"))
+    counts = cut_lineage(vectorize.term_counts(docs, "doc_id", words))  # totals and weights from one look at the texts
+    return vectorize.fit_tfidf(docs, counts=counts).transform(counts, "doc_id").select("doc_id", "term", r("weight", 9).alias("weight"))
 
 
 _SPLIT_DOCS = f"(SELECT doc_id, text, row_number() OVER (ORDER BY {sql_hash(3, 'doc_id')}) <= floor(0.2 * count(*) OVER ()) AS is_test FROM documents)"
@@ -211,7 +213,7 @@ def _sql_side(is_test: str) -> str:
 @query("t17_tfidf_unseen", _sql_tfidf(_sql_side("is_test"), _sql_side("NOT is_test"), f"(SELECT count(*) FROM {_SPLIT_DOCS} WHERE NOT is_test)"))
 def t17(spark, d):
     """Weights of held-out documents under the vocabulary of the others."""
-    docs = sampling.random_split(documents(spark, d), "doc_id", 0.2, seed=3)
+    docs = sampling.random_split(evened(documents(spark, d)), "doc_id", 0.2, seed=3)
     train, test = docs.where(~F.col("is_test")), docs.where("is_test")
     words = tx.word_tokens(F.col("text"))
     fit = vectorize.fit_tfidf(train, words)
