@@ -7,6 +7,7 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomstat.functions import text as tx
@@ -14,7 +15,7 @@ from loomstat.operators import classify, cluster, columns, encode, ensemble, vec
 from loomstat.operators.ordering import ordered_rank
 from loomstat.plans.learners import _TREE_ROWS, _topic_model, _sql_tree, _tree_rows, noisy_lines, _SQL_NOISY
 from loomstat.plans.regression import _TWO_SUMS, two_features
-from loomstat.plans.registry import big, query, r, sql_round
+from loomstat.plans.registry import ORACLES, big, query, r, sql_round
 from loomstat.plans.text import _WORD_TOKENS, _KEPT_TOKENS, documents
 from loomstat.sources.tables import table
 
@@ -220,13 +221,13 @@ def d6_sums(spark, d):
     return model.transform(counted).select("doc_id", r(total("topicDistribution"), 5).alias("share"), big(total("features")).alias("tokens"))
 
 
-@query("d7_word_ranks", "SELECT CAST(t AS BIGINT) AS topic, CAST(5 AS BIGINT) AS known, true AS falling FROM range(10) x(t)")
+@query("d7_word_ranks", f"SELECT term, CAST(10 AS BIGINT) AS topics, df AS documents FROM ({ORACLES['t13_pruned_vocabulary']})")
 def d7_ranks(spark, d):
-    """Five words of the vocabulary per topic, the heaviest first."""
+    """Each topic ranks every word of the vocabulary once, the heaviest first; with the documents that hold the word."""
     from loomstat.operators import decompose
 
     model, _, vocab = _topic_model(spark, d)
-    words = decompose.top_words(model, vocab, 5)
-    in_order = F.transform(F.array_sort(F.collect_list(F.struct("rank", "weight"))), lambda x: x["weight"])
-    lists = words.groupBy("topic").agg(F.count("term").alias("known"), in_order.alias("w"))
-    return lists.select("topic", "known", (F.col("w") == F.sort_array("w", asc=False)).alias("falling"))
+    words = decompose.top_words(model, vocab, 5000)
+    before = F.lag("weight").over(Window.partitionBy("topic").orderBy("rank"))
+    in_order = words.withColumn("falling", F.coalesce(before >= F.col("weight"), F.lit(True))).where("falling")
+    return in_order.groupBy("term").agg(F.count_distinct("topic").alias("topics")).join(vocab.select("term", F.col("df").alias("documents")), "term")
