@@ -707,7 +707,7 @@ def _nation_items(spark, d):
     return per_supplier.join(suppliers, "l_suppkey").groupBy(big("s_nationkey").alias("nation")).agg(mean.alias("vec"))
 
 
-_SQL_MERGES = f"""WITH RECURSIVE n AS MATERIALIZED (SELECT row_number() OVER (ORDER BY k) - 1 AS k, a, b, c FROM {_NATIONS}),
+_SQL_MERGES = f"""WITH RECURSIVE n AS MATERIALIZED (SELECT row_number() OVER (ORDER BY k) - 1 AS k, CAST(k AS BIGINT) AS nation, a, b, c FROM {_NATIONS}),
     p AS (SELECT 0 AS step, x.k AS a, y.k AS b, sqrt(pow(x.a - y.a, 2) + pow(x.b - y.b, 2) + pow(x.c - y.c, 2)) AS d FROM n x JOIN n y ON x.k < y.k
       UNION ALL SELECT step + 1, least(x, y), greatest(x, y), max(d) FROM (
         SELECT step, d, CASE WHEN p.a = m.b THEN m.a ELSE p.a END AS x, CASE WHEN p.b = m.b THEN m.a ELSE p.b END AS y
@@ -740,7 +740,7 @@ def k7_first(spark, d):
     "k7_merge_labels",
     f"""{_SQL_MERGES}, k AS (SELECT a, b FROM m WHERE step < (SELECT count(*) FROM n) - 5),
     w AS (SELECT k AS item, k AS place FROM n UNION ALL SELECT w.item, k.a FROM w JOIN k ON k.b = w.place),
-    g AS (SELECT item, min(place) AS root FROM w GROUP BY 1) SELECT item AS nation, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM g""",
+    g AS (SELECT item, min(place) AS root FROM w GROUP BY 1) SELECT n.nation, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM g JOIN n ON n.k = g.item""",
 )
 def k7_labels(spark, d):
     """The nations in five clusters of the tree."""
