@@ -9,7 +9,7 @@ from loomstat.operators import sampling, vectorize
 from loomstat.operators.batches import evened
 from loomstat.operators.ordering import ordered_rank
 from loomstat.plans.registry import big, query, r, sql_hash, sql_round
-from loomstat.session import cut_lineage
+from loomstat.session import written
 from loomstat.sources.tables import table
 
 _PLAIN = rf"regexp_replace(text, '{tx.MARKUP}', '', 'g')"
@@ -199,7 +199,7 @@ def t16(spark, d):
     """TF-IDF of all documents, stop words left out."""
     docs = documents(spark, d)
     words = tx.without_stop_words(tx.word_tokens(F.col("text")))
-    counts = cut_lineage(vectorize.term_counts(docs, "doc_id", words))  # totals and weights from one look at the texts
+    counts = written(vectorize.term_counts(docs, "doc_id", words))  # totals and weights from one look at the texts
     return vectorize.fit_tfidf(docs, counts=counts).transform(counts, "doc_id").select("doc_id", "term", r("weight", 9).alias("weight"))
 
 
