@@ -44,31 +44,52 @@ class PerceptronFit:
 def perceptron(df: DataFrame, key: str, features: list[str], label: str, classes: int = 2, eta: float = 0.1, num_iter: int = 10, seed: int = 1, shards: int = 16, batch: int = 32) -> PerceptronFit:
     """Perceptron by parameter mixing: every shard learns for an epoch, weights are averaged.
 
-    Rows are shuffled into ``shards`` shards by a seeded hash and written once; the
-    number is a parameter, so the answer is the same on any cluster.  Inside a shard
-    small batches update the weights in turn; one row per shard returns.
+    A seeded hash of the key deals the rows to ``shards`` shards and orders them; they are
+    written once.  Inside a shard ``batch`` rows at a time update the weights; what a shard
+    learns depends on its rows alone, not on tasks or on the batches they arrive in.
     """
     vec = F.array(F.lit(1.0), *[F.col(c).cast("double") for c in features])
     rows = df.select(F.col(label).cast("int").alias("y"), vec.alias("x"), seeded_hash(seed, key).alias("_h"))
-    rows = cut_lineage(rows.repartition(shards, "_h").sortWithinPartitions("_h").select("y", "x"))
+    rows = rows.withColumn("shard", F.conv(F.substring("_h", -4, 4), 16, 10).cast("int") % shards)
+    rows = cut_lineage(rows.repartition(shards, "shard").sortWithinPartitions("shard", "_h", "y", "x").select("shard", "y", "x"))
     fit = PerceptronFit(np.zeros((classes, len(features) + 1)))
     for _ in range(num_iter):
         start = fit.weights
 
         def epoch(batches, start=start):
             """Weights times rows seen, the rows, the errors: what the mean needs."""
-            w, seen, errors = start.copy(), 0, 0
+            total = np.zeros(start.size + 2)
+            w, shard = start.copy(), None
+            wait_x, wait_y = np.empty((0, start.shape[1])), np.empty(0, dtype=int)
+
+            def learn(x, y):
+                guess = (x @ w.T).argmax(axis=1)
+                wrong = guess != y
+                np.add.at(w, y[wrong], eta * x[wrong])
+                np.add.at(w, guess[wrong], -eta * x[wrong])
+                total[-2:] += len(y), wrong.sum()
+                return len(y)
+
+            seen = 0
             for part in batches:
-                x_all, y_all = matrix(part.column(1)), part.column(0).to_numpy()
-                for at in range(0, len(y_all), batch):
-                    x, y = x_all[at : at + batch], y_all[at : at + batch]
-                    guess = (x @ w.T).argmax(axis=1)
-                    wrong = guess != y
-                    errors += int(wrong.sum())
-                    np.add.at(w, y[wrong], eta * x[wrong])
-                    np.add.at(w, guess[wrong], -eta * x[wrong])
-                seen += len(y_all)
-            return np.concatenate([w.ravel() * seen, [seen, errors]])
+                shards_of, y_all, x_all = part.column(0).to_numpy(), part.column(1).to_numpy(), matrix(part.column(2))
+                edges = [0, *(np.flatnonzero(np.diff(shards_of)) + 1), len(y_all)]
+                for lo, hi in zip(edges, edges[1:]):
+                    if shards_of[lo] != shard:
+                        if len(wait_y):
+                            seen += learn(wait_x, wait_y)
+                        total[:-2] += w.ravel() * seen
+                        w[:], seen, shard = start, 0, shards_of[lo]
+                        wait_x, wait_y = wait_x[:0], wait_y[:0]
+                    x, y = np.concatenate([wait_x, x_all[lo:hi]]), np.concatenate([wait_y, y_all[lo:hi]])
+                    whole = len(y) - len(y) % batch
+                    for at in range(0, whole, batch):
+                        seen += learn(x[at : at + batch], y[at : at + batch])
+                    wait_x, wait_y = x[whole:], y[whole:]
+            if len(wait_y):
+                seen += learn(wait_x, wait_y)
+            total[:-2] += w.ravel() * seen
+            return total
 
         total = summed(rows, epoch, start.size + 2)
         fit.weights = (total[:-2] / max(total[-2], 1)).reshape(start.shape)

@@ -63,20 +63,61 @@ def test_scores(model, test):
 # ---- linear classifiers ----------------------------------------------------------------
 
 
-@query("c1_perceptron")
+def _sql_perceptron(source: str, classes: int, epochs: int, result: str, shards: int = 16, batch: int = 32) -> str:
+    """Epochs of a sharded perceptron over ``source`` (id, label, FEATURES): ``a<k>`` holds weights and errors of epoch k, ``line`` the rows."""
+    xs = ["1.0", *FEATURES]
+    cells = [(k, j) for k in range(classes) for j in range(len(xs))]
+    score = [" + ".join(f"w{k}_{j} * {x}" for j, x in enumerate(xs)) for k in range(classes)]
+    guess = "CASE " + " ".join(f"WHEN {' AND '.join(f's{k} >= s{o}' for o in range(classes) if o != k)} THEN {k}" for k in range(classes)) + " END"
+    scaled = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS {c}" for c in FEATURES)
+    names = ", ".join(f"w{k}_{j}" for k, j in cells)
+    parts = [
+        f"line AS MATERIALIZED (SELECT id, CAST(label AS INT) AS y, {sql_hash(1, 'id')} AS h, {scaled} FROM {source})",
+        f"deal AS (SELECT *, CAST('0x' || right(h, 4) AS INT) % {shards} AS shard FROM line)",
+        f"dealt AS MATERIALIZED (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY h) - 1) // {batch} AS b FROM deal)",
+        f"a0 AS MATERIALIZED (SELECT {', '.join(f'CAST(0 AS DOUBLE) AS w{k}_{j}' for k, j in cells)})",
+    ]
+    for e in range(1, epochs + 1):
+        moved = ", ".join(f"any_value(w{k}_{j}) + 0.1 * coalesce(sum({xs[j]} * (CAST(y = {k} AS INT) - CAST(g = {k} AS INT))) FILTER (y <> g), 0)" for k, j in cells)
+        scores = ", ".join(f"{x} AS s{k}" for k, x in enumerate(score))
+        parts += [
+            f"""s{e} AS (SELECT shard, CAST(0 AS BIGINT) AS b, CAST(0 AS HUGEINT) AS n, CAST(0 AS HUGEINT) AS wrong, {names} FROM (SELECT DISTINCT shard FROM dealt), a{e - 1}
+            UNION ALL SELECT shard, b + 1, any_value(n) + count(*), any_value(wrong) + count(*) FILTER (y <> g), {moved}
+            FROM (SELECT *, {guess} AS g FROM (SELECT s.*, y, {', '.join(FEATURES)}, {scores} FROM s{e} s JOIN dealt d ON d.shard = s.shard AND d.b = s.b)) GROUP BY shard, b)""",
+            f"l{e} AS (SELECT * FROM s{e} QUALIFY row_number() OVER (PARTITION BY shard ORDER BY b DESC) = 1)",
+            f"a{e} AS MATERIALIZED (SELECT {', '.join(f'sum(w{k}_{j} * n) / sum(n) AS w{k}_{j}' for k, j in cells)}, CAST(sum(wrong) AS BIGINT) AS errors FROM l{e})",
+        ]
+    last = f"guessed AS (SELECT y, {guess} AS g FROM (SELECT y, {', '.join(f'{x} AS s{k}' for k, x in enumerate(score))} FROM line, a{epochs}))"
+    return f"WITH RECURSIVE {', '.join([*parts, last])} {result}"
+
+
+_EPOCHS = 10
+_ERRORS = " UNION ALL ".join(f"SELECT CAST({e} AS BIGINT) AS epoch, errors FROM a{e}" for e in range(1, _EPOCHS + 1))
+
+
+@query("c1_perceptron", _sql_perceptron(_SQL_NOISY, 2, _EPOCHS, _ERRORS))
 def c1(spark, d):
     """Errors per epoch of a perceptron learnt in shards."""
     rows = encode.standardised(noisy_lines(spark, d).select("id", "label", *FEATURES), FEATURES)
-    fit = classify.perceptron(rows, "id", FEATURES, "label", classes=2, eta=0.1, num_iter=10, seed=1)
+    fit = classify.perceptron(rows, "id", FEATURES, "label", classes=2, eta=0.1, num_iter=_EPOCHS, seed=1)
     return spark.createDataFrame([(i + 1, int(e)) for i, e in enumerate(fit.losses)], "epoch bigint, errors bigint")
 
 
-@query("c4_multiclass_perceptron")
+_CONFUSION = """SELECT CAST(l.c AS BIGINT) AS label, CAST(p.c AS BIGINT) AS prediction, count(g) AS n
+ FROM (SELECT y AS c FROM guessed UNION SELECT g FROM guessed) l CROSS JOIN (SELECT y AS c FROM guessed UNION SELECT g FROM guessed) p
+ LEFT JOIN guessed ON y = l.c AND g = p.c GROUP BY 1, 2"""
+_SQL_BANDS = f"(SELECT *, CASE WHEN price < 30000 THEN 0 WHEN price < 60000 THEN 1 ELSE 2 END AS label FROM {SQL_LINES})"
+
+
+@query(
+    "c4_multiclass_perceptron",
+    _sql_perceptron(_SQL_BANDS, 3, _EPOCHS, _CONFUSION),
+)
 def c4(spark, d):
     """Three price bands by a perceptron with one weight row per class."""
     band = F.when(F.col("price") < 30000, 0).when(F.col("price") < 60000, 1).otherwise(2)
     rows = encode.standardised(lines(spark, d).withColumn("label", band).select("id", "label", *FEATURES), FEATURES)
-    fit = classify.perceptron(rows, "id", FEATURES, "label", classes=3, eta=0.1, num_iter=10, seed=1)
+    fit = classify.perceptron(rows, "id", FEATURES, "label", classes=3, eta=0.1, num_iter=_EPOCHS, seed=1)
     guessed = rows.withColumn("prediction", fit.predict(F.array(*FEATURES)))
     return metrics.confusion_counts(guessed.withColumn("label", big("label")), "label", "prediction")
 
@@ -913,11 +954,11 @@ def _auc(scored) -> float:
     return BinaryClassificationEvaluator(numBins=0).evaluate(scored)
 
 
-def folded_parts(spark, d, k):
-    """All parts with a noisy label on their size, dealt to folds."""
+def folded_parts(spark, d, k, names=("x0", "x1")):
+    """All parts with a noisy label on their size, dealt to folds; ``names`` of size (x0) and price (x1) are the features."""
     label = ((F.col("p_size") > 20) != uniform_below(9, 0.1, "p_partkey")).cast("double")
     parts = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").cast("double").alias("x0"), F.col("p_retailprice").alias("x1"), label.alias("label"))
-    return columns.to_features(sampling.stratified_folds(parts, "id", "label", k, seed=2), ["x0", "x1"]).select("id", "label", "features", "fold")
+    return columns.to_features(sampling.stratified_folds(parts, "id", "label", k, seed=2), list(names)).select("id", "label", "features", "fold")
 
 
 def vote_members() -> dict:

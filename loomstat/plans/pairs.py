@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomstat.functions import text as tx
-from loomstat.operators import classify, cluster, columns, encode, ensemble, vectorize
+from loomstat.operators import classify, cluster, columns, encode, ensemble, sampling, select, vectorize
 from loomstat.operators.ordering import ordered_rank
-from loomstat.plans.learners import _TREE_ROWS, _topic_model, _sql_tree, _tree_rows, noisy_lines, _SQL_NOISY
+from loomstat.plans.learners import _TREE_ROWS, _auc, _topic_model, _sql_tree, _tree_rows, folded_parts, noisy_lines, _SQL_NOISY
 from loomstat.plans.regression import _TWO_SUMS, two_features
-from loomstat.plans.registry import ORACLES, big, query, r, sql_round
+from loomstat.plans.registry import ORACLES, big, query, r, sql_round, sql_uniform
 from loomstat.plans.text import _WORD_TOKENS, _KEPT_TOKENS, documents
+from loomstat.session import cut_lineage
 from loomstat.sources.tables import table
 
 # ---- one tree of depth one ----------------------------------------------------------
@@ -231,3 +234,79 @@ def d7_ranks(spark, d):
     before = F.lag("weight").over(Window.partitionBy("topic").orderBy("rank"))
     in_order = words.withColumn("falling", F.coalesce(before >= F.col("weight"), F.lit(True))).where("falling")
     return in_order.groupBy("term").agg(F.count_distinct("topic").alias("topics")).join(vocab.select("term", F.col("df").alias("documents")), "term")
+
+
+# ---- folds and searches -----------------------------------------------------------------------
+
+_FOLDED = f"""(SELECT *, (row_number() OVER (PARTITION BY y ORDER BY md5('2:'||p_partkey)) - 1) % 10 AS fold
+ FROM (SELECT *, CAST((p_size > 20) <> ({sql_uniform(9, 'p_partkey')} < 0.1) AS DOUBLE) AS y FROM part))"""
+
+
+@query(
+    "w4_stump_folds",
+    f"""WITH t AS {_FOLDED}, g AS (SELECT fold, p_size, count(*) AS n, sum(y) AS s FROM t GROUP BY 1, 2),
+    k AS (SELECT DISTINCT fold AS k FROM g),
+    i AS (SELECT k, p_size, sum(n) AS n, sum(s) AS s FROM k JOIN g ON fold <> k GROUP BY 1, 2),
+    c AS (SELECT k, p_size, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(n) OVER (PARTITION BY k) AS n, sum(s) OVER (PARTITION BY k) AS s FROM i WINDOW w AS (PARTITION BY k ORDER BY p_size)),
+    b AS (SELECT * FROM c WHERE ln < n QUALIFY row_number() OVER (PARTITION BY k ORDER BY ls - ls * ls / ln + (s - ls) - (s - ls) * (s - ls) / (n - ln), p_size) = 1),
+    v AS (SELECT k, any_value(b.ls > b.s - b.ls) AS turned, sum(g.s) FILTER (g.p_size > b.p_size) AS p1, sum(g.s) AS p, sum(g.n - g.s) FILTER (g.p_size > b.p_size) AS n1, sum(g.n - g.s) AS n
+      FROM b JOIN g ON fold = k GROUP BY k),
+    a AS (SELECT k, turned, (p1 * (n - n1) + 0.5 * (p1 * n1 + (p - p1) * (n - n1))) / (p * n) AS auc FROM v)
+    SELECT 'tree' AS setting, CAST(k AS BIGINT) AS fold, {sql_round('CASE WHEN turned THEN 1 - auc ELSE auc END')} AS auc FROM a""",
+)
+def w4_stumps(spark, d):
+    """ROC area in ten folds of a tree of depth one."""
+    rows = cut_lineage(folded_parts(spark, d, 10, ["x0"]))
+    scores = select.fold_scores(rows, {"tree": ensemble.decision_tree(max_depth=1, maxBins=64)}, "fold", 10, _auc, train_score=False)
+    return scores.select("setting", "fold", r("valid").alias("auc"))
+
+
+def _sql_ridge_search(l2s: list[float], draws: str) -> str:
+    """Five-fold errors of one-column ridge fits, (params, mean, std, best, refitted).
+
+    Spark's solver works on a label scaled to unit deviation, so a penalty acts as ``l2 / sd(y)`` on the plain one.
+    """
+    values = ", ".join(f"({i}, {v!r})" for i, v in enumerate(l2s))
+    slope = "(xy / n - x / n * y / n) / (xx / n - x / n * x / n + l2 / sqrt(yy / n - y / n * y / n))"
+    error = "({0}yy - 2 * w * {0}xy + w * w * {0}xx) / {0}n + c * c - 2 * c * {0}y / {0}n + 2 * c * w * {0}x / {0}n"
+    sums = "CAST(count(*) AS DOUBLE) AS n, sum(x) AS x, sum(y) AS y, sum(x * x) AS xx, sum(x * y) AS xy, sum(y * y) AS yy"
+    names = ("n", "x", "y", "xx", "xy", "yy")
+    return f"""WITH t AS (SELECT CAST(p_size AS DOUBLE) AS x, abs(p_size - 17) + p_retailprice / 100 AS y,
+      (row_number() OVER (PARTITION BY p_size > 20 ORDER BY md5('3:'||p_partkey)) - 1) % 5 AS fold FROM part),
+    l AS (SELECT i, CAST(l2 AS DOUBLE) AS l2 FROM (VALUES {values}) v(i, l2) {draws}),
+    f AS (SELECT fold, {sums} FROM t GROUP BY 1), a AS (SELECT {sums} FROM t),
+    j AS (SELECT l2, {', '.join(f'a.{c} - f.{c} AS {c}, f.{c} AS v{c}' for c in names)} FROM l, a, f
+      UNION ALL SELECT l2, {', '.join(f'a.{c}, CAST(NULL AS DOUBLE)' for c in names)} FROM l, a),
+    w AS (SELECT *, {slope} AS w, y / n - x / n * {slope} AS c FROM j),
+    e AS (SELECT l2, avg({error.format('v')}) AS mean, stddev_pop({error.format('v')}) AS std, max({error.format('')}) FILTER (vn IS NULL) AS refitted FROM w GROUP BY 1)
+    SELECT 'regParam=' || l2 AS params, {sql_round('mean', 4)} AS mean, {sql_round('std', 4)} AS std,
+      mean = min(mean) OVER () AS best, CASE WHEN mean = min(mean) OVER () THEN {sql_round('refitted', 4)} END AS refitted FROM e"""
+
+
+def _ridge_search(spark, d, search, cuts, **kw):
+    """A search over penalties; the best setting is marked and its refitted model scored on all rows."""
+    label = F.abs(F.col("p_size") - 17) + F.col("p_retailprice") / 100
+    parts = table(spark, d, "part").select("p_partkey", F.col("p_size").cast("double").alias("x"), (F.col("p_size") > 20).alias("large"), label.alias("label"))
+    rows = cut_lineage(columns.to_features(sampling.stratified_folds(parts, "p_partkey", "large", 5, seed=3), ["x"]).select("features", "label", "fold"))
+    line = LinearRegression(solver="normal", standardization=False)
+    grids = [ParamGridBuilder().addGrid(line.regParam, list(cut)).build() for cut in cuts]
+    mse = RegressionEvaluator(metricName="mse")
+    found = search(rows, line, grids, mse, "fold", 5, **kw)
+    best = F.col("params") == f"regParam={found.best_params['regParam']}"
+    refitted = F.when(best, F.lit(float(mse.evaluate(found.best_model.transform(rows)))))
+    return found.table.select("params", r("mean", 4).alias("mean"), r("std", 4).alias("std"), best.alias("best"), r(refitted, 4).alias("refitted"))
+
+
+_PENALTIES = [0.5 * k for k in range(20)]
+
+
+@query("w7_ridge_grid", _sql_ridge_search([0.0, 1.0, 10.0, 0.5, 100.0], ""))
+def w7_ridge(spark, d):
+    """A union of two grids in five folds."""
+    return _ridge_search(spark, d, select.grid_search, [(0.0, 1.0, 10.0), (0.5, 100.0)])
+
+
+@query("w8_ridge_draws", _sql_ridge_search(_PENALTIES, "ORDER BY md5('1:'||i) LIMIT 10"))
+def w8_ridge(spark, d):
+    """Ten of twenty settings in five folds."""
+    return _ridge_search(spark, d, select.random_search, [_PENALTIES], n_iter=10, seed=1)
