@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
@@ -58,6 +58,44 @@ def test_order_over_many_ranges(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_totals_of_any_kind_over_small_batches(spark):
+    """NULL and NaN groups, NULL values, decimals, vectors beside them, batches smaller than groups, falling order."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(names[0], "7")
+    spark.conf.set(names[1], "false")
+    try:
+        rows = spark.range(300).selectExpr(
+            "id",
+            "CASE WHEN id % 10 < 6 THEN 'hot' WHEN id % 10 < 9 THEN concat('g', id % 40) END AS g",
+            "CASE WHEN id % 4 > 0 THEN id / 3 END AS v",
+            "CAST(id % 7 AS decimal(5, 2)) AS d",
+            "CASE WHEN id % 3 = 0 THEN double('NaN') WHEN id % 3 = 1 THEN 1.0D END AS h",
+        ).withColumn("vec", array_to_vector(F.array(F.col("id").cast("double"))))
+        totals = {"s": F.col("v"), "t": F.col("d"), "n": F.lit(1).cast("bigint")}
+        out = ordering.running_totals(rows, [F.desc("id")], totals, by=["g"], with_total=True)
+        assert out.schema["t"].dataType.simpleString() == "decimal(15,2)"
+        got = sorted((row.asDict() for row in out.collect()), key=lambda row: -row["id"])
+        seen = {}
+        for row in got:
+            before = seen.setdefault(row["g"], [])
+            before.append(row)
+            known = [x["v"] for x in before if x["v"] is not None]
+            assert row["s"] == (pytest.approx(sum(known)) if known else None)
+            assert row["n"] == len(before) and row["t"] == sum(x["d"] for x in before)
+        assert len(got) == 300 and all(row["n_total"] == len(seen[row["g"]]) for row in got)
+        prev = ordering.previous_values(rows, ["id"], ["id", "vec"], by=["h"])
+        assert prev.where("prev_id = id - 3").count() == 297 and prev.where("prev_vec IS NULL").count() == 3
+        assert ordering.ordered_rank(rows.limit(0), ["id"], with_total=True).count() == 0
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
+def test_ranked_rows_are_not_exchanged_again(spark):
+    plan = ordering.ordered_rank(spark.range(100).selectExpr("id", "id % 3 AS wide"), ["id"], by=["wide"])._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_null_groups_are_kept(spark):
     rows = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(20)], "id int, g string")
     ranked = ordering.ordered_rank(rows, ["id"], "rn", by=["g"]).orderBy("id").toPandas()
