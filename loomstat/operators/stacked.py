@@ -13,7 +13,8 @@ for up to some hundred features.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions.hashing import poisson_thresholds
-from loomstat.operators.batches import matrix, summed
+from loomstat.operators.batches import evened, matrix, summed
 from loomstat.session import cut_lineage
 
-ROWS, MEMBERS = 4096, 64  # what a task works on at a time
+ROWS, MEMBERS = 1024, 64  # what a task works on at a time
+_CELL_BITS = 12
 
 
 @dataclass(frozen=True)
@@ -54,11 +56,11 @@ class StackedFit:
 
         def run(batches):
             for batch in batches:
-                x = matrix(batch.column(batch.num_columns - 1))
+                x = _biased(matrix(batch.column(batch.num_columns - 1)))
                 p = np.zeros(len(x))
                 for at in range(0, len(x), ROWS):
                     for k in range(0, len(w), MEMBERS):
-                        p[at : at + ROWS] += _sigmoid(_biased(x[at : at + ROWS]) @ w[k : k + MEMBERS].T).sum(axis=1)
+                        p[at : at + ROWS] += _sigmoid(x[at : at + ROWS] @ w[k : k + MEMBERS].T).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p / len(w))], [*batch.schema.names[:-1], "p"])
 
         schema = df.schema.add("p", "double")
@@ -83,8 +85,20 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 def draws(h: np.ndarray, numbers: np.ndarray, mean: float) -> np.ndarray:
     """How often each bootstrap (column) draws each row: Poisson counts from the row's hash, turned per bootstrap."""
     salt = _mixed((numbers.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    u = (_mixed(h[:, None] ^ salt[None, :]) >> np.uint64(11)).astype(np.float64) / 2.0**53
-    return np.searchsorted(np.array(poisson_thresholds(mean)), u, side="right").astype(np.float64)
+    word = _mixed(h[:, None] ^ salt[None, :])
+    out = _likely_counts(mean)[(word >> np.uint64(64 - _CELL_BITS)).view(np.int64)]
+    unsure = out < 0
+    out[unsure] = np.searchsorted(np.array(poisson_thresholds(mean)), (word[unsure] >> np.uint64(11)).astype(np.float64) / 2.0**53, side="right")
+    return out
+
+
+@cache
+def _likely_counts(mean: float) -> np.ndarray:
+    """The count by the first bits of a word, -1 where a threshold lies between words of these bits."""
+    low = np.arange(2**_CELL_BITS) / 2.0**_CELL_BITS
+    bounds = np.array(poisson_thresholds(mean))
+    first, last = (np.searchsorted(bounds, v, side="right") for v in (low, low + 2.0**-_CELL_BITS - 2.0**-53))
+    return np.where(first == last, first, -1).astype(np.float64)
 
 
 def stacked_logistic(
@@ -93,14 +107,31 @@ def stacked_logistic(
     """Fit all ``members``; a member is settled when no entry of its slope exceeds ``tol`` times the features' scale.
 
     Bootstraps draw rows by ``key`` and ``seed``, ``max_samples`` times the rows on average.
+    Their steps start where the fit on every row once has settled, which is near where they end.
     """
-    d, m = len(features) + 1, len(members)
+    d = len(features) + 1
     vec = F.array(*[F.col(c).cast("double") for c in features])
     fold_of = F.col(fold).cast("int") if fold else F.lit(0)
     rows = df.select(vec.alias("x"), F.col(label).cast("double").alias("y"), fold_of.alias("fold"), F.xxhash64(F.lit(seed), key).alias("h"))
-    rows = cut_lineage(rows.where(F.col("y").isNotNull() & F.col("fold").isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v))))
+    rows = cut_lineage(evened(rows.where(F.col("y").isNotNull() & F.col("fold").isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))))
     scale = np.array(rows.agg(F.array(*[F.coalesce(F.sqrt(F.avg(F.col("x")[j] * F.col("x")[j])), F.lit(1.0)) for j in range(d - 1)])).first()[0])
     scale = np.append(1.0, np.where(scale > 0, scale, 1.0))  # solve for features of size one, for the sake of the numbers
+    start = np.zeros((len(members), d))
+    plain = list(dict.fromkeys(replace(b, draw=None) for b in members if b.draw is not None))
+    if 0 < len(plain) < len(members):
+        near = _newton(rows, scale, plain, np.zeros((len(plain), d)), max_iter, tol, max_samples)
+        known = {b: w for b, w, settled in zip(plain, near.weights, near.settled) if settled}
+        for i, b in enumerate(members):
+            if b.draw is not None:
+                start[i] = known.get(replace(b, draw=None), start[i])
+    fit = _newton(rows, scale, members, start, max_iter, tol, max_samples)
+    fit.weights = fit.weights / scale
+    return fit
+
+
+def _newton(rows: DataFrame, scale: np.ndarray, members: list[Member], start: np.ndarray, max_iter: int, tol: float, max_samples: float) -> StackedFit:
+    """Newton's steps of all ``members`` from ``start``, on (x, y, fold, h); weights are for features divided by ``scale``."""
+    m, d = start.shape
     cells = [(i, j) for i in range(d) for j in range(i, d)]
     up, low = np.array([c[0] for c in cells]), np.array([c[1] for c in cells])
     positive = np.array([b.positive for b in members], np.float64)
@@ -111,6 +142,8 @@ def stacked_logistic(
 
     def totals(at: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Per member of ``at``: weight of its rows, loss, slope and curvature at its weights."""
+        chunks = [slice(k, k + MEMBERS) for k in range(0, len(at), MEMBERS)]
+        alike = [len(np.unique(np.column_stack([w[c], positive[at[c]]]), axis=0)) == 1 for c in chunks]  # rows are worth the same to all
 
         def run(batches):
             out = np.zeros((len(at), width))
@@ -121,25 +154,29 @@ def stacked_logistic(
                 for s in range(0, len(x_all), ROWS):
                     x, y, folds, h = (v[s : s + ROWS] for v in (x_all, y_all, fold_all, h_all))
                     products = x[:, up] * x[:, low]
-                    for k in range(0, len(at), MEMBERS):
-                        some = at[k : k + MEMBERS]
-                        z = x @ w[k : k + MEMBERS].T
-                        t = (y[:, None] == positive[some]).astype(np.float64)
+                    for c, same in zip(chunks, alike):
+                        some = at[c]
                         weight = (folds[:, None] != left_out[some]).astype(np.float64)
                         drawn = np.flatnonzero(draw[some] >= 0)
                         if len(drawn):
                             weight[:, drawn] *= draws(h, draw[some][drawn], max_samples)
-                        p = _sigmoid(z)
-                        part = out[k : k + MEMBERS]
+                        one = slice(0, 1) if same else slice(None)
+                        z = x @ w[c][one].T
+                        t = (y[:, None] == positive[some][one]).astype(np.float64)
+                        loss, p, curve = _terms(z, t)
+                        part = out[c]
                         part[:, 0] += weight.sum(axis=0)
-                        part[:, 1] += (weight * (np.logaddexp(0.0, z) - t * z)).sum(axis=0)
-                        part[:, 2 : 2 + d] += (weight * (p - t)).T @ x
-                        part[:, 2 + d :] += (weight * p * (1 - p)).T @ products
+                        if same:
+                            part[:, 1:] += weight.T @ np.concatenate([loss, (p - t) * x, curve * products], axis=1)
+                        else:
+                            part[:, 1] += (weight * loss).sum(axis=0)
+                            part[:, 2 : 2 + d] += (weight * (p - t)).T @ x
+                            part[:, 2 + d :] += (weight * curve).T @ products
             return out.ravel()
 
         return summed(rows, run, len(at) * width).reshape(-1, width)
 
-    best, loss = np.zeros((m, d)), np.full(m, np.inf)
+    best, loss = start.copy(), np.full(m, np.inf)
     trial, slope, step = best.copy(), np.zeros((m, d)), np.zeros((m, d))
     open_, fit = np.arange(m), StackedFit(members, best, loss, np.zeros(m, bool))
     for _ in range(max_iter):
@@ -163,10 +200,17 @@ def stacked_logistic(
         fit.slopes.append(float(np.abs(slope[open_]).max()))
         open_ = open_[~done]
         trial[open_] = best[open_] - step[open_]
-    fit.weights = best / scale
     return fit
 
 
+def _terms(z: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Loss, chance and its slope at scores ``z`` against labels ``t``, from one exponential that cannot overflow."""
+    e = np.exp(-np.abs(z))
+    less = 1.0 / (1.0 + e)
+    p = np.where(z >= 0, less, e * less)
+    return np.maximum(z, 0.0) - t * z + np.log1p(e), p, e * less * less
+
+
 def one_vs_rest_path(df: DataFrame, key: str, features: list[str], label: str, classes: list[float], l2s: list[float], **options) -> DataFrame:
     """(l2, class, feature, weight) of every one-vs-rest member along a path of penalties; the bias is the feature ``bias``."""
     members = [Member(positive=c, l2=p) for p in l2s for c in classes]

@@ -75,3 +75,25 @@ def test_odd_rows(spark, rows):
     assert stacked.stacked_logistic(rows.limit(0), "id", XS, "label", members).weights.tolist() == [[0.0, 0.0, 0.0]]
     flat = stacked.stacked_logistic(rows.withColumn("a", F.lit(0.0)), "id", XS, "label", members)
     assert flat.settled.all() and flat.weights[0][1] == 0.0
+
+
+def test_bootstraps_start_near_their_end(spark, rows):
+    """Bags start at the settled plain fit, so few passes weigh rows member by member; rows lie on all cores."""
+    from loomstat.operators.batches import evened
+
+    members = [stacked.Member(draw=k) for k in range(70)] + [stacked.Member(positive=2.0, l2=0.1, fold=1, draw=3), stacked.Member(positive=2.0, l2=0.1, fold=1)]
+    fit = stacked.stacked_logistic(rows, "id", XS, "label", members, "fold", tol=1e-6)
+    assert fit.settled.all() and fit.passes <= 5
+    alone = stacked.stacked_logistic(rows, "id", XS, "label", members[-2:-1], "fold", tol=1e-9)
+    assert fit.weights[-2] == pytest.approx(alone.weights[0], rel=1e-4, abs=1e-5)
+    assert evened(rows).rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_draws_equal_the_distribution_function():
+    from loomstat.functions.hashing import poisson_thresholds
+
+    h, numbers = np.random.default_rng(3).integers(0, 2**63, 3000).astype(np.uint64), np.arange(5)
+    for mean in (0.3, 1.0, 4.0):
+        salt = stacked._mixed((numbers.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+        u = (stacked._mixed(h[:, None] ^ salt[None, :]) >> np.uint64(11)).astype(np.float64) / 2.0**53
+        assert (stacked.draws(h, numbers, mean) == np.searchsorted(np.array(poisson_thresholds(mean)), u, side="right")).all()
