@@ -121,9 +121,7 @@ def stacked_logistic(
     if 0 < len(plain) < len(members):
         near = _newton(rows, scale, plain, np.zeros((len(plain), d)), max_iter, tol, max_samples)
         known = {b: w for b, w, settled in zip(plain, near.weights, near.settled) if settled}
-        for i, b in enumerate(members):
-            if b.draw is not None:
-                start[i] = known.get(replace(b, draw=None), start[i])
+        start = np.array([known.get(replace(b, draw=None), w) for b, w in zip(members, start)])
     fit = _newton(rows, scale, members, start, max_iter, tol, max_samples)
     fit.weights = fit.weights / scale
     return fit

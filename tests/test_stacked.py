@@ -81,9 +81,11 @@ def test_bootstraps_start_near_their_end(spark, rows):
     """Bags start at the settled plain fit, so few passes weigh rows member by member; rows lie on all cores."""
     from loomstat.operators.batches import evened
 
+    rows = rows.crossJoin(spark.range(40).withColumnRenamed("id", "copy")).withColumn("id", F.col("id") * 40 + F.col("copy")).drop("copy")
     members = [stacked.Member(draw=k) for k in range(70)] + [stacked.Member(positive=2.0, l2=0.1, fold=1, draw=3), stacked.Member(positive=2.0, l2=0.1, fold=1)]
     fit = stacked.stacked_logistic(rows, "id", XS, "label", members, "fold", tol=1e-6)
-    assert fit.settled.all() and fit.passes <= 5
+    assert fit.settled.all()
+    assert fit.passes <= 4
     alone = stacked.stacked_logistic(rows, "id", XS, "label", members[-2:-1], "fold", tol=1e-9)
     assert fit.weights[-2] == pytest.approx(alone.weights[0], rel=1e-4, abs=1e-5)
     assert evened(rows).rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
