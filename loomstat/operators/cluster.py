@@ -17,6 +17,9 @@ from loomstat.operators.batches import matrix, summed
 from loomstat.operators.neighbors import distance_sums
 
 
+_PACK, _CELL = 1 << 16, 32  # points of a pack and of a cell
+
+
 @dataclass
 class ClusterFit:
     centres: np.ndarray
@@ -34,8 +37,18 @@ def _draws(base: np.ndarray, seed: int, turn: int, fit: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype("float64") / 2**53 + 2**-54
 
 
-def _drawn(rows: DataFrame, chosen: list[list[np.ndarray]], spread_out: list[bool], seed: int, turn: int) -> list[np.ndarray | None]:
-    """One more centre for each fit, out of all rows in one pass.
+def _squares(columns: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Squared distances of points, given column by column, to a centre."""
+    out = np.zeros(columns.shape[1])
+    for x, c in zip(columns, centre):
+        gap = x - c
+        gap *= gap
+        out += gap
+    return out
+
+
+def _drawn(rows: DataFrame, chosen: list[list[np.ndarray]], spread_out: list[bool], full: list[bool], seed: int, turn: int) -> list[np.ndarray | None]:
+    """One more centre for each fit that is not ``full``, out of all rows in one pass.
 
     A row's odds are even, or its squared distance to the fit's nearest centre: the
     smallest of ``-log(u) / odds`` is such a draw, and minima combine task by task.
@@ -46,10 +59,13 @@ def _drawn(rows: DataFrame, chosen: list[list[np.ndarray]], spread_out: list[boo
         best = [(np.inf, None)] * len(chosen)
         for batch in batches:
             x, base = matrix(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            columns = np.ascontiguousarray(x.T)
             for i, centres in enumerate(chosen):
+                if full[i]:
+                    continue
                 odds = np.ones(len(x))
                 if centres:
-                    d2 = np.min([((x - c) ** 2).sum(axis=1) for c in centres], axis=0)
+                    d2 = reduce(np.minimum, (_squares(columns, c) for c in centres))
                     odds = d2 if spread_out[i] else (d2 > 0).astype("float64")
                 with np.errstate(divide="ignore"):
                     score = np.where(odds > 0, -np.log(_draws(base, seed, turn, i)) / odds, np.inf)
@@ -58,8 +74,8 @@ def _drawn(rows: DataFrame, chosen: list[list[np.ndarray]], spread_out: list[boo
                     best[i] = (float(score[at]), x[at].tolist())
         kept = [(i, s, v) for i, (s, v) in enumerate(best) if v is not None]
         if kept:
-            columns = list(zip(*kept))
-            arrays = [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.float64()), pa.array(columns[2], pa.list_(pa.float64()))]
+            fits, scores, points = zip(*kept)
+            arrays = [pa.array(fits, pa.int32()), pa.array(scores, pa.float64()), pa.array(points, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(arrays, ["fit", "score", "v"])
 
     found = rows.mapInArrow(task, "fit int, score double, v array<double>").groupBy("fit").agg(F.min_by("v", "score").alias("v")).collect()
@@ -73,7 +89,8 @@ def starting_points(rows: DataFrame, settings: list[tuple[int, str]], seed: int)
     """Start centres for each (k, init), drawn from all ``rows`` (vec, hash): one pass per centre, for all fits."""
     chosen: list[list[np.ndarray]] = [[] for _ in settings]
     for turn in range(max(k for k, _ in settings)):
-        more = _drawn(rows, chosen, [init == "k-means++" for _, init in settings], seed, turn)
+        full = [len(held) >= k for (k, _), held in zip(settings, chosen)]
+        more = _drawn(rows, chosen, [init == "k-means++" for _, init in settings], full, seed, turn)
         for (k, _), held, v in zip(settings, chosen, more):
             if len(held) < k and v is not None:
                 held.append(v)
@@ -85,12 +102,13 @@ def stacked_lloyd(df: DataFrame, vec: str, starts: list[np.ndarray], max_iter: i
     """Lloyd's rounds for many starts at once: one pass over the rows moves them all.
 
     A task returns one row of sums for all starts and clusters.  A start is done
-    when its centres move by less than ``settle`` (sum of squares) in a round.
+    when its centres move by less than ``settle`` (sum of squares) in a round.  Rows are
+    packed into cells of near ones first, see ``_packed``.
     """
     width = starts[0].shape[1]
     fits = [ClusterFit(np.array(s, dtype="float64"), np.zeros(len(s)), float("inf"), 0) for s in starts]
     active = list(range(len(fits)))
-    rows = df.select(vec).persist()
+    rows = _packed(df.select(vec).coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)).persist()
     try:
         while active:
             parts = _one_pass(rows, [fits[i].centres for i in active], width)
@@ -108,6 +126,84 @@ def stacked_lloyd(df: DataFrame, vec: str, starts: list[np.ndarray], max_iter: i
     return fits
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """(points, sizes): some ``_PACK`` points each, one after another by cells of near points; column by column.
+
+    A cell comes from halving the points along their widest column.  Most cells lie wholly
+    nearest to one centre, whatever the centres are; such a cell counts by its mean.
+    """
+
+    def task(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append(matrix(batch.column(0)))
+            n += len(held[-1])
+            if n >= _PACK:
+                yield _pack(np.concatenate(held))
+                held, n = [], 0
+        if n:
+            yield _pack(np.concatenate(held))
+
+    return rows.mapInArrow(task, "points array<double>, sizes array<int>")
+
+
+def _pack(x: np.ndarray) -> pa.RecordBatch:
+    cells, sizes = [np.arange(len(x))], []
+    out = []
+    while cells:
+        at = cells.pop()
+        points = x[at]
+        spread = points.max(axis=0) - points.min(axis=0)
+        if len(at) <= _CELL or not spread.max() > 0:
+            out.append(at)
+            sizes.append(len(at))
+            continue
+        order = np.argpartition(points[:, int(spread.argmax())], len(at) // 2)
+        cells += [at[order[: len(at) // 2]], at[order[len(at) // 2 :]]]
+    points = np.ascontiguousarray(x[np.concatenate(out)].T).ravel()
+    return pa.RecordBatch.from_arrays([pa.array([points], pa.list_(pa.float64())), pa.array([sizes], pa.list_(pa.int32()))], ["points", "sizes"])
+
+
+class _Cells:
+    """The points of a pack, and mean, spread and box of each of its cells."""
+
+    def __init__(self, columns: np.ndarray, sizes: np.ndarray):
+        self.columns, self.sizes = columns, sizes
+        self.first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        self.means = np.add.reduceat(columns, self.first, axis=1) / sizes
+        self.low, self.high = np.minimum.reduceat(columns, self.first, axis=1), np.maximum.reduceat(columns, self.first, axis=1)
+        self.spread = np.add.reduceat(((columns - np.repeat(self.means, sizes, axis=1)) ** 2).sum(axis=0), self.first)
+
+    def add(self, centres: np.ndarray, part: np.ndarray) -> None:
+        """Add (n, cost, sums...) of the points nearest to each centre; the first on ties."""
+        k, each = len(centres), np.arange(len(self.sizes))
+        d2 = np.stack([_squares(self.means, c) for c in centres])
+        near = d2.argmin(axis=0)
+        own = centres[near].T
+        # the corner of the box that favours another centre most decides whether any point can be nearer to it
+        whole = np.ones(len(near), bool)
+        for j, c in enumerate(centres):
+            lead = np.zeros(len(near))
+            for i in range(len(c)):
+                corner = np.where(c[i] > own[i], self.high[i], self.low[i])
+                lead += (corner - c[i]) ** 2 - (corner - own[i]) ** 2
+            whole &= (lead > 1e-9 * (d2[j] + d2[near, each])) | (near == j)
+        n = np.where(whole, self.sizes, 0)
+        part[:, 0] += np.bincount(near, weights=n, minlength=k)
+        part[:, 1] += np.bincount(near, weights=np.where(whole, self.spread + n * d2[near, each], 0.0), minlength=k)
+        for i, mean in enumerate(self.means):
+            part[:, 2 + i] += np.bincount(near, weights=n * mean, minlength=k)
+        if whole.all():
+            return
+        x = self.columns[:, np.repeat(~whole, self.sizes)]
+        d2 = np.stack([_squares(x, c) for c in centres])
+        near, low = d2.argmin(axis=0), d2.min(axis=0)
+        part[:, 0] += np.bincount(near, minlength=k)
+        part[:, 1] += np.bincount(near, weights=low, minlength=k)
+        for i, v in enumerate(x):
+            part[:, 2 + i] += np.bincount(near, weights=v, minlength=k)
+
+
 def _one_pass(rows: DataFrame, centres: list[np.ndarray], width: int) -> list[np.ndarray]:
     """Per start a matrix with one row (n, cost, sums...) per cluster."""
     cuts = np.cumsum([0, *(len(c) * (width + 2) for c in centres)])
@@ -115,15 +211,11 @@ def _one_pass(rows: DataFrame, centres: list[np.ndarray], width: int) -> list[np
     def sums(batches):
         acc = np.zeros(cuts[-1])
         for batch in batches:
-            x = matrix(batch.column(0))
-            for start, stop, c in zip(cuts[:-1], cuts[1:], centres):
-                d2 = np.stack([((x - m) ** 2).sum(axis=1) for m in c], axis=1)
-                near = d2.argmin(axis=1)
-                part = acc[start:stop].reshape(len(c), width + 2)
-                part[:, 0] += np.bincount(near, minlength=len(c))
-                part[:, 1] += np.bincount(near, weights=d2[np.arange(len(x)), near], minlength=len(c))
-                for j in range(width):
-                    part[:, 2 + j] += np.bincount(near, weights=x[:, j], minlength=len(c))
+            for points, sizes in zip(batch.column(0), batch.column(1)):
+                x = points.values.to_numpy(zero_copy_only=False).reshape(width, -1)
+                cell = _Cells(x, sizes.values.to_numpy(zero_copy_only=False))
+                for start, stop, c in zip(cuts[:-1], cuts[1:], centres):
+                    cell.add(c, acc[start:stop].reshape(len(c), width + 2))
         return acc
 
     total = summed(rows, sums, int(cuts[-1]))

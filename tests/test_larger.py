@@ -1,22 +1,36 @@
 """Work that grew too fast: the same results in bounded space."""
 
-import math
-
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
-
-from loomstat.operators import linkage
+from loomstat.operators import cluster, linkage
 
 
 def test_merge_tree_without_a_table_of_all_pairs(spark, monkeypatch):
     x = np.random.default_rng(5).integers(0, 9, (120, 2)).astype(float)  # many ties and copies
     items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(500, None)], "id bigint, vec array<double>")
-    want = sorted(map(tuple, linkage.numbered(linkage.complete_linkage(linkage.pair_distances(items, "id", "vec"))).collect()))
+    want = sorted((m.a, m.b, m.distance) for m in linkage.complete_linkage(linkage.pair_distances(items, "id", "vec")).collect())
     for few, block in ((30, 50), (500, 8192)):
         monkeypatch.setattr(linkage, "_BLOCK", block)
-        got = linkage.numbered(linkage.point_linkage(items, "id", "vec", few=few)).collect()
-        assert sorted(map(tuple, got)) == want
+        assert sorted((m.a, m.b, m.distance) for m in linkage.point_linkage(items, "id", "vec", few=few).collect()) == want
     monkeypatch.setattr(linkage, "pair_distances", lambda *_, **__: pytest.fail("a table of all pairs"))
     assert linkage.merge_tree(items, "id", "vec").count() == 119
     assert linkage.point_linkage(items.limit(0), "id", "vec").count() == 0
+
+
+def test_cells_add_up_as_single_points_do(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    for width, k, n in ((2, 7, 5000), (1, 3, 400), (6, 4, 900)):
+        x = np.concatenate([rng.normal(size=(n, width)), np.repeat(rng.normal(size=(3, width)), 60, axis=0)]).round(2)
+        batch, centres = cluster._pack(x), x[rng.integers(0, n, k)] + 0.001
+        cells = cluster._Cells(batch.column(0)[0].values.to_numpy().reshape(width, -1), batch.column(1)[0].values.to_numpy())
+        got = np.zeros((k, width + 2))
+        cells.add(centres, got)
+        d2 = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+        near = d2.argmin(axis=1)
+        for c in range(k):
+            own = x[near == c]
+            assert got[c] == pytest.approx([len(own), d2[near == c, c].sum(), *own.sum(axis=0)], abs=1e-7)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 2)))], "id long, vec array<double>")
+    monkeypatch.setattr(cluster, "_PACK", 64)
+    packs = cluster._packed(rows.select("vec")).collect()
+    assert sum(sum(p.sizes) for p in packs) == 300 and max(len(p.points) for p in packs) < 600
