@@ -291,7 +291,7 @@ def _from_means(sums: DataFrame, key: str, cluster: str) -> DataFrame:
     return ab.select(key, cluster, value.alias("silhouette"))
 
 
-def silhouette(rows: DataFrame, key: str, vec: str, cluster: str, block: int = 4096) -> DataFrame:
+def silhouette(rows: DataFrame, key: str, vec: str, cluster: str, block: int = 16384) -> DataFrame:
     """(key, cluster, silhouette) with Euclidean distances: exact, and quadratic in the rows."""
     sums = distance_sums(rows, key, vec, cluster, block)
     return _from_means(sums.join(rows.select(key, cluster), key), key, cluster)

@@ -11,12 +11,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomstat.functions.hashing import seeded_hash
 
 _CELLS_AT_ONCE = 4_000_000  # numbers held while one block of distances is worked out
+_PRODUCTS_AT_ONCE = 1 << 19  # distances held at once where they come from matrix products
+_CLOSE = 1e-5  # squares below this share of both lengths are not taken from products
 
 
 def as_array(df: DataFrame, cols: list[str], out: str = "vec") -> DataFrame:
@@ -128,59 +131,123 @@ def neighbour_shares(neighbours: DataFrame, classes: list) -> DataFrame:
     return shares.withColumn("prediction", F.element_at(F.array(*[F.lit(c) for c in classes]), at))
 
 
+def _block_count(rows: DataFrame, block: int) -> int:
+    """Blocks of at most ``block`` rows on average, and some pairs of blocks for every core."""
+    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    return max(1, math.ceil(n / block), min(math.ceil(math.sqrt(3 * cores)), math.ceil(n / 128)))
+
+
+def _paired(rows: DataFrame, key: str, block: int):
+    blocks = F.lit(_block_count(rows, block))
+    left = _slices(rows, key, blocks, blocks, "b1", "b2")
+    right = _slices(rows, key, blocks, blocks, "b2", "b1")
+    return left.groupBy("b1", "b2").cogroup(right.groupBy("b1", "b2"))
+
+
 def blockwise(rows: DataFrame, key: str, fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, block: int = 4096) -> DataFrame:
     """Apply ``fn`` to every pair of row blocks; ``fn`` must reduce what it sees.
 
     The work is the square of the rows by nature; shuffled are the rows times the
     number of blocks.
     """
-    n = rows.count()
-    blocks = F.lit(max(1, math.ceil(n / block)))
-    left = _slices(rows, key, blocks, blocks, "b1", "b2")
-    right = _slices(rows, key, blocks, blocks, "b2", "b1")
-    return left.groupBy("b1", "b2").cogroup(right.groupBy("b1", "b2")).applyInPandas(fn, schema)
+    return _paired(rows, key, block).applyInPandas(fn, schema)
+
+
+def blockwise_arrow(rows: DataFrame, key: str, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str, block: int = 16384) -> DataFrame:
+    """As ``blockwise`` on Arrow tables: a block may hold more rows, as they are no Python objects."""
+    return _paired(rows, key, block).applyInArrow(fn, schema)
+
+
+def _distances(a: np.ndarray, b: np.ndarray):
+    """Yield (start, distances of a[start:...] to b), a few rows at a time.
 
+    Squares come from one matrix product about the middle of ``b``; where they are so small
+    that the product's rounding would show, they are worked out entry by entry.
+    """
+    finite = np.isfinite(b).all(axis=1)  # distances to and from other rows are worked out entry by entry
+    middle = b[finite].mean(axis=0) if finite.any() else 0.0
+    x, y = a - middle, b - middle
+    xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    flipped = np.ascontiguousarray(-2.0 * y.T)
+    step = max(1, _PRODUCTS_AT_ONCE // len(b))
+    for start in range(0, len(a), step):
+        part = slice(start, start + step)
+        with np.errstate(invalid="ignore"):
+            d2 = x[part] @ flipped
+            both = xx[part, None] + yy
+            d2 += both
+            both *= _CLOSE
+            at = np.flatnonzero((~(d2 > both)).ravel())
+        for s in range(0, len(at), _PRODUCTS_AT_ONCE // 16):
+            some = at[s : s + _PRODUCTS_AT_ONCE // 16]
+            i, j = np.divmod(some, len(b))
+            d2[i, j] = ((a[start + i] - b[j]) ** 2).sum(axis=1)
+        yield start, np.sqrt(d2, out=d2)
+
+
+def _vectors(table: pa.Table, vec: str) -> np.ndarray:
+    column = table.column(vec).combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype("float64", copy=False).reshape(len(table), -1)
+
+
+def _is_equal(one: pa.Array, two: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the values of two arrays, equal where the values are."""
+    codes = pa.chunked_array([one, two]).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+    return codes[: len(one)], codes[len(one) :]
 
-def distance_sums(rows: DataFrame, key: str, vec: str, group: str, block: int = 4096) -> DataFrame:
+
+def distance_sums(rows: DataFrame, key: str, vec: str, group: str, block: int = 16384) -> DataFrame:
     """(key, other, total, n): distances from each row to all rows of each group, summed."""
     kt, gt = (rows.schema[c].dataType.simpleString() for c in (key, group))
 
-    def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({key: [], "other": [], "total": [], "n": []})
-        groups, member = np.unique(b[group].to_numpy(), return_inverse=True)
-        one_hot = np.eye(len(groups))[member]
-        total = np.vstack([np.sqrt(d2) @ one_hot for _, d2 in _squared_distances(_matrix(a[vec]), _matrix(b[vec]))])
-        return pd.DataFrame(
-            {
-                key: np.repeat(a[key].to_numpy(), len(groups)),
-                "other": np.tile(groups, len(a)),
-                "total": total.ravel(),
-                "n": np.tile(one_hot.sum(axis=0).astype("int64"), len(a)),
-            }
-        )
-
-    parts = blockwise(rows.select(key, vec, group), key, sums, f"{key} {kt}, other {gt}, total double, n bigint", block)
+    def sums(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not len(a) or not len(b):
+            return pa.table([a.column(key).slice(0, 0), b.column(group).slice(0, 0), pa.array([], pa.float64()), pa.array([], pa.int64())], names)
+        coded = b.column(group).combine_chunks().dictionary_encode(null_encoding="encode")
+        member = coded.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(member, kind="stable")
+        starts = np.searchsorted(member[order], np.arange(len(coded.dictionary)))
+        x, y = _vectors(a, vec), _vectors(b, vec)[order]
+        total = np.concatenate([np.add.reduceat(d, starts, axis=1) for _, d in _distances(x, y)])
+        at = np.repeat(np.arange(len(a)), len(starts))
+        others = coded.dictionary.take(pa.array(np.tile(np.arange(len(starts)), len(a))))
+        return pa.table([a.column(key).combine_chunks().take(pa.array(at)), others, total.ravel(), np.tile(np.bincount(member), len(a))], names)
+
+    names = [key, "other", "total", "n"]
+    parts = blockwise_arrow(rows.select(key, vec, group), key, sums, f"{key} {kt}, other {gt}, total double, n bigint", block)
     return parts.groupBy(key, "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 
-def distance_summary(rows: DataFrame, key: str, vec: str, block: int = 4096) -> DataFrame:
+def distance_summary(rows: DataFrame, key: str, vec: str, block: int = 16384) -> DataFrame:
     """(key, nearest, mean, farthest): distances from each row to all other rows."""
     kt = rows.schema[key].dataType.simpleString()
-
-    def reduce(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({key: [], "low": [], "total": [], "high": [], "n": []})
-        out, mine, theirs = [], a[key].to_numpy(), b[key].to_numpy()
-        for start, d2 in _squared_distances(_matrix(a[vec]), _matrix(b[vec])):
-            d, other = np.sqrt(d2), mine[start : start + len(d2), None] != theirs[None, :]
-            n = other.sum(axis=1)
-            low, high = np.where(other, d, np.inf).min(axis=1), np.where(other, d, -np.inf).max(axis=1)
-            out.append(pd.DataFrame({key: mine[start : start + len(d2)], "low": low, "total": np.where(other, d, 0).sum(axis=1), "high": high, "n": n}))
-        whole = pd.concat(out)
-        return whole[whole["n"] > 0]
-
-    parts = blockwise(rows.select(key, vec), key, reduce, f"{key} {kt}, low double, total double, high double, n bigint", block)
+    names = [key, "low", "total", "high", "n"]
+
+    def reduce(a: pa.Table, b: pa.Table) -> pa.Table:
+        keys = a.column(key).combine_chunks()
+        if not len(a) or not len(b):
+            return pa.table([keys.slice(0, 0), *[pa.array([], t) for t in (pa.float64(), pa.float64(), pa.float64(), pa.int64())]], names)
+        mine, theirs = _is_equal(keys, b.column(key).combine_chunks())
+        order = np.argsort(theirs, kind="stable")
+        first, last = (np.searchsorted(theirs[order], mine, side=side) for side in ("left", "right"))
+        y = _vectors(b, vec)[order]
+        out = []
+        for start, d in _distances(_vectors(a, vec), y):
+            total = d.sum(axis=1)
+            same = [(i, slice(first[start + i], last[start + i])) for i in range(len(d)) if first[start + i] < last[start + i]]
+            for i, at in same:  # rows of the same key are no others
+                total[i] = d[i, : at.start].sum() + d[i, at.stop :].sum()
+                d[i, at] = np.inf
+            low = d.min(axis=1)
+            for i, at in same:
+                d[i, at] = -np.inf
+            out.append(np.column_stack([low, total, d.max(axis=1)]))
+        low, total, high = np.concatenate(out).T
+        n = len(y) - (last - first)
+        some = np.flatnonzero(n > 0)
+        return pa.table([keys.take(pa.array(some)), low[some], total[some], high[some], n[some]], names)
+
+    parts = blockwise_arrow(rows.select(key, vec), key, reduce, f"{key} {kt}, low double, total double, high double, n bigint", block)
     return parts.groupBy(key).agg(
         F.min("low").alias("nearest"), (F.sum("total") / F.sum("n")).alias("mean"), F.max("high").alias("farthest")
     )

@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from loomstat.operators import cluster, linkage
+from loomstat.operators import cluster, linkage, neighbors
 
 
 def test_merge_tree_without_a_table_of_all_pairs(spark, monkeypatch):
@@ -34,3 +34,32 @@ def test_cells_add_up_as_single_points_do(spark, monkeypatch):
     monkeypatch.setattr(cluster, "_PACK", 64)
     packs = cluster._packed(rows.select("vec")).collect()
     assert sum(sum(p.sizes) for p in packs) == 300 and max(len(p.points) for p in packs) < 600
+
+
+@pytest.mark.parametrize("block", [40, 16384])
+def test_distances_from_products_equal_single_ones(spark, block):
+    rng = np.random.default_rng(2)
+    x = 1000 + rng.normal(size=(150, 8))
+    x[50:90] = x[10:50]  # copies
+    x[90:100] = x[0:10] + 1e-4 * rng.normal(size=(10, 8))  # near copies, far from the origin
+    label = rng.integers(0, 3, 150)
+    rows = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, label))], "id long, vec array<double>, cluster long")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.nan)
+    got = {r.id: (r.nearest, r.mean, r.farthest) for r in neighbors.distance_summary(rows, "id", "vec", block).collect()}
+    for i in range(150):
+        assert got[i] == pytest.approx((np.nanmin(d[i]), np.nanmean(d[i]), np.nanmax(d[i])), abs=1e-9)
+    sums = {(r.id, r.other): (r.total, r.n) for r in neighbors.distance_sums(rows, "id", "vec", "cluster", block).collect()}
+    for i in range(150):
+        for c in range(3):
+            assert sums[i, c] == pytest.approx((np.nansum(d[i, label == c]), (label == c).sum()), abs=1e-8)
+
+
+def test_distances_by_products_are_taken(monkeypatch):
+    """No block of entries (rows x rows x width) where vectors differ."""
+    monkeypatch.setattr(neighbors, "_squared_distances", lambda *_: pytest.fail("entry by entry"))
+    a, b = np.random.default_rng(1).normal(size=(2, 30, 5))
+    b[3, 0], a[4, 1], b[5, 2] = np.inf, np.nan, -np.inf
+    with np.errstate(invalid="ignore"):
+        want = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2))
+        np.testing.assert_allclose(np.concatenate([d for _, d in neighbors._distances(a, b)]), want, rtol=1e-9)
