@@ -16,22 +16,33 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-from loomstat.operators.joins import salted_join
+from loomstat.operators.batches import parts_for
+from loomstat.operators.joins import PART_ROWS, salted_join
 from loomstat.operators.ordering import ordered_rank
 from loomstat.session import cut_lineage
 
+PART_BYTES, SLICE_TOKENS = 8 << 20, 1 << 18  # text of one part, tokens counted at a time
 EPSILON = 2.220446049250313e-16  # machine epsilon: the floor of a row's norm
 
 
+def _bytes(df: DataFrame) -> int:
+    """Bytes of all strings, and of arrays of words at eight a word."""
+    sizes = [F.octet_length(c.name) for c in df.schema if isinstance(c.dataType, StringType)]
+    sizes += [F.greatest(F.size(c.name), F.lit(0)) * 8 for c in df.schema if isinstance(c.dataType, ArrayType)]
+    return df.agg(F.sum(sum((F.coalesce(s, F.lit(0)).cast("bigint") for s in sizes), F.lit(0)))).first()[0] or 0
+
+
 def term_counts(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     """(key, term, tf): how often each document holds each term.
 
     Documents are placed by key before they are split, because a text is smaller
     than its (key, term, tf) rows.  Counting, and any later work per document,
-    then stays where the document is.
+    then stays where the document is.  There are as many parts as the texts need,
+    so that a part's rows stay few however long all texts are.
     """
-    placed = df.repartition(key)
+    placed = df.repartition(parts_for(df, _bytes(df), PART_BYTES), key)
     return placed.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -44,8 +55,7 @@ def term_totals(df: DataFrame, tokens: Column) -> DataFrame:
     """
 
     def count(batches):
-        for batch in batches:
-            lists = batch.column(0)
+        for lists in (part for batch in batches for part in _few_tokens(batch.column(0))):
             flat = lists.flatten().dictionary_encode()
             n = len(flat.dictionary)
             if not n:
@@ -60,6 +70,17 @@ def term_totals(df: DataFrame, tokens: Column) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
 
 
+def _few_tokens(lists: pa.Array):
+    """``lists`` cut into slices of some ``SLICE_TOKENS`` tokens, as work on them takes many times their size."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(lists):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_TOKENS, side="right")))
+        yield lists.slice(start, stop - start)
+        start = stop
+
+
 def vocabulary(totals: DataFrame) -> DataFrame:
     """(term, df, cf, idx): document and total frequency (``term_totals``), 0-based alphabetical index."""
     ranked = ordered_rank(totals, ["term"], "_rn")
@@ -82,8 +103,11 @@ def smooth_idf(documents: Column, df: Column) -> Column:
     return F.ln((F.lit(1.0) + documents) / (F.lit(1.0) + df)) + F.lit(1.0)
 
 
-def l2_normalised(weights: DataFrame, key: str, col: str) -> DataFrame:
-    """Each document's weights divided by their length."""
+def l2_normalised(weights: DataFrame, key: str, col: str, rows: int = 0) -> DataFrame:
+    """Each document's weights divided by their length; ``rows`` says how many there may be where they are not placed by ``key``."""
+    parts = parts_for(weights, rows, PART_ROWS)
+    if parts > weights.sparkSession.sparkContext.defaultParallelism:
+        weights = weights.repartition(parts, key)
     length = F.sqrt(F.sum(F.col(col) * F.col(col)).over(Window.partitionBy(key)))
     return weights.withColumn(col, F.col(col) / F.greatest(length, F.lit(EPSILON)))
 
@@ -98,7 +122,7 @@ class TfidfFit:
         """(key, term, weight); terms outside the vocabulary are left out."""
         joined = salted_join(counts, self.terms, "term", key, "df")
         weighted = joined.select(key, "term", (F.col("tf") * F.col("idf")).alias("weight"))
-        return l2_normalised(weighted, key, "weight")
+        return l2_normalised(weighted, key, "weight", self.terms.agg(F.sum("df")).first()[0] or 0)
 
 
 def fit_tfidf(docs: DataFrame, tokens: Column | None = None, counts: DataFrame | None = None) -> TfidfFit:

@@ -213,7 +213,7 @@ def _sql_side(is_test: str) -> str:
 @query("t17_tfidf_unseen", _sql_tfidf(_sql_side("is_test"), _sql_side("NOT is_test"), f"(SELECT count(*) FROM {_SPLIT_DOCS} WHERE NOT is_test)"))
 def t17(spark, d):
     """Weights of held-out documents under the vocabulary of the others."""
-    docs = sampling.random_split(evened(documents(spark, d)), "doc_id", 0.2, seed=3)
+    docs = written(sampling.random_split(evened(documents(spark, d)), "doc_id", 0.2, seed=3))  # read by every step below
     train, test = docs.where(~F.col("is_test")), docs.where("is_test")
     words = tx.word_tokens(F.col("text"))
     fit = vectorize.fit_tfidf(train, words)

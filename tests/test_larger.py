@@ -2,7 +2,9 @@
 
 import numpy as np
 import pytest
-from loomstat.operators import cluster, linkage, neighbors
+from pyspark.sql import functions as F
+
+from loomstat.operators import cluster, joins, linkage, neighbors, vectorize
 
 
 def test_merge_tree_without_a_table_of_all_pairs(spark, monkeypatch):
@@ -63,3 +65,21 @@ def test_distances_by_products_are_taken(monkeypatch):
     with np.errstate(invalid="ignore"):
         want = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2))
         np.testing.assert_allclose(np.concatenate([d for _, d in neighbors._distances(a, b)]), want, rtol=1e-9)
+
+
+def test_parts_of_texts_stay_small(spark, monkeypatch):
+    """More text makes more parts, not larger ones; counts of repeated and NULL keys are still taken together."""
+    rows = [(i % 90 if i % 50 else None, "a b a " + " ".join(f"w{j}" for j in range(i % 40))) for i in range(400)] + [(3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = F.split("text", " ")
+    want = sorted(map(str, vectorize.term_counts(docs, "doc_id", words).collect()))
+    totals = sorted(vectorize.term_totals(docs, words).collect())
+    unit = sorted(map(str, vectorize.fit_tfidf(docs, words).transform(vectorize.term_counts(docs, "doc_id", words), "doc_id").withColumn("weight", F.round("weight", 9)).collect()))
+    for module, name, value in ((vectorize, "PART_BYTES", 500), (vectorize, "SLICE_TOKENS", 50), (vectorize, "PART_ROWS", 100), (joins, "PART_ROWS", 100)):
+        monkeypatch.setattr(module, name, value)
+    counts = vectorize.term_counts(docs, "doc_id", words)
+    assert counts.rdd.getNumPartitions() > 20
+    assert sorted(map(str, counts.collect())) == want and sorted(vectorize.term_totals(docs, words).collect()) == totals
+    fit = vectorize.fit_tfidf(docs, words).transform(counts, "doc_id")
+    assert fit.rdd.getNumPartitions() > 20
+    assert sorted(map(str, fit.withColumn("weight", F.round("weight", 9)).collect())) == unit
