@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomstat.functions import maths
 from loomstat.functions.hashing import poisson_thresholds
 from loomstat.operators import columns, encode, missing, sampling, stats
+from loomstat.operators.batches import evened
 from loomstat.operators.ordering import ordered_rank, running_totals
 from loomstat.plans.registry import (
     SQL_HOLED,
@@ -72,11 +73,13 @@ def s4(spark, d):
 def s5(spark, d):
     """One file per labelled document below <split>/<label>/, read whole."""
     root = new_path(spark, "text-tree")
-    docs = cut_lineage(table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select("doc_id", "text", "quality"))
+    docs = cut_lineage(evened(table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select("doc_id", "text", "quality")))
     for split, rest in (("train", 0), ("test", 1)):
         for name, quality in (("pos", 1), ("neg", 0)):
             part = docs.where((F.col("doc_id") % 2 == rest) & (F.col("quality") == quality))
-            part.select("text").write.option("maxRecordsPerFile", 1).text(f"{root}/{split}/{name}")
+            # tasks move their files into place themselves; the driver would move them one by one
+            commit = {"mapreduce.fileoutputcommitter.algorithm.version": 2}
+            part.select("text").write.options(maxRecordsPerFile=1, **commit).text(f"{root}/{split}/{name}")
     tree = texttree.read_text_tree(spark, root, {"pos": 1, "neg": 0})
     return tree.select("split", F.md5("text").alias("text_md5"), big("label").alias("label"))
 
