@@ -9,16 +9,18 @@ from loomstat.operators.batches import parts_for
 
 PART_ROWS = 1 << 20
 
-def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread_by: str, weight: str, pieces: int = 1000) -> DataFrame:
+
+def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread_by: str, weight: str, pieces: int = 1000, total: int = 0) -> DataFrame:
     """Inner join of ``rows`` with a table of unique keys whose row counts are known.
 
     ``lookup[weight]`` says how many rows hold the key.  A key with more than
     1/``pieces`` of all rows is cut into that many slices and its lookup row
     repeated per slice.  At most ``pieces`` keys can be that frequent, so the list
-    of hot keys is small enough to broadcast whatever the size of the data.
+    of hot keys is small enough to broadcast whatever the size of the data.  ``total``
+    says how many rows there may be, for parts of at most ``PART_ROWS``; 0 leaves that to Spark.
     """
-    total = lookup.agg(F.sum(weight)).first()[0] or 0
-    sized = lookup.withColumn("_salts", F.greatest(F.ceil(F.col(weight) / F.lit(total / pieces)), F.lit(1)).cast("int"))
+    share = lookup.agg(F.sum(weight) / F.lit(float(pieces))).scalar()
+    sized = lookup.withColumn("_salts", F.greatest(F.ceil(F.col(weight) / share), F.lit(1)).cast("int"))
     hot = sized.where(F.col("_salts") > 1).select(key, "_salts")
     spread = sized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
     salt = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_salts")).cast("int"), F.lit(0))

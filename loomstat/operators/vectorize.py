@@ -120,9 +120,10 @@ class TfidfFit:
 
     def transform(self, counts: DataFrame, key: str) -> DataFrame:
         """(key, term, weight); terms outside the vocabulary are left out."""
-        joined = salted_join(counts, self.terms, "term", key, "df")
+        rows = self.terms.agg(F.sum("df")).first()[0] or 0
+        joined = salted_join(counts, self.terms, "term", key, "df", total=rows)
         weighted = joined.select(key, "term", (F.col("tf") * F.col("idf")).alias("weight"))
-        return l2_normalised(weighted, key, "weight", self.terms.agg(F.sum("df")).first()[0] or 0)
+        return l2_normalised(weighted, key, "weight", rows)
 
 
 def fit_tfidf(docs: DataFrame, tokens: Column | None = None, counts: DataFrame | None = None) -> TfidfFit:
