@@ -93,8 +93,8 @@ def tokens(text: Column) -> Column:
 
 
 def word_tokens(text: Column) -> Column:
-    """Lower-case word tokens of raw text."""
-    return tokens(words_only(text))
+    """Lower-case word tokens of raw text: those of ``words_only``, cut out in one pass over the text."""
+    return F.array_remove(F.split(F.lower(text), NON_WORD), F.lit(""))
 
 
 def without_stop_words(token_array: Column, stop_words=STOP_WORDS) -> Column:

@@ -166,7 +166,8 @@ def t13(spark, d):
 
 def pruned(spark, d, max_features: int = 5000):
     docs = evened(documents(spark, d))
-    totals = vectorize.term_totals(docs, tx.without_stop_words(tx.word_tokens(F.col("text"))))
+    totals = vectorize.term_totals(docs, tx.word_tokens(F.col("text")))
+    totals = totals.where(~F.col("term").isin(list(tx.STOP_WORDS)))  # once a term, not once a token
     return vectorize.pruned_vocabulary(totals, docs.agg(F.count(F.lit(1))).scalar(), max_df=0.1, max_features=max_features)
 
 

@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomstat.functions import text as tx
 from loomstat.operators import cluster, joins, linkage, neighbors, vectorize
+from loomstat.plans import text as text_plans
 
 
 def test_merge_tree_without_a_table_of_all_pairs(spark, monkeypatch):
@@ -83,3 +85,16 @@ def test_parts_of_texts_stay_small(spark, monkeypatch):
     fit = vectorize.fit_tfidf(docs, words).transform(counts, "doc_id")
     assert fit.rdd.getNumPartitions() > 20
     assert sorted(map(str, fit.withColumn("weight", F.round("weight", 9)).collect())) == unit
+
+
+def test_words_are_cut_in_one_pass_and_stop_words_left_out_by_term(spark, tmp_path):
+    texts = ["The the  cat,\tand a CAT_9\n", "", None, " İstanbul naïve — x y ", "a and", "Dog ½ 1,000.5 dog\x0bdog", "日本語 test", "..."]
+    spark.createDataFrame([(i % 6, t, i) for i, t in enumerate(texts + ["filler"] * 22)], "doc_id long, text string, n int").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = text_plans.documents(spark, str(tmp_path))
+    words = docs.select(tx.word_tokens(F.col("text")).alias("w"), tx.tokens(tx.words_only(F.col("text"))).alias("v"))
+    assert words.where(~F.col("w").eqNullSafe(F.col("v"))).count() == 0
+    assert "lambda" not in words.select("w")._jdf.queryExecution().optimizedPlan().toString()
+    found = text_plans.pruned(spark, str(tmp_path))
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+    want = vectorize.pruned_vocabulary(vectorize.term_totals(docs, tx.without_stop_words(tx.word_tokens(F.col("text")))), docs.agg(F.count(F.lit(1))).scalar(), max_df=0.1, max_features=5000)
+    assert sorted(found.collect()) == sorted(want.collect()) and 5 < found.count() < 15
