@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loomstat.functions import text as tx
 from loomstat.operators import cluster, joins, linkage, neighbors, vectorize
+from loomstat.plans import pairs
 from loomstat.plans import text as text_plans
 
 
@@ -98,3 +99,10 @@ def test_words_are_cut_in_one_pass_and_stop_words_left_out_by_term(spark, tmp_pa
     assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
     want = vectorize.pruned_vocabulary(vectorize.term_totals(docs, tx.without_stop_words(tx.word_tokens(F.col("text")))), docs.agg(F.count(F.lit(1))).scalar(), max_df=0.1, max_features=5000)
     assert sorted(found.collect()) == sorted(want.collect()) and 5 < found.count() < 15
+
+
+def test_topics_of_documents_without_text(spark, tmp_path):
+    texts = [None, "", *(f"word{i % 40} other{i % 30} rare{i}" for i in range(60))]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.share, r.tokens) for r in pairs.d6_sums(spark, str(tmp_path)).collect()}
+    assert len(got) == 62 and got[0] == got[1] == (0.0, 0) and got[2] == (1.0, 3)
