@@ -2,11 +2,12 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from loomstat.functions import text as tx
-from loomstat.operators import cluster, joins, linkage, neighbors, vectorize
-from loomstat.plans import pairs
+from loomstat.operators import classify, cluster, joins, linkage, neighbors, vectorize, wide
+from loomstat.plans import learners, pairs
 from loomstat.plans import text as text_plans
 
 
@@ -106,3 +107,41 @@ def test_topics_of_documents_without_text(spark, tmp_path):
     spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.share, r.tokens) for r in pairs.d6_sums(spark, str(tmp_path)).collect()}
     assert len(got) == 62 and got[0] == got[1] == (0.0, 0) and got[2] == (1.0, 3)
+
+
+def _wide_rows(spark, n, size, seed):
+    rng, rows = np.random.default_rng(seed), []
+    for i in range(n):
+        idx = np.sort(rng.choice(size, rng.integers(0, 12), replace=False))
+        values = rng.random(len(idx))
+        rows.append((i % (n - 5), float((values[idx < size // 2].sum() > values[idx >= size // 2].sum()) != (rng.random() < 0.2)), Vectors.sparse(size, idx.tolist(), values.tolist())))
+    return spark.createDataFrame([*rows, *rows[:9]], ["id", "label", "features"])
+
+
+@pytest.mark.parametrize("size, l2, rounds", [(40, 1e-4, 50), (2500, 1e-3, 12), (30, 0.0, 8)])
+def test_weights_in_ranges_equal_those_of_one_machine(spark, monkeypatch, size, l2, rounds):
+    """The same rounds, weights and scores as Spark's solver, with many blocks and ranges; copies and empty rows among them."""
+    monkeypatch.setattr(wide, "BLOCK_ENTRIES", 60)
+    rows = _wide_rows(spark, 130, size, seed=3).cache()
+    one = classify.logistic(l2=l2, max_iter=rounds).fit(rows)
+    many = wide.WideLogistic(l2=l2, max_iter=rounds).fit(rows)
+    assert many.history == pytest.approx(list(one.summary.objectiveHistory), abs=1e-9)
+    got = np.zeros(size)
+    for row in many.weights().collect():
+        got[row.idx] = row.coefficient
+    assert got == pytest.approx(one.coefficients.toArray(), abs=1e-6) and many.intercept == pytest.approx(one.intercept, abs=1e-6)
+    scores = [sorted((r.id, r.label, r.prediction, *r.rawPrediction, *r.probability) for r in m.transform(rows).collect()) for m in (one, many)]
+    assert scores[1] == [pytest.approx(r, abs=1e-6) for r in scores[0]]
+
+
+def test_weights_in_ranges_with_one_label(spark):
+    rows = _wide_rows(spark, 30, 17, seed=1).withColumn("label", F.lit(1.0))
+    assert {r.prediction for r in wide.WideLogistic().fit(rows).transform(rows).collect()} == {1.0}
+    with pytest.raises(ValueError):
+        wide.WideLogistic().fit(rows.withColumn("label", F.lit(2.0)))
+
+
+def test_text_classifier_sends_no_gradient_to_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(learners.classify, "logistic", lambda *_, **__: pytest.fail("a gradient as wide as the vocabulary"))
+    row = learners.w9(spark, "/root/testdata/sf0.001").first()
+    assert row.n > 0 and 0 <= row.accuracy <= 1 and 0 <= row.auc <= 1
