@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from loomstat.operators.batches import parts_for
-from loomstat.session import cut_lineage
+from loomstat.session import cut_lineage, shared_dir
 
 BLOCK_ENTRIES, RANGE_TERMS = 1 << 22, 1 << 16  # entries of a block, weights of a range
 MEMORY = 10  # steps that L-BFGS remembers
@@ -80,7 +80,9 @@ class WideLogisticModel(Model, HasFeaturesCol):
         """Blocks of rows ask the ranges for the weights of their own terms."""
         spark, width, ranges, intercept = df.sparkSession, self.width, self.ranges, self.intercept
         at, known = df.columns.index(self.getFeaturesCol()), self.table.count()
-        parts = _parts(df.select(self.getFeaturesCol()))
+        vectors = df.select(self.getFeaturesCol())
+        first = vectors.first()
+        parts, wide = _parts(vectors), first[0].size if first else 0
         held = _blocks(df, parts, at)
 
         def ask(part):
@@ -96,10 +98,12 @@ class WideLogisticModel(Model, HasFeaturesCol):
 
         def score(part):
             for kinds in _grouped(part).values():
-                rows, sizes, col, weight, _ = kinds["block"][0]
+                rows, sizes, col, weight, terms = kinds["block"][0]
                 w = np.concatenate([body[1] for body in sorted(kinds["weights"], key=lambda body: body[0])])
-                for row, m in zip(rows, _sums(sizes, weight * w[col]) + intercept):
-                    yield (*row, float(m))
+                ends, idx = np.cumsum(sizes), terms[col]
+                for row, m, size, end in zip(rows, _sums(sizes, weight * w[col]) + intercept, sizes, ends):
+                    own = slice(end - size, end)
+                    yield (*row[:at], SparseVector(wide, idx[own], weight[own]), *row[at:], float(m))
 
         range_parts = min(ranges, 4 * spark.sparkContext.defaultParallelism)
         kept = self.table.rdd.map(lambda r: (r["part"], ("held", np.array(r["w"])))).partitionBy(range_parts)
@@ -120,13 +124,15 @@ class WideLogisticModel(Model, HasFeaturesCol):
 
 @dataclass
 class _Point:
-    """A point whose vectors lie in ``rows``; ``b`` has the intercept's part of x, g and the steps, ``dots`` the products of g and the steps."""
+    """A point and those before it that L-BFGS remembers, newest first."""
 
-    rows: RDD
-    b: np.ndarray
+    rows: list[RDD]  # x and g of each, a range of terms in a row
+    b: list[tuple[float, float]]  # the intercept's part of them
     value: float
-    dots: np.ndarray
-    known: int  # steps remembered
+    dots: np.ndarray  # products of g, the steps between the points and the slopes' changes along them
+
+    def forget(self) -> None:
+        self.rows, self.b, self.dots = self.rows[:1], self.b[:1], self.dots[:1, :1]
 
     def slope_norm(self) -> float:
         return math.sqrt(self.dots[0, 0])
@@ -142,9 +148,13 @@ def _minimise(solver: _Ranges, intercept: float, max_iter: int, tol: float) -> t
         except _Stuck:
             if failed:
                 break
-            at.known, failed = 0, True
+            for old in at.rows[1:]:
+                old.unpersist()
+            at.forget()
+            failed = True
             continue
-        at.rows.unpersist()
+        for old in at.rows[len(new.rows) - 1 :]:
+            old.unpersist()
         at, turn, failed = new, turn + 1, False
         recent = [*recent, at.value][-20:]
         history.append(at.value)
@@ -173,30 +183,25 @@ def _direction(dots: np.ndarray, known: int) -> np.ndarray:
 
 def _step(solver: _Ranges, at: _Point, turn: int) -> _Point:
     """The next point: a step that meets the strong Wolfe conditions."""
-    held = at.dots.shape[0] // 2
-    use = [0, *range(1, at.known + 1), *range(held + 1, held + at.known + 1)]
-    dots = at.dots[np.ix_(use, use)]
-    way = _direction(dots, at.known)
-    fall = float(dots[0] @ way)
+    way = _direction(at.dots, len(at.rows) - 1)
+    fall = float(at.dots[0] @ way)
     if fall > 0:
         raise _Stuck
-    shares = np.zeros(2 * held + 1)
-    shares[use] = way
     tried: list[_Point] = []
 
     def phi(t: float) -> tuple[float, float, float]:
         for old in tried:
-            old.rows.unpersist()
-        tried[:] = [solver.move(at, shares, t)]
+            old.rows[0].unpersist()
+        tried[:] = [solver.move(at, way, t)]
         return t, tried[0].value, tried[0].dots[0, 1] / t
 
     try:
-        t = _line_search(phi, at.value, fall, 1.0 if turn else 1.0 / math.sqrt(way @ dots @ way))
+        t = _line_search(phi, at.value, fall, 1.0 if turn else 1.0 / math.sqrt(way @ at.dots @ way))
         if t * at.slope_norm() < 1e-10:
             raise _Stuck
     except _Stuck:
         for old in tried:
-            old.rows.unpersist()
+            old.rows[0].unpersist()
         raise
     return tried[0]
 
@@ -255,6 +260,11 @@ def _meet(sent: RDD, parts: int, *kept: RDD) -> RDD:
     return placed
 
 
+def _basis(xs: list, gs: list) -> list:
+    """g, the steps and the changes of points that are given newest first."""
+    return [gs[0], *(new - old for new, old in zip(xs, xs[1:])), *(new - old for new, old in zip(gs, gs[1:]))]
+
+
 def _grouped(part) -> dict:
     """key -> kind -> bodies, of rows (key, (kind, body))."""
     out: dict = defaultdict(lambda: defaultdict(list))
@@ -279,21 +289,34 @@ def _parts(vectors: DataFrame) -> int:
 
 
 def _blocks(df: DataFrame, parts: int, at: int) -> RDD:
-    """One block per part of the rows with a vector at place ``at``: rows, sizes, local terms, weights, terms in order."""
-
-    def pack(part):
-        rows, idx, weight = [], [], []
-        for row in part:
-            rows.append(tuple(row))
-            own, values = _cells(row[at])
-            idx.append(own)
-            weight.append(values)
-        if rows:
-            sizes = np.array([len(own) for own in idx])
-            terms, col = np.unique(np.concatenate(idx), return_inverse=True)
-            yield TaskContext.get().partitionId(), ("block", (rows, sizes, col.astype(np.int32), np.concatenate(weight), terms))
-
-    return df.repartition(parts).rdd.mapPartitions(pack).partitionBy(parts).mapPartitions(lambda part: part, preservesPartitioning=True)
+    """One block per part of the rows with a vector at place ``at``: the rows' other values, sizes, local terms, weights, terms in order."""
+
+    def pile(source, turn, rows):
+        idx, weight = zip(*(_cells(row[at]) for row in rows))
+        others = [(*row[:at], *row[at + 1 :]) for row in rows]
+        return source, turn, others, np.array([len(own) for own in idx]), np.concatenate(idx), np.concatenate(weight)
+
+    def deal(part):
+        source, turn, piles, entries = TaskContext.get().partitionId(), 0, defaultdict(list), 0
+        for n, row in enumerate(part, source):
+            piles[n % parts].append(row)
+            entries += len(_cells(row[at])[0])
+            if entries >= BLOCK_ENTRIES:
+                yield from ((block, pile(source, turn, rows)) for block, rows in piles.items())
+                turn, piles, entries = turn + 1, defaultdict(list), 0
+        yield from ((block, pile(source, turn, rows)) for block, rows in piles.items())
+
+    def joined(part):
+        got = defaultdict(list)
+        for block, body in part:
+            got[block].append(body)
+        for block, bodies in got.items():
+            bodies.sort(key=lambda body: body[:2])
+            sizes, idx, weight = (np.concatenate([body[i] for body in bodies]) for i in (3, 4, 5))
+            terms, col = np.unique(idx, return_inverse=True)
+            yield block, ("block", ([row for body in bodies for row in body[2]], sizes, col.astype(np.int32), weight, terms))
+
+    return df.rdd.mapPartitions(deal).partitionBy(parts).mapPartitions(joined, preservesPartitioning=True)
 
 
 def _labelled(part):
@@ -313,6 +336,8 @@ class _Ranges:
         self.parts, self.range_parts = _parts(rows.select("v")), min(self.ranges, 4 * cores)
         blocks = _blocks(rows, self.parts, 1).mapPartitions(_labelled, preservesPartitioning=True)
         self.blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+        self.turn = 0
+        shared_dir(self.spark)
         self.fixed = self._fixed(size).persist(StorageLevel.MEMORY_AND_DISK)
 
     def _fixed(self, size: int) -> RDD:
@@ -352,31 +377,29 @@ class _Ranges:
         def nil(part):
             for k, (_, (mean, *_)) in part:
                 zero = np.zeros(len(mean))
-                yield k, ("point", (zero, zero, [], [], 0.0, 0.0, 0.0))
+                yield k, ("point", (0, zero, zero))
 
         origin = self.fixed.mapPartitions(nil, preservesPartitioning=True)
-        return self._measured(_Point(origin, np.array([intercept, 0.0]), 0.0, np.zeros((1, 1)), 0), np.zeros(1), 0.0, 0)
-
-    def move(self, at: _Point, shares: np.ndarray, t: float) -> _Point:
-        """The point ``t`` times the direction away from ``at``; ``shares`` are the direction's in g and the steps."""
-        return self._measured(at, shares, t, min(at.known + 1, MEMORY))
+        return self.move(_Point([origin], [(intercept, 0.0)], 0.0, np.zeros((1, 1))), np.zeros(1), 0.0, 0)
 
-    def _measured(self, at: _Point, shares: np.ndarray, t: float, known: int) -> _Point:
+    def move(self, at: _Point, shares: np.ndarray, t: float, memory: int = MEMORY) -> _Point:
+        """The point ``t`` times the direction away from ``at``; ``shares`` are the direction's in g, the steps and the changes."""
         n, width, ranges = self.n, self.width, self.ranges
-        b = at.b[0] + t * float(shares @ at.b[1:])
+        self.turn += 1
+        turn, b = self.turn, at.b[0][0] + t * float(shares @ _basis(*zip(*at.b)))
 
-        def moved(point) -> np.ndarray:
-            x, g, steps, changes, *_ = point
-            way = np.zeros(len(x))
-            for share, v in zip(shares, [g, *steps, *changes]):
+        def moved(points) -> tuple[np.ndarray, list, list]:
+            _, xs, gs, *_ = zip(*sorted(points, key=lambda body: -body[0]))
+            way = np.zeros(len(xs[0]))
+            for share, v in zip(shares, _basis(xs, gs)):
                 if share:
                     way += share * v
-            return x + t * way
+            return xs[0] + t * way, xs, gs
 
         def send(part):
             for k, kinds in _grouped(part).items():
-                (mean, inverse, _, where), (point,) = kinds["fixed"][0], kinds["point"]
-                w = moved(point) * inverse
+                mean, inverse, _, where = kinds["fixed"][0]
+                w = moved(kinds["point"])[0] * inverse
                 centre = float(mean @ w)
                 for block, own in where.items():
                     yield block, ("weights", (k, w[own], centre))
@@ -397,29 +420,32 @@ class _Ranges:
 
         def gather(part):
             for k, kinds in _grouped(part).items():
-                (mean, inverse, curve, where), (point,) = kinds["fixed"][0], kinds["point"]
-                x, total, loss, rest = moved(point), np.zeros(len(mean)), 0.0, 0.0
+                mean, inverse, curve, where = kinds["fixed"][0]
+                x, xs, gs = moved(kinds["point"])
+                total, loss, rest = np.zeros(len(mean)), 0.0, 0.0
                 for block, slope, own_loss, own_rest in sorted(kinds["slopes"], key=lambda body: body[0]):
                     total[where[block]] += slope
                     loss, rest = loss + own_loss, rest + own_rest
                 g = (total - mean * rest) * inverse + curve * x
-                steps, changes = ([x - point[0], *point[2]][:known], [g - point[1], *point[3]][:known])
-                yield k, ("point", (x, g, steps, changes, loss, rest, float(curve @ (x * x)) / 2))
+                v = np.array(_basis([x, *xs][: memory + 1], [g, *gs][: memory + 1]))
+                yield k, ("point", (turn, x, g, v @ v.T, loss, rest, float(curve @ (x * x)) / 2))
 
         def products(part):
-            for k, (_, (_, g, steps, changes, loss, rest, penalty)) in part:
-                v = np.array([g, *steps, *changes])
-                yield k, v @ v.T, loss, rest, penalty
-
-        asked = _meet(self.fixed.union(at.rows).mapPartitions(send), self.parts, self.blocks).mapPartitions(answer)
-        rows = _meet(asked, self.range_parts, at.rows, self.fixed).mapPartitions(gather, preservesPartitioning=True).persist(StorageLevel.MEMORY_AND_DISK)
-        rows.localCheckpoint()  # the next point starts from here; dropped once it is there
+            for k, (_, (_, _, _, *numbers)) in part:
+                yield k, *numbers
+
+        held = self.fixed
+        for old in at.rows:
+            held = held.union(old)
+        asked = _meet(held.mapPartitions(send), self.parts, self.blocks).mapPartitions(answer)
+        rows = _meet(asked, self.range_parts, held).mapPartitions(gather, preservesPartitioning=True).persist(StorageLevel.MEMORY_AND_DISK)
+        rows.checkpoint()
         got = sorted(rows.mapPartitions(products).collect(), key=lambda r: r[0])
-        held, rest = len(at.b) // 2 - 1, got[0][3]
-        steps, changes = at.b[2 : 2 + held], at.b[2 + held :]
-        b_all = np.array([b, rest, *[b - at.b[0], *steps][:known], *[rest - at.b[1], *changes][:known]])
+        points = [(b, got[0][3]), *at.b][: memory + 1]
+        basis = np.array(_basis(*zip(*points)))
         value = got[0][2] + sum(r[4] for r in got)
-        return _Point(rows, b_all, value, sum(r[1] for r in got) + np.outer(b_all[1:], b_all[1:]), known)
+        rows = RDD(rows._jrdd, rows.ctx, rows._jrdd_deserializer)  # holds on to nothing that it came from
+        return _Point([rows, *at.rows][: memory + 1], points, value, sum(r[1] for r in got) + np.outer(basis, basis))
 
     def weights(self, at: _Point) -> tuple[DataFrame, float]:
         """The table of weights for rows as they came, and the intercept."""
@@ -427,14 +453,15 @@ class _Ranges:
         def scaled(part):
             for k, kinds in _grouped(part).items():
                 mean, inverse, *_ = kinds["fixed"][0]
-                w = kinds["point"][0][0] * inverse
+                w = kinds["point"][0][1] * inverse
                 yield k, w.tolist(), float(mean @ w)
 
-        rows = self.fixed.union(at.rows).mapPartitions(scaled)
+        rows = self.fixed.union(at.rows[0]).mapPartitions(scaled)
         table = cut_lineage(self.spark.createDataFrame(rows, _WEIGHTS + ", centre double"))
-        at.rows.unpersist()
+        for old in at.rows:
+            old.unpersist()
         centre = math.fsum(r["centre"] for r in table.select("centre").collect())
-        return table.select("part", "w"), float(at.b[0]) - centre
+        return table.select("part", "w"), at.b[0][0] - centre
 
     def drop(self) -> None:
         self.blocks.unpersist()
