@@ -13,6 +13,7 @@ for up to some hundred features.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field, replace
 from functools import cache
 
@@ -22,10 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions.hashing import poisson_thresholds
-from loomstat.operators.batches import evened, matrix, summed
+from loomstat.operators.batches import evened, matrix, packed, summed, unpacked
 from loomstat.session import cut_lineage
 
-ROWS, MEMBERS = 1024, 64  # what a task works on at a time
+ROWS, MEMBERS = 256, 64  # what a task works on at a time
+BEND = 1 / (6 * math.sqrt(3))  # the logistic function's second derivative is nowhere larger
 _CELL_BITS = 12
 
 
@@ -60,7 +62,11 @@ class StackedFit:
                 p = np.zeros(len(x))
                 for at in range(0, len(x), ROWS):
                     for k in range(0, len(w), MEMBERS):
-                        p[at : at + ROWS] += _sigmoid(x[at : at + ROWS] @ w[k : k + MEMBERS].T).sum(axis=1)
+                        z = x[at : at + ROWS] @ -w[k : k + MEMBERS].T
+                        np.clip(z, -500, 500, out=z)
+                        np.exp(z, out=z)
+                        z += 1.0
+                        p[at : at + ROWS] += np.reciprocal(z, out=z).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p / len(w))], [*batch.schema.names[:-1], "p"])
 
         schema = df.schema.add("p", "double")
@@ -85,10 +91,17 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 def draws(h: np.ndarray, numbers: np.ndarray, mean: float) -> np.ndarray:
     """How often each bootstrap (column) draws each row: Poisson counts from the row's hash, turned per bootstrap."""
     salt = _mixed((numbers.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    word = _mixed(h[:, None] ^ salt[None, :])
-    out = _likely_counts(mean)[(word >> np.uint64(64 - _CELL_BITS)).view(np.int64)]
-    unsure = out < 0
-    out[unsure] = np.searchsorted(np.array(poisson_thresholds(mean)), (word[unsure] >> np.uint64(11)).astype(np.float64) / 2.0**53, side="right")
+    word = h[:, None] ^ salt[None, :]
+    part = word >> np.uint64(30)  # ``_mixed`` in place
+    for factor, shift in ((0xBF58476D1CE4E5B9, 27), (0x94D049BB133111EB, 31)):
+        word ^= part
+        word *= np.uint64(factor)
+        np.right_shift(word, np.uint64(shift), out=part)
+    word ^= part
+    np.right_shift(word, np.uint64(64 - _CELL_BITS), out=part)
+    out = _likely_counts(mean).take(part.view(np.int64))
+    unsure = np.flatnonzero(out < 0)
+    out.ravel()[unsure] = np.searchsorted(np.array(poisson_thresholds(mean)), (word.ravel()[unsure] >> np.uint64(11)).astype(np.float64) / 2.0**53, side="right")
     return out
 
 
@@ -113,22 +126,42 @@ def stacked_logistic(
     vec = F.array(*[F.col(c).cast("double") for c in features])
     fold_of = F.col(fold).cast("int") if fold else F.lit(0)
     rows = df.select(vec.alias("x"), F.col(label).cast("double").alias("y"), fold_of.alias("fold"), F.xxhash64(F.lit(seed), key).alias("h"))
-    rows = cut_lineage(evened(rows.where(F.col("y").isNotNull() & F.col("fold").isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))))
-    scale = np.array(rows.agg(F.array(*[F.coalesce(F.sqrt(F.avg(F.col("x")[j] * F.col("x")[j])), F.lit(1.0)) for j in range(d - 1)])).first()[0])
-    scale = np.append(1.0, np.where(scale > 0, scale, 1.0))  # solve for features of size one, for the sake of the numbers
+    rows = rows.where(F.col("y").isNotNull() & F.col("fold").isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
+    packs = cut_lineage(packed(evened(rows)))
+    scale, widest = _sizes(packs, unpacked(rows), d)
     start = np.zeros((len(members), d))
     plain = list(dict.fromkeys(replace(b, draw=None) for b in members if b.draw is not None))
     if 0 < len(plain) < len(members):
-        near = _newton(rows, scale, plain, np.zeros((len(plain), d)), max_iter, tol, max_samples)
+        near = _newton(packs, unpacked(rows), scale, widest, plain, np.zeros((len(plain), d)), max_iter, tol, max_samples)
         known = {b: w for b, w, settled in zip(plain, near.weights, near.settled) if settled}
         start = np.array([known.get(replace(b, draw=None), w) for b, w in zip(members, start)])
-    fit = _newton(rows, scale, members, start, max_iter, tol, max_samples)
+    fit = _newton(packs, unpacked(rows), scale, widest, members, start, max_iter, tol, max_samples)
     fit.weights = fit.weights / scale
     return fit
 
 
-def _newton(rows: DataFrame, scale: np.ndarray, members: list[Member], start: np.ndarray, max_iter: int, tol: float, max_samples: float) -> StackedFit:
-    """Newton's steps of all ``members`` from ``start``, on (x, y, fold, h); weights are for features divided by ``scale``."""
+def _sizes(packs: DataFrame, arrays, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per column, the bias first: the root of its mean square (1 where all are 0), and its largest entry as a multiple of that."""
+
+    def task(batches):
+        for x, *_ in arrays(batches):
+            cells = [[len(x)], [(x * x).sum(axis=0)], [np.abs(x).max(axis=0)]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, (pa.int64(), *[pa.list_(pa.float64())] * 2))], ["n", "s", "far"])
+
+    cells = packs.mapInArrow(task, "n bigint, s array<double>, far array<double>")
+    sums, most = ([f(F.col(c)[j]) for j in range(d - 1)] for f, c in ((F.sum, "s"), (F.max, "far")))
+    n, *got = (v or 0 for v in cells.agg(F.sum("n"), *sums, *most).first())
+    scale = np.append(1.0, np.sqrt(np.array(got[: d - 1]) / max(n, 1)))
+    scale[~(scale > 0)] = 1.0  # solve for features of size one, for the sake of the numbers
+    return scale, np.append(1.0, got[d - 1 :]) / scale
+
+
+def _newton(packs: DataFrame, arrays, scale: np.ndarray, widest: np.ndarray, members: list[Member], start: np.ndarray, max_iter: int, tol: float, max_samples: float) -> StackedFit:
+    """Newton's steps of all ``members`` from ``start``, on packs of (x, y, fold, h); weights are for features divided by ``scale``.
+
+    After a step the slope is what the curvature leaves of it, and at most ``BEND / 2`` times the mean of
+    (x step)^2 |x| besides.  Where this is below ``tol`` the member has settled; no pass is needed to see it.
+    """
     m, d = start.shape
     cells = [(i, j) for i in range(d) for j in range(i, d)]
     up, low = np.array([c[0] for c in cells]), np.array([c[1] for c in cells])
@@ -136,19 +169,18 @@ def _newton(rows: DataFrame, scale: np.ndarray, members: list[Member], start: np
     left_out = np.array([np.nan if b.fold is None else b.fold for b in members], np.float64)  # equal to no fold
     draw = np.array([-1 if b.draw is None else b.draw for b in members], np.int64)
     l2 = np.array([b.l2 for b in members])[:, None] * np.append(0.0, np.ones(d - 1)) / scale**2
-    width = 2 + d + len(cells)
+    width = 2 + d + 2 * len(cells)  # the last cells are NaN where rows are not worth the same to all
 
     def totals(at: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Per member of ``at``: weight of its rows, loss, slope and curvature at its weights."""
+        """Per member of ``at``: weight of its rows, loss, slope and curvature at its weights, products of its rows."""
         chunks = [slice(k, k + MEMBERS) for k in range(0, len(at), MEMBERS)]
         alike = [len(np.unique(np.column_stack([w[c], positive[at[c]]]), axis=0)) == 1 for c in chunks]  # rows are worth the same to all
 
         def run(batches):
             out = np.zeros((len(at), width))
-            for batch in batches:
-                x_all = _biased(matrix(batch.column(0))) / scale
-                y_all, fold_all = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-                h_all = batch.column(3).to_numpy().view(np.uint64)
+            for x_all, y_all, fold_all, h_all in arrays(batches):
+                x_all = _biased(x_all) / scale
+                h_all = h_all.view(np.uint64)
                 for s in range(0, len(x_all), ROWS):
                     x, y, folds, h = (v[s : s + ROWS] for v in (x_all, y_all, fold_all, h_all))
                     products = x[:, up] * x[:, low]
@@ -156,23 +188,34 @@ def _newton(rows: DataFrame, scale: np.ndarray, members: list[Member], start: np
                         some = at[c]
                         weight = (folds[:, None] != left_out[some]).astype(np.float64)
                         drawn = np.flatnonzero(draw[some] >= 0)
-                        if len(drawn):
+                        if len(drawn) == len(some):
+                            weight *= draws(h, draw[some], max_samples)
+                        elif len(drawn):
                             weight[:, drawn] *= draws(h, draw[some][drawn], max_samples)
                         one = slice(0, 1) if same else slice(None)
                         z = x @ w[c][one].T
                         t = (y[:, None] == positive[some][one]).astype(np.float64)
                         loss, p, curve = _terms(z, t)
                         part = out[c]
-                        part[:, 0] += weight.sum(axis=0)
                         if same:
-                            part[:, 1:] += weight.T @ np.concatenate([loss, (p - t) * x, curve * products], axis=1)
+                            part += weight.T @ np.concatenate([np.ones_like(z), loss, (p - t) * x, curve * products, products], axis=1)
                         else:
+                            part[:, 0] += weight.sum(axis=0)
                             part[:, 1] += (weight * loss).sum(axis=0)
                             part[:, 2 : 2 + d] += (weight * (p - t)).T @ x
-                            part[:, 2 + d :] += (weight * curve).T @ products
+                            part[:, 2 + d : 2 + d + len(cells)] += (weight * curve).T @ products
             return out.ravel()
 
-        return summed(rows, run, len(at) * width).reshape(-1, width)
+        got = summed(packs, run, len(at) * width).reshape(-1, width)
+        for c, same in zip(chunks, alike):
+            if not same:
+                got[c, 2 + d + len(cells) :] = np.nan
+        return got
+
+    def symmetric(values: np.ndarray) -> np.ndarray:
+        out = np.empty((len(values), d, d))
+        out[:, up, low] = out[:, low, up] = values
+        return out
 
     best, loss = start.copy(), np.full(m, np.inf)
     trial, slope, step = best.copy(), np.zeros((m, d)), np.zeros((m, d))
@@ -188,15 +231,21 @@ def _newton(rows: DataFrame, scale: np.ndarray, members: list[Member], start: np
         at = open_[better]
         best[at], loss[at] = trial[at], value[better]
         slope[at] = got[better, 2 : 2 + d] / n[better] + l2[at] * trial[at]
-        curve = np.zeros((len(at), d, d))
-        curve[:, up, low] = curve[:, low, up] = got[better, 2 + d :] / n[better]
+        curve, spread = (symmetric(c / n[better]) for c in np.split(got[better, 2 + d :], 2, axis=1))
         curve[:, range(d), range(d)] += l2[at] + 1e-12
         step[at] = np.linalg.solve(curve, slope[at][:, :, None])[:, :, 0] if len(at) else 0.0
         step[open_[~better]] /= 2
         done = (np.abs(slope[open_]).max(axis=1) < tol) | (np.abs(step[open_]).max(axis=1) < 1e-14)
         fit.settled[open_[done]] = True
         fit.slopes.append(float(np.abs(slope[open_]).max()))
-        open_ = open_[~done]
+        ahead = np.zeros(m, bool)
+        left = slope[at] - np.einsum("kij,kj->ki", curve, step[at])
+        bend = BEND / 2 * np.einsum("ki,kij,kj->k", step[at], spread, step[at])
+        ahead[at] = (np.abs(left) + bend[:, None] * widest).max(axis=1) < tol
+        ahead[open_[done]] = False
+        best[ahead] -= step[ahead]
+        fit.settled[ahead] = True
+        open_ = open_[~done & ~ahead[open_]]
         trial[open_] = best[open_] - step[open_]
     return fit
 

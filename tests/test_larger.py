@@ -1,12 +1,14 @@
 """Work that grew too fast: the same results in bounded space."""
 
+from hashlib import md5
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from loomstat.functions import text as tx
-from loomstat.operators import classify, cluster, joins, linkage, neighbors, vectorize, wide
+from loomstat.operators import classify, cluster, joins, linkage, neighbors, sampling, stacked, vectorize, wide
 from loomstat.plans import learners, pairs
 from loomstat.plans import text as text_plans
 
@@ -145,3 +147,40 @@ def test_text_classifier_sends_no_gradient_to_the_driver(spark, monkeypatch):
     monkeypatch.setattr(learners.classify, "logistic", lambda *_, **__: pytest.fail("a gradient as wide as the vocabulary"))
     row = learners.w9(spark, "/root/testdata/sf0.001").first()
     assert row.n > 0 and 0 <= row.accuracy <= 1 and 0 <= row.auc <= 1
+
+
+def test_splits_rank_only_rows_at_the_border(spark, monkeypatch):
+    rows = [(i, None if i % 5 == 0 else f"s{i % 3}") for i in range(900)] + [(7, "s1")] * 3
+    df = spark.createDataFrame(rows, "k long, label string")
+    place = lambda k: md5(f"4:{k}".encode()).hexdigest()
+    ranked = {}
+    with monkeypatch.context() as m:
+        m.setattr(sampling, "hashed_rank", lambda *_, **__: pytest.fail("all rows are ranked"))
+        for share in (0.0, 0.3, 1.0):
+            got = sampling.stratified_split(df, "k", "label", share, seed=4).collect()
+            assert sorted((r.k, r.label or "") for r in got) == sorted((k, s or "") for k, s in rows)
+            for label in {s for _, s in rows}:
+                own = sorted((place(r.k), r.k, not r.is_test) for r in got if r.label == label)
+                ranked[share, label] = [k for _, k, rest in own if not rest]
+                assert ranked[share, label] == [k for _, k, _ in own][: int(share * len(own))]
+        assert sampling.random_split(df, "k", 0.25, seed=4).where("is_test").count() == 225
+        assert sampling.stratified_split(df.limit(0), "k", "label", 0.3, seed=4).count() == 0
+    monkeypatch.setattr(sampling, "_STRATA", 2)
+    many = sampling.stratified_split(df, "k", "label", 0.3, seed=4).where("is_test")
+    assert sorted(r.k for r in many.collect()) == sorted(k for (share, _), ks in ranked.items() if share == 0.3 for k in ks)
+
+
+def test_bags_settle_without_a_pass_where_the_step_is_small(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(20000, 2))
+    y = (x @ [1.0, -2.0] + rng.logistic(size=20000) > 0).astype(float)
+    df = spark.createDataFrame([(i, float(a), float(b), float(t)) for i, ((a, b), t) in enumerate(zip(x, y))], "id long, a double, b double, y double")
+    tol = 2e-3
+    fit = stacked.stacked_logistic(df, "id", ["a", "b"], "y", [stacked.Member(draw=i) for i in range(70)], tol=tol)
+    assert fit.settled.all() and fit.passes == 1
+    h = np.array([r.h for r in df.select("id", F.xxhash64(F.lit(1), "id").alias("h")).orderBy("id").collect()]).view(np.uint64)
+    weight = stacked.draws(h, np.arange(70), 1.0)
+    full = np.column_stack([np.ones(len(x)), x])
+    p = 1 / (1 + np.exp(-full @ fit.weights.T))
+    slope = np.einsum("im,im,ij->mj", weight, p - y[:, None], full) / weight.sum(axis=0)[:, None]
+    assert np.abs(slope).max() < tol
