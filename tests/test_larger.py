@@ -172,8 +172,8 @@ def test_splits_rank_only_rows_at_the_border(spark, monkeypatch):
 
 def test_bags_settle_without_a_pass_where_the_step_is_small(spark):
     rng = np.random.default_rng(4)
-    x = rng.normal(size=(20000, 2))
-    y = (x @ [1.0, -2.0] + rng.logistic(size=20000) > 0).astype(float)
+    x = rng.normal(size=(50000, 2))
+    y = (x @ [1.0, -2.0] + rng.logistic(size=50000) > 0).astype(float)
     df = spark.createDataFrame([(i, float(a), float(b), float(t)) for i, ((a, b), t) in enumerate(zip(x, y))], "id long, a double, b double, y double")
     tol = 2e-3
     fit = stacked.stacked_logistic(df, "id", ["a", "b"], "y", [stacked.Member(draw=i) for i in range(70)], tol=tol)
