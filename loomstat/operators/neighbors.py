@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from loomstat.functions.hashing import seeded_hash
 
 _CELLS_AT_ONCE = 4_000_000  # numbers held while one block of distances is worked out
+_NARROW_AT_ONCE, _FEW = 1 << 17, 16  # distances held at once where rows are narrow; neighbours picked one by one
 _PRODUCTS_AT_ONCE = 1 << 19  # distances held at once where they come from matrix products
 _CLOSE = 1e-5  # squares below this share of both lengths are not taken from products
 
@@ -31,13 +32,51 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 
 def _squared_distances(a: np.ndarray, b: np.ndarray):
-    """Yield (start, squared distances of a[start:...] to b), a few rows at a time."""
+    """Yield (start, squared distances of a[start:...] to b), a few rows at a time; narrow rows column by column, which adds up in the same order."""
+    if 0 < a.shape[1] < 8:
+        step, columns = max(1, _NARROW_AT_ONCE // max(1, len(b))), np.ascontiguousarray(b.T)
+        for start in range(0, len(a), step):
+            d2 = 0.0
+            for x, y in zip(a[start : start + step].T, columns):
+                gap = x[:, None] - y[None, :]
+                gap *= gap
+                d2 = np.add(d2, gap, out=gap)
+            yield start, d2
+        return
     step = max(1, _CELLS_AT_ONCE // max(1, b.size))
     for start in range(0, len(a), step):
         part = a[start : start + step]
         yield start, ((part[:, None, :] - b[None, :, :]) ** 2).sum(axis=2)
 
 
+def _home(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A centre near each row (the nearest but for rounding), and the distance to it."""
+    if not (np.isfinite(centres).all() and np.isfinite(x).all()):
+        cell = np.concatenate([d2.argmin(axis=1) for _, d2 in _squared_distances(x, centres)]).astype("int32")
+        return cell, np.sqrt(((x - centres[cell]) ** 2).sum(axis=1))
+    middle = centres.mean(axis=0)
+    y = centres - middle
+    low, flipped = (y * y).sum(axis=1), np.ascontiguousarray(-2.0 * y.T)
+    step, cell = max(1, _NARROW_AT_ONCE // len(centres)), np.empty(len(x), dtype="int32")
+    for start in range(0, len(x), step):
+        d2 = (x[start : start + step] - middle) @ flipped
+        d2 += low
+        cell[start : start + step] = d2.argmin(axis=1)
+    return cell, np.sqrt(((x - centres[cell]) ** 2).sum(axis=1))
+
+
+def _smallest(d2: np.ndarray, take: int) -> np.ndarray:
+    """Places of the ``take`` smallest entries of each row in order, the first on ties; ``d2`` is spoilt."""
+    if take > _FEW or not np.isfinite(d2.sum()):
+        return np.argsort(d2, axis=1, kind="stable")[:, :take]
+    at, rows = np.empty((len(d2), take), dtype=np.intp), np.arange(len(d2))
+    for j in range(take):
+        if j:
+            d2[rows, at[:, j - 1]] = np.inf
+        at[:, j] = d2.argmin(axis=1)
+    return at
+
+
 def _literal(values: list[int]) -> Column:
     return F.array(*[F.lit(int(v)) for v in values])
 
@@ -65,12 +104,7 @@ def nearest(train: DataFrame, queries: DataFrame, key: str, vec: str, label: str
 
     @F.pandas_udf("cell int, d double")
     def home(v: pd.Series) -> pd.DataFrame:
-        x = _matrix(v)
-        cell, dist = np.empty(len(x), dtype="int32"), np.empty(len(x))
-        for start, d2 in _squared_distances(x, centres):
-            at = d2.argmin(axis=1)
-            cell[start : start + len(at)] = at
-            dist[start : start + len(at)] = np.sqrt(d2[np.arange(len(at)), at])
+        cell, dist = _home(_matrix(v), centres)
         return pd.DataFrame({"cell": cell, "d": dist})
 
     housed = train.select(F.col(key).alias("neighbour"), F.col(vec).alias("tvec"), F.col(label).alias("label"), home(vec).alias("h"))
@@ -84,7 +118,7 @@ def nearest(train: DataFrame, queries: DataFrame, key: str, vec: str, label: str
         out = []
         for _, d2 in _squared_distances(_matrix(v), centres):
             d = np.sqrt(d2)
-            bound = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1 : min(k, d.shape[1])]
+            bound = d.min(axis=1, keepdims=True) if k == 1 and np.isfinite(d.sum()) else np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1 : min(k, d.shape[1])]
             near = (d - far <= bound * (1 + 1e-9) + 1e-9) & occupied
             out.extend(np.flatnonzero(row).astype("int32") for row in near)
         return pd.Series(out)
@@ -109,7 +143,8 @@ def nearest(train: DataFrame, queries: DataFrame, key: str, vec: str, label: str
         take = min(k, len(t))
         found = []
         for start, d2 in _squared_distances(a, b):
-            at = np.argsort(d2, axis=1, kind="stable")[:, :take]
+            held = d2.copy() if 1 < take <= _FEW else d2
+            at = _smallest(held, take)
             rows = np.repeat(np.arange(start, start + len(d2)), take)
             found.append((rows, at.ravel(), np.take_along_axis(d2, at, axis=1).ravel()))
         rows, at, d2 = (np.concatenate([f[i] for f in found]) for i in range(3))

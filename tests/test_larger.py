@@ -184,3 +184,18 @@ def test_bags_settle_without_a_pass_where_the_step_is_small(spark):
     p = 1 / (1 + np.exp(-full @ fit.weights.T))
     slope = np.einsum("im,im,ij->mj", weight, p - y[:, None], full) / weight.sum(axis=0)[:, None]
     assert np.abs(slope).max() < tol
+
+
+@pytest.mark.parametrize("k, width", [(1, 2), (3, 2), (20, 2), (2, 9)])
+def test_neighbours_are_picked_without_sorting(spark, monkeypatch, k, width):
+    rng = np.random.default_rng(k)
+    x = rng.integers(0, 7, (400, width)).astype(float) + 1000  # many ties
+    train = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(x[:330])], "id long, vec array<double>, label long")
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[330:])], "id long, vec array<double>")
+    d2 = ((x[330:, None] - x[None, :330]) ** 2).sum(axis=2)
+    want = {(q, n, d2[q, n]) for q in range(70) for n in sorted(range(330), key=lambda n: (d2[q, n], n))[:k]}
+    got = neighbors.nearest(train, asked, "id", "vec", "label", k).collect()
+    assert {(r.query, r.neighbour, r.d2) for r in got} == want and len(got) == 70 * k
+    if k <= neighbors._FEW:
+        monkeypatch.setattr(np, "argsort", lambda *_, **__: pytest.fail("distances are sorted"))
+        assert neighbors._smallest(d2.copy(), k).shape == (70, k)
