@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomstat.functions import maths
 from loomstat.functions.hashing import poisson_thresholds
 from loomstat.operators import columns, encode, missing, sampling, stats
-from loomstat.operators.batches import evened
 from loomstat.operators.ordering import ordered_rank, running_totals
 from loomstat.plans.registry import (
     SQL_HOLED,
@@ -22,10 +23,12 @@ from loomstat.plans.registry import (
     sql_round,
     sql_uniform,
 )
-from loomstat.session import cut_lineage, new_path
+from loomstat.session import new_path
 from loomstat.sources import delimited, generators, tables, texttree
 from loomstat.sources.tables import table
 
+TREE_FILES = 20_000  # files of a text tree, all listed by the driver
+
 # ---- sources and sinks ------------------------------------------------------
 
 
@@ -71,16 +74,29 @@ def s4(spark, d):
     CAST(quality AS BIGINT) AS label FROM documents JOIN labels USING (doc_id)""",
 )
 def s5(spark, d):
-    """One file per labelled document below <split>/<label>/, read whole."""
+    """One file per labelled document below <split>/<label>/, read whole; a tree takes some ``TREE_FILES`` files, as the driver lists them."""
+    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select("doc_id", "text", "quality")
+    trees, cores = max(1, math.ceil(docs.count() / TREE_FILES)), spark.sparkContext.defaultParallelism
+    kept, whole = new_path(spark, "text-docs"), new_path(spark, "text-rows")
+    placed = docs.withColumn("tree", F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(trees)))
+    parts = max(2 * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed.repartition(parts, "tree", F.pmod(F.xxhash64("doc_id"), F.lit(2 * cores))).write.partitionBy("tree").parquet(kept)
+    for k in range(trees):
+        own = spark.read.schema(placed.schema).parquet(kept).where(F.col("tree") == k)
+        _text_tree(spark, own).write.mode("append").parquet(whole)
+    return spark.read.schema("split string, text_md5 string, label bigint").parquet(whole)
+
+
+def _text_tree(spark, docs):
     root = new_path(spark, "text-tree")
-    docs = cut_lineage(evened(table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select("doc_id", "text", "quality")))
     for split, rest in (("train", 0), ("test", 1)):
         for name, quality in (("pos", 1), ("neg", 0)):
             part = docs.where((F.col("doc_id") % 2 == rest) & (F.col("quality") == quality))
             # tasks move their files into place themselves; the driver would move them one by one
             commit = {"mapreduce.fileoutputcommitter.algorithm.version": 2}
             part.select("text").write.options(maxRecordsPerFile=1, **commit).text(f"{root}/{split}/{name}")
-    tree = texttree.read_text_tree(spark, root, {"pos": 1, "neg": 0})
+    # a task reads many files; with a few each, the driver would hold as many tasks
+    tree = texttree.read_text_tree(spark, root, {"pos": 1, "neg": 0}).coalesce(4 * spark.sparkContext.defaultParallelism)
     return tree.select("split", F.md5("text").alias("text_md5"), big("label").alias("label"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomstat.functions import text as tx
 from loomstat.operators import classify, cluster, joins, linkage, neighbors, sampling, stacked, vectorize, wide
-from loomstat.plans import learners, pairs
+from loomstat.plans import learners, pairs, tabular
 from loomstat.plans import text as text_plans
 
 
@@ -199,3 +199,21 @@ def test_neighbours_are_picked_without_sorting(spark, monkeypatch, k, width):
     if k <= neighbors._FEW:
         monkeypatch.setattr(np, "argsort", lambda *_, **__: pytest.fail("distances are sorted"))
         assert neighbors._smallest(d2.copy(), k).shape == (70, k)
+
+
+def test_text_trees_are_read_in_bounded_listings(spark, monkeypatch, tmp_path):
+    rows = [(i, f"text {i}\n\"{i % 7}\"", None if i == 5 else i % 2) for i in range(60)]
+    spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(tabular, "TREE_FILES", 15, raising=False)
+    seen, read = [], tabular.texttree.read_text_tree
+
+    def listed(session, root, labels):
+        seen.append(len(read(session, root, labels).inputFiles()))
+        return read(session, root, labels)
+
+    monkeypatch.setattr(tabular.texttree, "read_text_tree", listed)
+    got = tabular.s5(spark, str(tmp_path)).collect()
+    want = [("test" if i % 2 else "train", md5(f"{t}\n".encode()).hexdigest(), q) for i, t, q in rows if q is not None]
+    assert sorted((r.split, r.text_md5, r.label) for r in got) == sorted(want)
+    assert len(seen) == 4 and max(seen) < 30
